@@ -217,6 +217,8 @@ def merge_schemas(left: T.StructType, right: T.StructType) -> T.StructType:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project onto ``schema``: cast shared columns, NULL for missing ones."""
+    if [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema]:
+        return df
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for f in schema.fields:
@@ -233,5 +235,5 @@ def union_evolved(left: DataFrame, *others: DataFrame) -> DataFrame:
     """UNION ALL by name with added, missing and widened columns."""
     schema = reduce(merge_schemas, [o.schema for o in others], left.schema)
     return reduce(
-        lambda a, b: a.unionByName(b), [conform(d, schema) for d in (left, *others)]
+        lambda a, b: a.union(b), [conform(d, schema) for d in (left, *others)]
     )

@@ -3,11 +3,11 @@
 ``state`` is the whole dimension (history and current rows); a batch holds source
 rows. Every operator returns a DataFrame and never runs an action.
 
-Join shapes are picked for a state far larger than a batch. The current slice is
-only ever the streamed side: the batch's keys (or the changed keys) are joined to
-it, so Spark broadcasts them whenever their size is under its own threshold and
-otherwise sorts both sides by key. Rows with a NULL key part can match nothing
-and bypass the joins, so they cannot pile up in one shuffle partition.
+Join shapes are picked for a state far larger than a batch. In a lookup the current
+slice is only ever the streamed side: the batch's keys (or the changed keys) are
+joined to it, so Spark broadcasts them whenever their size is under its own
+threshold and otherwise sorts both sides by key. Rows with a NULL key part can match
+nothing and bypass the joins, so they cannot pile up in one shuffle partition.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.columns import (
     changed_predicate,
+    merge_schemas,
     missing_columns,
     union_evolved,
     with_scd2_columns,
@@ -181,6 +182,60 @@ def scd2_delta(
     return union_evolved(kept, opened)
 
 
+def _outer_delta(
+    state: DataFrame, keyed: DataFrame, spec: TableSpec, as_of, source_file
+) -> DataFrame:
+    """Like :func:`scd2_delta`, in one pass over both inputs.
+
+    A full outer join on the keys meets every current and every batch row once; each
+    joined row yields the kept or closed version, the opened one, or both. Either
+    side is shuffled once, the batch in the partitioning its deduplication left.
+    """
+    eff, end, current = spec.scd2_columns
+    keys = list(spec.primary_keys)
+    opened = with_scd2_columns(keyed, spec, as_of, _lineage(keyed, source_file))
+    schema = merge_schemas(state.schema, opened.schema)
+    cur = scd2_current(state, spec).filter(~_null_key(keys))
+
+    def prefixed(df, prefix):
+        named = [F.col(f"`{c}`").alias(prefix + c) for c in df.columns]
+        return df.select(*named, F.lit(True).alias(prefix))
+
+    def version(prefix, columns, override=()):
+        """SQL of a row in the common schema."""
+        items = []
+        for f in schema.fields:
+            value = dict(override).get(f.name)
+            if value is None:
+                value = f"`{prefix}{f.name}`" if f.name in columns else "NULL"
+            items.append(f"'{_escaped(f.name)}', CAST({value} AS {f.dataType.simpleString()})")
+        return f"named_struct({', '.join(items)})"
+
+    differs = " OR ".join(
+        f"NOT (`o.{c}` <=> `n.{c}`)" for c in spec.tracking_columns
+    )
+    kept = version("o.", state.columns)
+    closed = version("o.", state.columns, {end: f"`n.{eff}`", current: "FALSE"})
+    new = version("n.", opened.columns)
+    joined = prefixed(cur, "o.").join(
+        prefixed(opened, "n."),
+        [F.col(f"`o.{k}`") == F.col(f"`n.{k}`") for k in keys],
+        "full_outer",
+    )
+    # The new version's effective instant is the old one's end.
+    return joined.select(
+        F.expr(
+            f"inline(CASE WHEN `o.` IS NULL THEN array({new}) "
+            f"WHEN `n.` IS NOT NULL AND ({differs}) THEN array({closed}, {new}) "
+            f"ELSE array({kept}) END)"
+        )
+    )
+
+
+def _escaped(name: str) -> str:
+    return name.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def scd2_merge(
     state: DataFrame,
     batch: DataFrame,
@@ -188,17 +243,30 @@ def scd2_merge(
     as_of=None,
     source_file=None,
     changes: DataFrame | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Full state after merging a batch.
 
     New keys open a version; changed keys close the current version at ``as_of``
-    and open one effective at the same instant; everything else stays. Pass a
-    materialized ``changes`` (from :func:`scd2_classify`) to classify only once.
+    and open one effective at the same instant; everything else stays.
+
+    By default state and batch meet in one full outer join. For a batch small enough
+    to be broadcast, ``small_batch`` looks its keys up in the current slice instead,
+    so that the state is not shuffled at all. Already classified rows (``changes``,
+    from :func:`scd2_classify`) are merged the same way.
     """
+    history = scd2_history(state, spec)
+    if changes is None and not small_batch:
+        keyed, keyless = _admit(batch, spec)
+        parts = [_outer_delta(state, keyed, spec, as_of, source_file)]
+        parts.append(scd2_current(state, spec).filter(_null_key(spec.primary_keys)))
+        if keyless is not None:
+            lineage = _lineage(keyless, source_file)
+            parts.append(with_scd2_columns(keyless, spec, as_of, lineage))
+        return union_evolved(history, *parts)
     if changes is None:
         changes = scd2_classify(batch, state, spec)
-    delta = scd2_delta(state, changes, spec, as_of, source_file)
-    return union_evolved(scd2_history(state, spec), delta)
+    return union_evolved(history, scd2_delta(state, changes, spec, as_of, source_file))
 
 
 def scd2_versions(

@@ -8,6 +8,7 @@ from sedimenta import TableSpec
 from sedimenta.operators import scd2
 from sedimenta.operators.dedup import deduplicate
 from sedimenta.plans.suites.registry import query, table
+from sedimenta.scratch import materialize
 
 T0, T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 
@@ -71,9 +72,8 @@ def second_batch(spark, sf_dir):
 
 
 def merged_state(spark, sf_dir):
-    return scd2.scd2_merge(
-        initial_state(spark, sf_dir), first_batch(spark, sf_dir), CUSTOMER, T1, "first"
-    )
+    """State after the first merge, stored as a table between two loads is."""
+    return materialize(q_merge(spark, sf_dir), "state")
 
 
 INITIAL_SQL = f"""
@@ -170,7 +170,22 @@ def q_changed(spark, sf_dir):
 
 @query("scd2_merge_state", f"{ONE_MERGE} SELECT * FROM s1")
 def q_merge(spark, sf_dir):
-    return merged_state(spark, sf_dir)
+    return scd2.scd2_merge(
+        initial_state(spark, sf_dir), first_batch(spark, sf_dir), CUSTOMER, T1, "first"
+    )
+
+
+@query("scd2_merge_small_batch", f"{ONE_MERGE} SELECT * FROM s1")
+def q_merge_small(spark, sf_dir):
+    """The same merge by key lookups, for a batch that can be broadcast."""
+    return scd2.scd2_merge(
+        materialize(initial_state(spark, sf_dir), "state"),
+        first_batch(spark, sf_dir),
+        CUSTOMER,
+        T1,
+        "first",
+        small_batch=True,
+    )
 
 
 @query("scd2_merge_twice", f"{TWO_MERGES} SELECT * FROM s2")
@@ -210,16 +225,22 @@ def q_undo(spark, sf_dir):
     return scd2.scd2_undo_load(merged_state(spark, sf_dir), "first", CUSTOMER)
 
 
-@query("scd2_undo_middle", f"{BASE_SQL}, k2 AS ({classify_sql('s0', 'b2')}) "
-       f"{merge_sql('s0', 'k2', T2, 'second')}")
+@query("scd2_undo_middle", f"""{TWO_MERGES}, undone AS (
+  SELECT c_custkey, effective_date, end_date, is_current FROM s2 WHERE _source_file = 'first'
+    AND c_custkey IS NOT NULL)
+SELECT {', '.join('s.' + c for c in TUPLE.split(', '))}, s.effective_date,
+       CASE WHEN u.c_custkey IS NULL THEN s.end_date ELSE u.end_date END AS end_date,
+       CASE WHEN u.c_custkey IS NULL THEN s.is_current ELSE u.is_current END AS is_current,
+       s._source_file, s._load_timestamp
+FROM s2 s LEFT JOIN undone u ON s.c_custkey = u.c_custkey AND s.end_date = u.effective_date
+WHERE s._source_file <> 'first'""")
 def q_undo_middle(spark, sf_dir):
-    """Undo a load whose versions a later one has partly replaced. The later load
-    then stands as if it alone had run, but for rows the undone load had already
-    brought to their new value: they stay closed where it closed them."""
+    """Undo a load that a later one has built on: versions it had closed last until
+    the later load closed its own, or are current again."""
     state = scd2.scd2_merge(
-        initial_state(spark, sf_dir), second_batch(spark, sf_dir), CUSTOMER, T2, "second"
+        merged_state(spark, sf_dir), second_batch(spark, sf_dir), CUSTOMER, T2, "second"
     )
-    return scd2.scd2_undo_load(state, ["first"], CUSTOMER)
+    return scd2.scd2_undo_load(materialize(state, "state"), ["first"], CUSTOMER)
 
 
 @query("scd2_idempotent", f"{ONE_MERGE} SELECT * FROM s1")
