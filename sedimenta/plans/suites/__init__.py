@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_SUITES = ("scd2",)
+_SUITES = ("scd2", "append", "columns", "ledger", "checks", "series", "sources", "streams")
 
 
 def load():

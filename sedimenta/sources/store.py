@@ -55,11 +55,18 @@ class TableStore:
         self.root = root.rstrip("/")
         self.partition_columns = tuple(partition_columns)
         self.cluster_writes = cluster_writes
+        self._latest: Version | None = None
 
     # -- log ------------------------------------------------------------------
 
     def version(self, number: int | None = None) -> Version | None:
-        """The latest (or a given) version, None if the table does not exist."""
+        """The latest (or a given) version, None if the table does not exist.
+
+        A store that has committed goes on from its own commit, as the only writer;
+        other instances see the latest one in the log.
+        """
+        if number is None and self._latest is not None:
+            return self._latest
         try:
             entries = self.spark.read.text(f"{self.root}/log/*")
         except AnalysisException as err:
@@ -105,6 +112,7 @@ class TableStore:
             .write.mode("errorifexists")
             .text(f"{self.root}/log/v={new.number:08d}")
         )
+        self._latest = new
         return new
 
     def _write(self, df: DataFrame) -> dict:
