@@ -25,6 +25,9 @@ SCALE_UP_CPU, SCALE_DOWN_CPU, RAISE_MEMORY = 80, 20, 85
 RISING, FALLING = 1.2, 0.8
 PENALTY_FROM, PENALTY_FACTOR = 80, 2
 
+# Rows of one series that a rolling window handles in one task.
+BLOCK_ROWS = 100_000
+
 
 def _order(order_by: Sequence[str]) -> Column:
     return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
@@ -187,14 +190,13 @@ def rolling_average(
     Rows are placed by :func:`with_position` and cut into blocks of positions, each
     carrying the few rows before it, so no task holds a whole series.
     """
-    block_rows = 100_000
     placed = with_position(
         samples.select("series", *order_by, F.coalesce("value", F.lit(0.0)).alias("value")),
         ["series"],
         order_by,
     )
-    block = F.floor((F.col("position") - 1) / block_rows)
-    spill = F.floor((F.col("position") - 2 + window) / block_rows)
+    block = F.floor((F.col("position") - 1) / BLOCK_ROWS)
+    spill = F.floor((F.col("position") - 2 + window) / BLOCK_ROWS)
     # A row also feeds the next block if it is among the last window-1 of its own.
     copies = placed.withColumn("__home", block).withColumn(
         "__block",

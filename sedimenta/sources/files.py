@@ -189,7 +189,8 @@ def read_source(
         reader = reader.option(key, value)
     try:
         df = reader.load([paths] if isinstance(paths, str) else list(paths))
-    except AnalysisException as err:
+    except Exception as err:
+        # A missing source class surfaces as a plain JVM error.
         if fmt == "delta" and "DATA_SOURCE_NOT_FOUND" in str(err):
             raise ValueError("reading delta needs its package on the class path") from err
         raise
