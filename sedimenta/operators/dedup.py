@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def sort_keys(df: DataFrame, order_by: Sequence[str | Column] = ()) -> list[Column]:
+def sort_keys(
+    df: DataFrame, order_by: Sequence[str | Column] = (), skip: Sequence[str] = ()
+) -> list[Column]:
     """Sort columns from ``"col"`` / ``"col DESC"`` texts or Columns.
 
-    Empty means every column of the frame that can be ordered, in schema order:
-    rows that still tie are then identical, so any of them may win.
+    Empty means every column of the frame but the skipped ones, in schema order: rows
+    that still tie are then identical, so any of them may win.
     """
     if order_by:
         out = []
@@ -31,7 +33,8 @@ def sort_keys(df: DataFrame, order_by: Sequence[str | Column] = ()) -> list[Colu
     return [
         F.to_json(f"`{f.name}`") if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
-    ]
+        if f.name not in skip
+    ] or [F.lit(0)]
 
 
 def top_per_group(
@@ -43,7 +46,9 @@ def top_per_group(
     task before the shuffle, so a hot key never reaches one task whole.
     """
     rank = "__rank"
-    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*sort_keys(df, order_by))
+    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(
+        *sort_keys(df, order_by, skip=keys)
+    )
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n).drop(rank)
 
 

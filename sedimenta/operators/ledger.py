@@ -44,7 +44,9 @@ LEDGER_SCHEMA = T.StructType(
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
     """A ledger without rows."""
-    return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.range(0).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields]
+    )
 
 
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Slowly changing dimensions, type 2, as pure state transitions.
 
 ``state`` is the whole dimension (history and current rows); a batch holds source
-rows. Every operator returns a DataFrame and never runs an action.
+rows. Every operator returns a DataFrame; none brings rows to the driver.
 
 Join shapes are picked for a state far larger than a batch. In a lookup the current
 slice is only ever the streamed side: the batch's keys (or the changed keys) are
@@ -26,7 +26,7 @@ from sedimenta.functions.columns import (
 )
 from sedimenta.functions.scalars import as_timestamp
 from sedimenta.operators.dedup import deduplicate
-from sedimenta.scratch import local_frame
+from sedimenta.scratch import local_frame, materialize
 from sedimenta.spec import TableSpec
 
 CHANGE = "change_type"
@@ -198,8 +198,8 @@ def _outer_delta(
     cur = scd2_current(state, spec).filter(~_null_key(keys))
 
     def prefixed(df, prefix):
-        named = [F.col(f"`{c}`").alias(prefix + c) for c in df.columns]
-        return df.select(*named, F.lit(True).alias(prefix))
+        named = [f"`{c}` AS `{prefix}{c}`" for c in df.columns]
+        return df.selectExpr(*named, f"TRUE AS `{prefix}`")
 
     def version(prefix, columns, override=()):
         """SQL of a row in the common schema."""
@@ -252,8 +252,10 @@ def scd2_merge(
 
     By default state and batch meet in one full outer join. For a batch small enough
     to be broadcast, ``small_batch`` looks its keys up in the current slice instead,
-    so that the state is not shuffled at all. Already classified rows (``changes``,
-    from :func:`scd2_classify`) are merged the same way.
+    so that the state is not shuffled at all. This classifies the batch right away
+    and keeps the rows in the scratch folder, because Spark must know the size of the
+    changed keys when it plans the join that closes them. Rows already classified and
+    stored (``changes``, from :func:`scd2_classify`) are merged the same way.
     """
     history = scd2_history(state, spec)
     if changes is None and not small_batch:
@@ -265,7 +267,7 @@ def scd2_merge(
             parts.append(with_scd2_columns(keyless, spec, as_of, lineage))
         return union_evolved(history, *parts)
     if changes is None:
-        changes = scd2_classify(batch, state, spec)
+        changes = materialize(scd2_classify(batch, state, spec), "changes")
     return union_evolved(history, scd2_delta(state, changes, spec, as_of, source_file))
 
 

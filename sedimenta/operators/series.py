@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.operators.dedup import top_per_group
+from sedimenta.operators.dedup import sort_keys, top_per_group
 from sedimenta.scratch import scratch_root
 
 # Metric names and thresholds.
@@ -43,40 +43,56 @@ def series_summary(samples: DataFrame) -> DataFrame:
     )
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def with_position(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+    weight: str | None = None,
+) -> DataFrame:
     """Add ``position`` (1-based) and ``group_size`` of each row in its group.
 
+    With ``weight`` a row stands for that many rows and its position is that of the
+    first one.
+
     A window over the keys would put a whole group into one task. Here the rows are
-    range-sorted by keys and order, so a large group spans many partitions, and
-    checkpointed, so partitions stay as they are. A row's position is its offset in
-    its partition plus the group's rows in earlier partitions, of which there is
-    one count per group and partition.
+    range-sorted by keys and order (ties by the other columns), so that a large
+    group spans many partitions, and checkpointed, so that partitions stay as they
+    are. A row's position is its offset in its partition plus the group's rows in
+    earlier partitions, of which there is one count per group and partition.
     """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
+    rows = F.lit(1) if weight is None else F.col(weight)
     placed = (
-        df.orderBy(*keys, *order_by)
+        df.orderBy(*keys, *sort_keys(df, order_by), *sort_keys(df, skip=keys))
         .checkpoint()
         .withColumn("__row", F.monotonically_increasing_id())
         .withColumn("__part", F.shiftright("__row", 33))
     )
-    # At most one row per group and partition from here to the join.
-    blocks = placed.groupBy(*keys, "__part").agg(
-        F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__rows")
+    # A window group here is one group's share of one sorted partition.
+    in_part = (
+        Window.partitionBy(*keys, "__part")
+        .orderBy("__row")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    # At most one row per group and partition from here to the join.
     by_key = Window.partitionBy(*keys)
     before = by_key.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        *keys,
-        "__part",
-        "__first",
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
-        F.sum("__rows").over(by_key).alias("group_size"),
+    offsets = (
+        placed.groupBy(*keys, "__part")
+        .agg(F.sum(rows).alias("__rows"))
+        .select(
+            *keys,
+            "__part",
+            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
+            F.sum("__rows").over(by_key).alias("group_size"),
+        )
     )
     return (
-        placed.join(offsets, [*keys, "__part"])
-        .withColumn("position", F.col("__before") + F.col("__row") - F.col("__first") + 1)
+        placed.withColumn("__offset", F.coalesce(F.sum(rows).over(in_part), F.lit(0)))
+        .join(offsets, [*keys, "__part"])
+        .withColumn("position", F.col("__before") + F.col("__offset") + 1)
         .select(*df.columns, "position", "group_size")
     )
 
@@ -85,18 +101,26 @@ def series_trend(samples: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataF
     """Second-half average against first-half average per series.
 
     Only series of more than two samples have a trend; an odd sample belongs to the
-    second half and a missing value counts as 0.
+    second half and a missing value counts as 0. Equal samples are counted before
+    they are placed, so copies of one do not pile up.
     """
-    placed = with_position(
-        samples.select("series", *order_by, F.coalesce("value", F.lit(0.0)).alias("value")),
-        ["series"],
-        order_by,
-    ).filter(F.col("group_size") > 2)
-    first = F.col("position") <= F.floor(F.col("group_size") / 2)
+    value = F.coalesce("value", F.lit(0.0)).alias("value")
+    counted = (
+        samples.select("series", *order_by, value)
+        .groupBy("series", *order_by, "value")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    placed = with_position(counted, ["series"], order_by, "copies").filter(
+        F.col("group_size") > 2
+    )
+    # Of a row's copies, those up to the middle belong to the first half.
+    middle = F.floor(F.col("group_size") / 2)
+    early = F.least(F.col("copies"), F.greatest(middle - F.col("position") + 1, F.lit(0)))
+    late = F.col("copies") - early
     averages = placed.groupBy("series").agg(
-        F.count(F.lit(1)).alias("samples"),
-        F.avg(F.when(first, F.col("value"))).alias("first_average"),
-        F.avg(F.when(~first, F.col("value"))).alias("second_average"),
+        F.sum("copies").alias("samples"),
+        (F.sum(F.col("value") * early) / F.sum(early)).alias("first_average"),
+        (F.sum(F.col("value") * late) / F.sum(late)).alias("second_average"),
     )
     old, new = F.col("first_average"), F.col("second_average")
     return averages.withColumn(
@@ -149,7 +173,13 @@ def efficiency_score(
 
 def latest_n(samples: DataFrame, n: int = 100, order_by: Sequence[str] = ("ts",)) -> DataFrame:
     """The latest ``n`` samples of every series."""
-    return top_per_group(samples, ["series"], [F.col(c).desc() for c in order_by], n)
+    newest = [F.col(c).desc() for c in order_by]
+    limit = int(samples.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n <= limit:
+        return top_per_group(samples, ["series"], newest, n)
+    # Spark cuts groups before the shuffle up to that rank only.
+    placed = with_position(samples, ["series"], newest)
+    return placed.filter(F.col("position") <= n).select(*samples.columns)
 
 
 def rolling_recommendation(

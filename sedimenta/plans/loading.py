@@ -170,14 +170,12 @@ def load_table(
     until none is left. Returns one load-result row per file tried. A failed file
     is tried again by the next call until it runs out of retries.
     """
-    if not ledger.exists():
-        ledger.create(led.empty_ledger(spark))
     start = as_of or _now()
     listing = list_files(spark, spec.source_path_pattern)
     place = F.struct("modificationTime", "path")
     results, last, done = None, None, 0
     while True:
-        book = ledger.read()
+        book = ledger.read() if ledger.exists() else led.empty_ledger(spark)
         todo = led.unprocessed_files(listing, book, skip_skipped=True, max_retries=max_retries)
         if last is not None:
             todo = todo.filter(place > F.struct(F.lit(last[0]).cast("timestamp"), F.lit(last[1])))

@@ -12,7 +12,7 @@ from sedimenta.plans import loading
 from sedimenta.plans.suites import scd2
 from sedimenta.plans.suites.registry import query, table
 from sedimenta.scratch import scratch_path
-from sedimenta.sources import files
+from sedimenta.sources import catalog, files
 from sedimenta.sources.store import TableStore
 
 ORDERS_SQL = "SELECT * FROM orders"
@@ -229,3 +229,25 @@ def q_load_backlog(spark, sf_dir):
         "is_current",
         F.col("end_date").isNull().alias("open"),
     )
+
+
+def catalog_table(spark, sf_dir):
+    """Orders as a catalog table whose files lie in the scratch folder."""
+    path = scratch_path(spark, "orders")
+    name = path.rpartition("/")[2].replace("-", "_")
+    orders(spark, sf_dir).write.option("path", path).saveAsTable(name)
+    return name
+
+
+@query("table_statistics", "SELECT TRUE AS table_exists, count(*) AS row_count FROM orders")
+def q_table_statistics(spark, sf_dir):
+    row = catalog.table_statistics(spark, catalog_table(spark, sf_dir))
+    return row.select("table_exists", "row_count")
+
+
+@query("table_properties", """SELECT column_name AS key FROM information_schema.columns
+WHERE table_name = 'orders'""")
+def q_table_properties(spark, sf_dir):
+    """Of the properties the columns, whose types have other names elsewhere."""
+    details = catalog.table_properties(spark, catalog_table(spark, sf_dir))
+    return details.filter("key LIKE 'o\\_%'").select("key")

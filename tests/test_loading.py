@@ -1,5 +1,7 @@
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,33 @@ def test_one_broken_table_leaves_the_others(spark, tmp_path):
     assert loading.load_all(spark, [fine], root, T1, only=["other"]).isEmpty()
 
 
+def test_odd_parquet_files(spark, tmp_path):
+    """A file without columns and one of another type fail alone; NULLs are fine."""
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    os.makedirs(raw)
+    contents = {
+        "1_good": pa.table({"id": ["a", "b"], "name": ["x", "y"]}),
+        "2_empty": pa.table({}),
+        "3_mismatch": pa.table({"id": [1, 2], "name": ["x", "y"], "extra_column": ["e", "e"]}),
+        "4_nulls": pa.table({"id": ["c", None], "name": [None, "z"]}),
+    }
+    for n, (name, data) in enumerate(contents.items()):
+        pq.write_table(data, f"{raw}/{name}.parquet")
+        os.utime(f"{raw}/{name}.parquet", (1000 + n, 1000 + n))
+    spec = spec_for(raw, source_path_pattern=f"{raw}/*.parquet", file_format="parquet")
+    result = loading.load_table(
+        spark, spec, loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger"), T1
+    )
+    by_name = {os.path.basename(r["file_path"]): r for r in result.collect()}
+    assert [r["success"] for _, r in sorted(by_name.items())] == [True, False, False, True]
+    assert [r["total_records_processed"] for _, r in sorted(by_name.items())] == [2, 0, 0, 2]
+    assert "id" in by_name["3_mismatch.parquet"]["error_message"]
+    table = loading.store_for(spark, root, spec).read()
+    assert rows(table, "id", "name") == sorted(
+        [("a", "x"), ("b", "y"), ("c", None), (None, "z")], key=repr
+    )
+
+
 def test_orphans_are_repaired_first(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
     put(raw, "1.csv", "k,v\n1,a\n", 1000)

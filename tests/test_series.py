@@ -63,6 +63,28 @@ def test_position_spreads_a_hot_group(spark):
     assert largest < len(groups["hot"]) * 0.8
 
 
+def test_trend_splits_copies_of_one_sample(spark):
+    """One sample makes up most of the series and lies across its middle."""
+    df = spark.range(1000).select(
+        F.lit("s").alias("series"),
+        F.when(F.col("id") < 100, 1).when(F.col("id") < 900, 2).otherwise(3).alias("ts"),
+        F.when(F.col("id") < 100, 5.0).when(F.col("id") < 900, 1.0).otherwise(9.0).alias("value"),
+    )
+    row = series.series_trend(df).first()
+    assert (row["samples"], row["first_average"], row["second_average"]) == (1000, 1.8, 2.6)
+    assert row["trend"] == "increasing"
+
+
+def test_latest_beyond_the_rank_limit(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 2500, "hot").otherwise("cold").alias("series"),
+        F.col("id").alias("ts"),
+    )
+    got = series.latest_n(df, 1200)
+    summary = got.groupBy("series").agg(F.min("ts").alias("first"), F.count("*").alias("n"))
+    assert rows(summary, "series", "first", "n") == [("cold", 2500, 500), ("hot", 1300, 1200)]
+
+
 def test_rolling_average_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(series, "BLOCK_ROWS", 4)
     df = samples(spark, a=[float(n * n) for n in range(23)], b=[1.0, 2.0])
