@@ -101,26 +101,74 @@ def series_trend(samples: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataF
     """Second-half average against first-half average per series.
 
     Only series of more than two samples have a trend; an odd sample belongs to the
-    second half and a missing value counts as 0. Equal samples are counted before
-    they are placed, so copies of one do not pile up.
+    second half and a missing value counts as 0.
+
+    The halves are found from counts per hour, and only the hour a series' middle
+    falls into is ordered row by row. In there equal samples are counted first, so
+    copies of one do not pile up.
     """
-    value = F.coalesce("value", F.lit(0.0)).alias("value")
-    counted = (
-        samples.select("series", *order_by, value)
-        .groupBy("series", *order_by, "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    rows = samples.select(
+        "series",
+        *order_by,
+        F.coalesce("value", F.lit(0.0)).alias("value"),
+        F.date_trunc("hour", order_by[0]).alias("__hour"),
+    )
+    # A series has at most one row per hour in these windows.
+    of_series = Window.partitionBy("series")
+    earlier = of_series.orderBy("__hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = (
+        rows.groupBy("series", "__hour")
+        .agg(F.count(F.lit(1)).alias("__n"), F.sum("value").alias("__sum"))
+        .withColumns(
+            {
+                "__before": F.coalesce(F.sum("__n").over(earlier), F.lit(0)),
+                "__samples": F.sum("__n").over(of_series),
+            }
+        )
+        .filter(F.col("__samples") > 2)
+        .withColumn("__early", F.floor(F.col("__samples") / 2) - F.col("__before"))
+    )
+    split = (F.col("__early") > 0) & (F.col("__early") < F.col("__n"))
+    first = F.col("__early") >= F.col("__n")
+    whole = hours.filter(~split).select(
+        "series",
+        F.when(first, F.col("__n")).otherwise(0).alias("early"),
+        F.when(first, F.col("__sum")).otherwise(0.0).alias("early_sum"),
+        F.when(first, 0).otherwise(F.col("__n")).alias("late"),
+        F.when(first, 0.0).otherwise(F.col("__sum")).alias("late_sum"),
+    )
+
+    middle = hours.filter(split).select(
+        F.col("series").alias("__series"), F.col("__hour").alias("__at"), "__early"
+    )
+    inside = rows.join(
+        middle,
+        F.col("series").eqNullSafe(F.col("__series")) & F.col("__hour").eqNullSafe(F.col("__at")),
     )
-    placed = with_position(counted, ["series"], order_by, "copies").filter(
-        F.col("group_size") > 2
+    counted = inside.groupBy("series", *order_by, "value", "__early").agg(
+        F.count(F.lit(1)).alias("copies")
     )
+    placed = with_position(counted, ["series"], order_by, "copies")
     # Of a row's copies, those up to the middle belong to the first half.
-    middle = F.floor(F.col("group_size") / 2)
-    early = F.least(F.col("copies"), F.greatest(middle - F.col("position") + 1, F.lit(0)))
+    early = F.least(
+        F.col("copies"), F.greatest(F.col("__early") - F.col("position") + 1, F.lit(0))
+    )
     late = F.col("copies") - early
-    averages = placed.groupBy("series").agg(
-        F.sum("copies").alias("samples"),
-        (F.sum(F.col("value") * early) / F.sum(early)).alias("first_average"),
-        (F.sum(F.col("value") * late) / F.sum(late)).alias("second_average"),
+    parts = placed.select(
+        "series",
+        early.alias("early"),
+        (F.col("value") * early).alias("early_sum"),
+        late.alias("late"),
+        (F.col("value") * late).alias("late_sum"),
+    )
+    averages = (
+        whole.unionByName(parts)
+        .groupBy("series")
+        .agg(
+            (F.sum("early") + F.sum("late")).alias("samples"),
+            (F.sum("early_sum") / F.sum("early")).alias("first_average"),
+            (F.sum("late_sum") / F.sum("late")).alias("second_average"),
+        )
     )
     old, new = F.col("first_average"), F.col("second_average")
     return averages.withColumn(

@@ -20,9 +20,11 @@ from sedimenta.operators.summaries import RESULT_SCHEMA
 from sedimenta.scratch import local_frame, materialize
 from sedimenta.sources.files import list_files, read_for
 from sedimenta.sources.store import TableStore
-from sedimenta.spec import TableSpec
+from sedimenta.spec import STRATEGIES, TableSpec
 
 _EFFECTIVE = "__effective"
+# Files of one batch; their paths are the only thing the driver handles.
+MAX_FILES = 10_000
 
 
 def store_for(spark: SparkSession, root: str, spec: TableSpec) -> TableStore:
@@ -106,6 +108,29 @@ LOADERS: dict[str, Callable] = {
 }
 
 
+def register_strategy(
+    name: str,
+    transition: Callable[[DataFrame | None, DataFrame, TableSpec, str], DataFrame],
+) -> None:
+    """Add a loading strategy: ``(state or None, batch rows, spec, as_of) -> state``.
+
+    The batch comes transformed and with lineage columns; rows of a file that is
+    loaded again are removed from the state first.
+    """
+
+    def load(store, batch, spec, as_of, fresh=False, tags=None):
+        rows = with_audit_columns(batch.drop(_EFFECTIVE), as_of)
+        state = store.read() if store.exists() else None
+        files = batch.select("_source_file").distinct()
+        if state is not None and _reloads(store, files, fresh):
+            state = append.undo_load(state, files)
+        return store.create(transition(state, rows, spec, as_of), tags)
+
+    if name not in STRATEGIES:
+        STRATEGIES.append(name)
+    LOADERS[name] = load
+
+
 def prepare_batch(
     batch: DataFrame, spec: TableSpec, as_of: str, files: Sequence[str], offset: int = 0
 ) -> DataFrame:
@@ -161,7 +186,7 @@ def load_table(
     store: TableStore,
     ledger: TableStore,
     as_of: str | None = None,
-    max_files: int = 10_000,
+    max_files: int = MAX_FILES,
     max_retries: int = 3,
 ) -> DataFrame:
     """Load every file of a table that is listed and not yet loaded.
@@ -228,7 +253,7 @@ def load_all(
     root: str,
     as_of: str | None = None,
     only: Sequence[str] | None = None,
-    max_files: int = 10_000,
+    max_files: int = MAX_FILES,
     max_retries: int = 3,
 ) -> DataFrame:
     """Repair the ledger, load every table, and give failed files one more try.

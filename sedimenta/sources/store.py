@@ -9,6 +9,7 @@ table is assumed; a second one fails on its log entry instead of overwriting.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -67,18 +68,19 @@ class TableStore:
         """
         if number is None and self._latest is not None:
             return self._latest
+        log = f"{self.root}/log"
         try:
-            entries = self.spark.read.text(f"{self.root}/log/*")
+            # Only listed; the one entry that counts is read below.
+            listed = self.spark.read.option("recursiveFileLookup", True).text(log).inputFiles()
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        at = F.get_json_object("value", "$.number").cast("int")
-        if number is not None:
-            entries = entries.filter(at == number)
-        row = entries.orderBy(at.desc()).first()
-        if row is None:
+        numbers = {int(m.group(1)) for m in (re.search(r"/v=(\d+)/[^/]*$", f) for f in listed) if m}
+        wanted = max(numbers, default=None) if number is None else number
+        if wanted not in numbers:
             return None
+        row = self.spark.read.text(f"{log}/v={wanted:08d}").first()
         entry = json.loads(row["value"])
         return Version(
             entry["number"],

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, fields
 from typing import Any
 
 # Strategy names and file formats a table description may use.
-STRATEGIES = ("scd2", "append", "overwrite", "merge")
+STRATEGIES = ["scd2", "append", "overwrite", "merge"]
 FILE_FORMATS = ("parquet", "csv", "json", "delta")
 
 

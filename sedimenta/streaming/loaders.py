@@ -14,21 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sedimenta.functions.columns import apply_transformations, with_audit_columns
-from sedimenta.plans.loading import LOADERS, prepare_batch
+from sedimenta.plans.loading import LOADERS, MAX_FILES, prepare_batch
 from sedimenta.sources.files import source_path
 from sedimenta.sources.store import TableStore
 from sedimenta.spec import TableSpec
 
 
 def stream_source(
-    spark: SparkSession, spec: TableSpec, schema, max_files: int | None = None
+    spark: SparkSession, spec: TableSpec, schema, max_files: int = MAX_FILES
 ) -> DataFrame:
-    """Stream of a table's source files, each row with its ``_source_file``."""
+    """Stream of a table's source files, each row with its ``_source_file``; at most
+    ``max_files`` make up one micro-batch."""
     reader = spark.readStream.format(spec.file_format).schema(schema)
     if spec.file_format == "csv":
         reader = reader.option("header", True)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files)
     for key, value in spec.reader_options.items():
         reader = reader.option(key, value)
     rows = reader.load(spec.source_path_pattern)
@@ -73,11 +73,10 @@ def stream_load(
         if batch.isEmpty():
             return
         at = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
-        # The files of one micro-batch; bounded by maxFilesPerTrigger.
-        files = [
-            r[0]
-            for r in batch.select("_source_file").distinct().orderBy("_source_file").collect()
-        ]
+        names = batch.select("_source_file").distinct().orderBy("_source_file")
+        files = [r[0] for r in names.limit(MAX_FILES + 1).collect()]
+        if len(files) > MAX_FILES:
+            raise ValueError(f"limit the source to {MAX_FILES} files per micro-batch")
         rows = prepare_batch(batch, spec, at, files)
         LOADERS[spec.loading_strategy](store, rows, spec, at, tags={tag: batch_id})
 

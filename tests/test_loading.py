@@ -134,6 +134,21 @@ def test_merge_and_overwrite(spark, tmp_path, strategy):
     assert rows(table, "k", "v") == want
 
 
+def test_own_strategy(spark, tmp_path):
+    def keep_largest(state, batch, spec, as_of):
+        rows_ = batch if state is None else state.unionByName(batch)
+        return rows_.groupBy("k").agg(F.max_by(F.struct("*"), "v").alias("r")).select("r.*")
+
+    loading.register_strategy("largest", keep_largest)
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    spec = spec_for(raw, loading_strategy="largest")
+    put(raw, "1.csv", "k,v\n1,a\n2,c\n", 1000)
+    loading.load_all(spark, [spec], root, T1)
+    put(raw, "2.csv", "k,v\n1,b\n2,b\n", 1001)
+    assert loading.load_all(spark, [spec], root, T2).first()["success"]
+    assert rows(loading.store_for(spark, root, spec).read(), "k", "v") == [(1, "b"), (2, "c")]
+
+
 def test_one_broken_table_leaves_the_others(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
     put(raw, "1.csv", "k,v\n1,a\n", 1000)

@@ -67,7 +67,9 @@ def test_trend_splits_copies_of_one_sample(spark):
     """One sample makes up most of the series and lies across its middle."""
     df = spark.range(1000).select(
         F.lit("s").alias("series"),
-        F.when(F.col("id") < 100, 1).when(F.col("id") < 900, 2).otherwise(3).alias("ts"),
+        F.timestamp_seconds(
+            F.when(F.col("id") < 100, 1).when(F.col("id") < 900, 2).otherwise(3)
+        ).alias("ts"),
         F.when(F.col("id") < 100, 5.0).when(F.col("id") < 900, 1.0).otherwise(9.0).alias("value"),
     )
     row = series.series_trend(df).first()
@@ -75,6 +77,33 @@ def test_trend_splits_copies_of_one_sample(spark):
     assert row["trend"] == "increasing"
 
 
+def test_trend_over_many_hours(spark):
+    """Against a direct count, with a hot series, a hot hour and rows without time."""
+    df = spark.range(20_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 41)).alias("series"),
+        F.when(F.col("id") % 5 == 0, F.timestamp_seconds(F.lit(500_000)))
+        .when(F.col("id") % 97 > 0, F.timestamp_seconds(F.abs(F.hash("id")) % 1_000_000))
+        .alias("ts"),
+        "id",
+        (F.hash("id", F.lit(1)) % 100).cast("double").alias("value"),
+    )
+    groups = defaultdict(list)
+    for r in df.collect():
+        groups[r["series"]].append((r["ts"] is not None, r["ts"], r["id"], r["value"]))
+    want = {}
+    for name, members in groups.items():
+        values = [m[3] for m in sorted(members)]
+        half = len(values) // 2
+        want[name] = (len(values), sum(values[:half]) / half, sum(values[half:]) / (len(values) - half))
+    got = {
+        r["series"]: (r["samples"], r["first_average"], r["second_average"])
+        for r in series.series_trend(df, ("ts", "id")).collect()
+    }
+    assert got.keys() == want.keys()
+    for name in want:
+        assert got[name] == pytest.approx(want[name])
+
+
 def test_latest_beyond_the_rank_limit(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") < 2500, "hot").otherwise("cold").alias("series"),
