@@ -1,7 +1,8 @@
 """Slowly changing dimensions, type 2, as pure state transitions.
 
-``state`` is the whole dimension (history and current rows); a batch holds source
-rows. Every operator returns a DataFrame; none brings rows to the driver.
+``state`` is the whole dimension (history and current rows), with at most one current
+row per complete key, as all loads here keep it; a batch holds source rows. Every
+operator returns a DataFrame; none brings rows to the driver.
 
 Join shapes are picked for a state far larger than a batch. In a lookup the current
 slice is only ever the streamed side: the batch's keys (or the changed keys) are

@@ -7,7 +7,7 @@ scan's. The driver handles file paths only, at most ``max_files`` at a time.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -136,7 +136,12 @@ def prepare_batch(
 ) -> DataFrame:
     """Transformed batch whose rows know their file and that file's instant: the
     load instant plus one microsecond per file before it in this load."""
-    rows = apply_transformations(batch, spec.transformations)
+    steps = spec.transformations
+    if isinstance(steps, Mapping) and "select" in steps:
+        # A configured column list does not know of the lineage column.
+        if not {"*", "_source_file"} & {c for c in steps["select"] if isinstance(c, str)}:
+            steps = {**steps, "select": [*steps["select"], "_source_file"]}
+    rows = apply_transformations(batch, steps)
     if "_source_file" not in rows.columns:
         raise ValueError("a transform must keep the _source_file column")
     base = F.unix_micros(F.lit(as_of).cast("timestamp")) + offset
@@ -204,30 +209,31 @@ def load_table(
         todo = led.unprocessed_files(listing, book, skip_skipped=True, max_retries=max_retries)
         if last is not None:
             todo = todo.filter(place > F.struct(F.lit(last[0]).cast("timestamp"), F.lit(last[1])))
+        known = book.select(F.col("file_path").alias("path"), F.lit(True).alias("known"))
         chunk = (
-            todo.orderBy("modificationTime", "path")
-            .select("path", "length", "modificationTime", F.col("modificationTime").cast("string"))
+            todo.join(known, "path", "left")
+            .orderBy("modificationTime", "path")
+            .select(
+                "path",
+                "length",
+                "modificationTime",
+                F.col("modificationTime").cast("string").alias("at"),
+                F.coalesce("known", F.lit(False)).alias("known"),
+            )
             .limit(max_files)
             .collect()
         )
         if not chunk:
             break
-        files = [r[0] for r in chunk]
-        last = (chunk[-1][3], files[-1])
+        files = [r["path"] for r in chunk]
+        last = (chunk[-1]["at"], files[-1])
         chosen = local_frame(
             spark,
-            {
-                "path": files,
-                "length": [r[1] for r in chunk],
-                "modificationTime": [r[2] for r in chunk],
-            },
+            {n: [r[n] for r in chunk] for n in ("path", "length", "modificationTime")},
         )
         # Rows of a file the ledger knows may be in the table: its load may have
         # been cut off after the commit.
-        fresh = (
-            book.join(chosen.select(F.col("path").alias("file_path")), "file_path", "left_semi")
-            .isEmpty()
-        )
+        fresh = not any(r["known"] for r in chunk)
         book = led.register_files(book, chosen, spec.table_name, start)
         begun = chosen.select(
             F.col("path").alias("file_path"), F.lit(led.PROCESSING).alias("status")

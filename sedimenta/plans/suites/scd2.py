@@ -76,11 +76,15 @@ def merged_state(spark, sf_dir):
     return materialize(q_merge(spark, sf_dir), "state")
 
 
+# One row per complete key, the first by all columns.
+FIRST_PER_KEY = """QUALIFY c_custkey IS NULL OR row_number() OVER (PARTITION BY c_custkey
+  ORDER BY c_name NULLS FIRST, c_nationkey NULLS FIRST, c_acctbal NULLS FIRST,
+  c_mktsegment NULLS FIRST) = 1"""
 INITIAL_SQL = f"""
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
        TIMESTAMP '{T0}' AS effective_date, CAST(NULL AS TIMESTAMP) AS end_date,
        TRUE AS is_current, 'initial' AS _source_file, TIMESTAMP '{T0}' AS _load_timestamp
-FROM customer
+FROM customer {FIRST_PER_KEY}
 """
 FIRST_SQL = """
 SELECT c_custkey, c_name,
@@ -99,7 +103,8 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal,
        AS c_mktsegment
 FROM b1 WHERE c_custkey IS NOT NULL
 """
-BASE_SQL = f"WITH s0 AS ({INITIAL_SQL}), b1 AS ({FIRST_SQL}), b2 AS ({SECOND_SQL})"
+BASE_SQL = f"""WITH s0 AS ({INITIAL_SQL}),
+b1 AS (SELECT * FROM ({FIRST_SQL}) {FIRST_PER_KEY}), b2 AS ({SECOND_SQL})"""
 TUPLE = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta import TableSpec
 from sedimenta.operators import ledger as led
+from sedimenta.operators import scd2
 from sedimenta.operators.summaries import load_summary, run_summary
 from sedimenta.plans import loading
 from sedimenta.sources.store import TableStore
@@ -134,6 +135,22 @@ def test_merge_and_overwrite(spark, tmp_path, strategy):
     assert rows(table, "k", "v") == want
 
 
+def test_configured_columns_and_header_orders(spark, tmp_path):
+    """Columns in another order in one file are matched by name, not by place."""
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    put(raw, "1.csv", "k;v;x\n1;a;0\n", 1000)
+    put(raw, "2.csv", "v;x;k\nb;0;2\n", 1001)
+    spec = spec_for(
+        raw,
+        reader_options={"sep": ";"},
+        transformations={"add_columns": {"w": "upper(v)"}, "select": ["k", "w"]},
+    )
+    assert loading.load_all(spark, [spec], root, T1).filter("success").count() == 2
+    table = loading.store_for(spark, root, spec).read()
+    assert rows(table, "k", "w") == [(1, "A"), (2, "B")]
+    assert table.columns == ["k", "w", "_source_file", "_load_timestamp", "_batch_id"]
+
+
 def test_own_strategy(spark, tmp_path):
     def keep_largest(state, batch, spec, as_of):
         rows_ = batch if state is None else state.unionByName(batch)
@@ -235,3 +252,26 @@ def test_stream_drops_repeats_and_late_rows(spark, tmp_path):
         .trigger(availableNow=True).start(out).awaitTermination()
     )
     assert rows(spark.read.parquet(out), "k") == [(1,), (2,), (4,)]
+
+
+def test_merge_plan_over_the_store(spark, tmp_path):
+    """History is only passed on; the current slice is exchanged once, or not at all
+    when a small batch is looked up in it."""
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    put(raw, "1.csv", "k,v\n1,a\n2,a\n", 1000)
+    spec = spec_for(raw, **SCD2)
+    loading.load_all(spark, [spec], root, T1)
+    state = loading.store_for(spark, root, spec).read()
+    batch = spark.read.csv(f"{raw}/1.csv", header=True, schema="k int, v string").withColumn(
+        "v", F.lit("b")
+    )
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    outer = plan(scd2.scd2_merge(state, batch, spec, T2, "f"))
+    assert outer.count("Exchange hashpartitioning") == 2 and outer.count("FullOuter") == 1
+    assert "PartitionFilters: [NOT (is_current" in outer
+    small = plan(scd2.scd2_merge(state, batch, spec, T2, "f", small_batch=True))
+    assert "SortMergeJoin" not in small and small.count("BroadcastHashJoin") == 1
+    assert "Exchange hashpartitioning" not in small.split("BroadcastExchange")[0]

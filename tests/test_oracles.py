@@ -43,6 +43,9 @@ def test_query(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     names = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in names) for r in df.collect()), key=repr)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "ExternalRDD"):
+        assert operator not in plan
     sql = contract.oracle_sql().get(name)
     if sql is None:
         assert got
