@@ -36,15 +36,18 @@ def finished_orders(spark, sf_dir):
 
 
 def other_orders(spark, sf_dir):
+    """Later files, one per status."""
     rows = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")
-    return rows.withColumn("_source_file", F.lit("/raw/orders/late/open.parquet"))
+    name = F.concat(F.lit("/raw/orders/late/"), F.col("o_orderstatus"), F.lit(".parquet"))
+    return rows.withColumn("_source_file", name)
 
 
 FINISHED_SQL = f"""SELECT *, TIMESTAMP '{T0}' AS _load_timestamp,
   '/raw/orders/' || o_orderpriority || '.parquet' AS _source_file,
   o_orderpriority || '.parquet' AS _batch_id FROM orders WHERE o_orderstatus = 'F'"""
 OTHER_SQL = f"""SELECT *, TIMESTAMP '{T1}' AS _load_timestamp,
-  '/raw/orders/late/open.parquet' AS _source_file, 'open.parquet' AS _batch_id
+  '/raw/orders/late/' || o_orderstatus || '.parquet' AS _source_file,
+  o_orderstatus || '.parquet' AS _batch_id
 FROM orders WHERE o_orderstatus <> 'F'"""
 
 
@@ -119,7 +122,7 @@ def q_undo_metrics(spark, sf_dir):
 
 @query("append_idempotent", f"{FINISHED_SQL} UNION ALL {OTHER_SQL}")
 def q_idempotent(spark, sf_dir):
-    """The second file loaded twice."""
+    """The later files loaded twice."""
     once = materialize(q_append(spark, sf_dir), "state")
     return append.append_idempotent_load(once, other_orders(spark, sf_dir), ORDERS, T1)
 
