@@ -90,6 +90,9 @@ def append_idempotent_load(
 def merge_load(state: DataFrame, batch: DataFrame, spec: TableSpec) -> DataFrame:
     """Upsert: batch rows replace state rows of equal key; the rest stays."""
     keys = list(spec.primary_keys)
+    # Distinct keys of all batch rows: copies collapse per task, and which of several
+    # rows of a key is used does not matter here.
+    replaced = batch.select(*keys).distinct()
     if spec.duplicates == "dedupe":
         complete = F.lit(True)
         for k in keys:
@@ -98,7 +101,7 @@ def merge_load(state: DataFrame, batch: DataFrame, spec: TableSpec) -> DataFrame
         batch = deduplicate(batch.filter(complete), keys, spec.order_by)
         if spec.null_keys == "insert":
             batch = batch.unionByName(unmatched)
-    kept = state.join(batch.select(*keys), keys, "left_anti").select(*state.columns)
+    kept = state.join(replaced, keys, "left_anti").select(*state.columns)
     return union_evolved(kept, batch)
 
 

@@ -333,9 +333,14 @@ def scd2_merge_versions(
     versions: DataFrame | None = None,
 ) -> DataFrame:
     """Full state after merging several ordered snapshots in one pass; equal to
-    merging them one after the other, each with its own instant."""
+    merging them one after the other, each with its own instant.
+
+    The opened versions (or ``versions``, stored rows of :func:`scd2_versions`) are
+    kept in the scratch folder first: they are used twice, and the join that closes
+    current rows is planned from their true size.
+    """
     if versions is None:
-        versions = scd2_versions(batch, state, spec, effective)
+        versions = materialize(scd2_versions(batch, state, spec, effective), "versions")
     delta = scd2_versions_delta(state, versions, spec, effective)
     return union_evolved(scd2_history(state, spec), delta)
 

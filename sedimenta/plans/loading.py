@@ -171,7 +171,15 @@ def _load_files(
     started = time.monotonic()
     try:
         batch = prepare_batch(read_for(spark, spec, files), spec, as_of, files, offset)
+        appends = spec.loading_strategy == "append"
+        if not appends and spec.file_format in ("csv", "json"):
+            # Other strategies read the batch several times; text is parsed once.
+            batch = materialize(batch, "batch")
         LOADERS[spec.loading_strategy](store, batch, spec, as_of, fresh)
+        if appends:
+            # Every row was written, and counting it there reads one column.
+            names = local_frame(spark, {"_source_file": list(files)})
+            batch = store.added().join(names, "_source_file", "left_semi")
         counts = {r["_source_file"]: r["records"] for r in _file_counts(batch).collect()}
         each = (time.monotonic() - started) / len(files)
         return [(f, spec.table_name, True, each, None, counts.get(f, 0)) for f in files]

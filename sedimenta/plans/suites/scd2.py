@@ -212,9 +212,8 @@ def q_merge_versions(spark, sf_dir):
     both = stamped(first_batch(spark, sf_dir), T1, "first").unionByName(
         stamped(second_batch(spark, sf_dir), T2, "second")
     )
-    return scd2.scd2_merge_versions(
-        initial_state(spark, sf_dir), both, CUSTOMER, "snapshot_at"
-    )
+    state = materialize(initial_state(spark, sf_dir), "state")
+    return scd2.scd2_merge_versions(state, both, CUSTOMER, "snapshot_at")
 
 
 @query("scd2_metrics", f"""{BASE_SQL}, k1 AS ({classify_sql('s0', 'b1')})

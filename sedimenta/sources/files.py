@@ -210,6 +210,7 @@ def read_for(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> Data
         paths,
         spec.file_format,
         evolve=spec.schema_evolution,
+        schema=spec.source_schema,
         options=spec.reader_options,
         with_source=spec.source_path_pattern or "/",
     )

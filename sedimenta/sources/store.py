@@ -206,6 +206,10 @@ class TableStore:
             raise ValueError(f"no such table or version: {self.root}")
         return self._read_parts(found.parts)
 
+    def added(self) -> DataFrame:
+        """Rows the latest commit wrote."""
+        return self._read_parts(self.version().parts[-1:])
+
     def publish(self, view: str) -> None:
         """Register the current version as a temp view."""
         self.read().createOrReplaceTempView(view)

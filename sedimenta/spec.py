@@ -27,7 +27,8 @@ class TableSpec:
     schema order, so the choice never depends on partitioning.
     ``duplicates="keep"`` skips that step for sources known to have unique keys;
     ``null_keys="reject"`` drops rows whose key has a NULL part instead of inserting
-    them.
+    them. A ``source_schema`` spares text files the pass that infers types; CSV files
+    must then have their columns in its order.
     """
 
     table_name: str
@@ -47,6 +48,7 @@ class TableSpec:
     duplicates: str = "dedupe"
     null_keys: str = "insert"
     reader_options: Mapping[str, str] = field(default_factory=dict)
+    source_schema: Any = None
 
     def __post_init__(self):
         for name in ("primary_keys", "tracking_columns", "partition_columns", "order_by"):

@@ -80,9 +80,10 @@ def test_small_batches_in_file_order(spark, tmp_path):
     raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
     for n, value in enumerate("abcab"):
         put(raw, f"{9 - n}.csv", f"k,v\n1,{value}\n", 1000 + n)
-    spec = spec_for(raw, **SCD2)
+    spec = spec_for(raw, **SCD2, source_schema="k bigint, v string")
     store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
     result = loading.load_table(spark, spec, store, book, T1, max_files=2)
+    assert dict(store.read().dtypes)["k"] == "bigint"
     assert result.count() == 5
     history = [r["v"] for r in store.read().orderBy("effective_date").collect()]
     assert history == list("abcab")
