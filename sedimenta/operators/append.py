@@ -15,7 +15,7 @@ from sedimenta.functions.columns import (
 )
 from sedimenta.functions.scalars import as_date
 from sedimenta.operators.dedup import deduplicate
-from sedimenta.operators.scd2 import files_frame
+from sedimenta.operators.lineage import files_frame
 from sedimenta.spec import TableSpec
 
 
@@ -55,16 +55,6 @@ def append_metrics(state: DataFrame | None, rows: DataFrame) -> DataFrame:
     )
 
 
-def already_loaded(state: DataFrame, files) -> DataFrame:
-    """Those of the given source files that have rows in the table.
-
-    The table side is reduced to distinct files first, which collapses a dominant
-    file inside each map task.
-    """
-    present = state.select("_source_file").distinct()
-    return present.join(files_frame(state, files), "_source_file", "left_semi")
-
-
 def undo_load(state: DataFrame, files) -> DataFrame:
     """State without the rows of the given source files."""
     return state.join(files_frame(state, files), "_source_file", "left_anti").select(

@@ -27,7 +27,8 @@ from sedimenta.functions.columns import (
 )
 from sedimenta.functions.scalars import as_timestamp
 from sedimenta.operators.dedup import deduplicate
-from sedimenta.scratch import local_frame, materialize
+from sedimenta.operators.lineage import already_loaded, files_frame
+from sedimenta.scratch import materialize
 from sedimenta.spec import TableSpec
 
 CHANGE = "change_type"
@@ -370,14 +371,6 @@ def scd2_metrics(changes: DataFrame) -> DataFrame:
     )
 
 
-def files_frame(like: DataFrame, files) -> DataFrame:
-    """One-column frame ``_source_file`` from a path, a list of paths or a frame."""
-    if isinstance(files, DataFrame):
-        return files.select(F.col(files.columns[0]).alias("_source_file")).distinct()
-    paths = [files] if isinstance(files, str) else list(dict.fromkeys(files))
-    return local_frame(like.sparkSession, {"_source_file": paths})
-
-
 def scd2_undo_load(state: DataFrame, files, spec: TableSpec) -> DataFrame:
     """State as if the given source files had never been merged.
 
@@ -433,6 +426,12 @@ def scd2_undo_load(state: DataFrame, files, spec: TableSpec) -> DataFrame:
 def scd2_idempotent_load(
     state: DataFrame, batch: DataFrame, spec: TableSpec, as_of=None, source_file=None
 ) -> DataFrame:
-    """Merge a file's rows, undoing an earlier load of the same file first."""
-    undone = scd2_undo_load(state, source_file or batch.select("_source_file"), spec)
-    return scd2_merge(undone, batch, spec, as_of, source_file)
+    """Merge a file's rows, undoing an earlier load of the same file first.
+
+    Whether there was one is looked up right away; only then is the undone state
+    worked out, once, and kept in the scratch folder for the merge.
+    """
+    files = source_file or batch.select("_source_file").distinct()
+    if not already_loaded(state, files).isEmpty():
+        state = materialize(scd2_undo_load(state, files, spec), "undo")
+    return scd2_merge(state, batch, spec, as_of, source_file)

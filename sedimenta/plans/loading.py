@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.columns import apply_transformations, with_audit_columns
-from sedimenta.operators import append, ledger as led, scd2
+from sedimenta.operators import append, lineage, scd2
+from sedimenta.operators import ledger as led
 from sedimenta.operators.summaries import RESULT_SCHEMA
 from sedimenta.scratch import local_frame, materialize
 from sedimenta.sources.files import list_files, read_for
@@ -51,7 +52,7 @@ def _file_counts(rows: DataFrame) -> DataFrame:
 
 
 def _reloads(store: TableStore, files: DataFrame, fresh: bool) -> bool:
-    return not fresh and not append.already_loaded(store.read(), files).isEmpty()
+    return not fresh and not lineage.already_loaded(store.read(), files).isEmpty()
 
 
 def _load_scd2(store, batch, spec, as_of, fresh=False, tags=None):
@@ -151,11 +152,16 @@ def prepare_batch(
         batch.sparkSession,
         {"_source_file": list(files), "__rank": list(range(len(files)))},
     )
-    # One short row per file of the batch, whose number the caller bounds.
+    # One short row per file of the batch, whose number the caller bounds. A row of
+    # some other file must not get lost.
+    stray = F.raise_error(F.concat(F.lit("row of an unlisted file: "), "_source_file"))
     return (
-        rows.join(F.broadcast(ranks), "_source_file")
-        .withColumn(_EFFECTIVE, F.timestamp_micros(base + F.col("__rank")))
-        .drop("__rank")
+        rows.join(F.broadcast(ranks), "_source_file", "left")
+        .withColumn(
+            _EFFECTIVE,
+            F.timestamp_micros(base + F.coalesce(F.col("__rank"), stray.cast("long"))),
+        )
+        .select(*rows.columns, _EFFECTIVE)
     )
 
 

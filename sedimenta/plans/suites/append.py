@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sedimenta import TableSpec
-from sedimenta.operators import append, dedup
+from sedimenta.operators import append, dedup, lineage
 from sedimenta.plans.suites.registry import query, table
 from sedimenta.scratch import materialize
 
@@ -102,7 +102,7 @@ def q_already_loaded(spark, sf_dir):
         .select(order_file().alias("path"))
         .unionByName(other_orders(spark, sf_dir).select(F.col("_source_file").alias("path")))
     )
-    return append.already_loaded(finished_orders(spark, sf_dir), wanted)
+    return lineage.already_loaded(finished_orders(spark, sf_dir), wanted)
 
 
 @query("append_undo", f"SELECT * FROM ({FINISHED_SQL}) WHERE o_orderpriority <> '1-URGENT'")

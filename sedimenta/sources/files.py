@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -205,9 +206,11 @@ def read_source(
 
 def read_for(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> DataFrame:
     """Read files of a table as its description says, with their paths."""
+    # A path is no pattern: characters that mean something in one are escaped.
+    literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
     return read_source(
         spark,
-        paths,
+        literal,
         spec.file_format,
         evolve=spec.schema_evolution,
         schema=spec.source_schema,

@@ -206,6 +206,11 @@ class TableStore:
             raise ValueError(f"no such table or version: {self.root}")
         return self._read_parts(found.parts)
 
+    def row_count(self) -> int:
+        """Rows of the table, 0 if it does not exist."""
+        version = self.version()
+        return self.read().count() if version and version.parts else 0
+
     def added(self) -> DataFrame:
         """Rows the latest commit wrote."""
         return self._read_parts(self.version().parts[-1:])

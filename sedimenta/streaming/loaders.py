@@ -62,7 +62,8 @@ def stream_load(
     """Run a table's strategy on every micro-batch.
 
     A micro-batch may be delivered again after a failure, so the id of the last one
-    is part of the table version it made and a repeated one is skipped.
+    is part of the table version it made and a repeated one is skipped. That makes a
+    search for rows of its files needless.
     """
     tag = f"{stream_name}.batch"
 
@@ -78,7 +79,7 @@ def stream_load(
         if len(files) > MAX_FILES:
             raise ValueError(f"limit the source to {MAX_FILES} files per micro-batch")
         rows = prepare_batch(batch, spec, at, files)
-        LOADERS[spec.loading_strategy](store, rows, spec, at, tags={tag: batch_id})
+        LOADERS[spec.loading_strategy](store, rows, spec, at, fresh=True, tags={tag: batch_id})
 
     return (
         source.writeStream.foreachBatch(load)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta import TableSpec
-from sedimenta.operators import append, dedup
+from sedimenta.operators import append, dedup, lineage
 from tests.conftest import rows
 
 SPEC = TableSpec(
@@ -39,7 +39,7 @@ def test_undo_keeps_rows_without_file(spark):
     state = spark.sql("SELECT * FROM VALUES (1, 'f'), (2, NULL), (3, 'g') AS t(k, _source_file)")
     assert rows(append.undo_load(state, "f"), "k") == [(2,), (3,)]
     assert rows(append.undo_load(state, ["f", "g"]), "k") == [(2,)]
-    assert rows(append.already_loaded(state, ["g", "h"])) == [("g",)]
+    assert rows(lineage.already_loaded(state, ["g", "h"])) == [("g",)]
     assert append.undo_metrics(state, "f").first()[0] == 1
 
 

@@ -152,6 +152,19 @@ def test_configured_columns_and_header_orders(spark, tmp_path):
     assert table.columns == ["k", "w", "_source_file", "_load_timestamp", "_batch_id"]
 
 
+def test_odd_file_names(spark, tmp_path):
+    raw, root = str(tmp_path / "ra w"), str(tmp_path / "root")
+    names = ["a[1].csv", "b{x,y}.csv", "c*?.csv", "it's.csv", "p+q%20.csv"]
+    paths = [put(raw, n, f"k,v\n{i},x\n", 1000) for i, n in enumerate(names)]
+    spec = spec_for(raw)
+    result = loading.load_all(spark, [spec], root, T1)
+    assert rows(result, "file_path", "success", "total_records_processed") == sorted(
+        [(p, True, 1) for p in paths], key=repr
+    )
+    table = loading.store_for(spark, root, spec).read()
+    assert rows(table, "_batch_id", "k") == sorted([(n, i) for i, n in enumerate(names)], key=repr)
+
+
 def test_own_strategy(spark, tmp_path):
     def keep_largest(state, batch, spec, as_of):
         rows_ = batch if state is None else state.unionByName(batch)

@@ -83,8 +83,9 @@ def test_metadata(spark):
 
 def test_store_versions(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "t"))
-    assert not store.exists()
+    assert not store.exists() and store.row_count() == 0
     store.create(spark.range(3))
+    assert store.row_count() == 3
     store.append(spark.range(3, 5))
     store.create(store.read().filter("id > 1"), tags={"run": "x"})
     assert rows(store.read()) == [(2,), (3,), (4,)]
