@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from sedimenta.plans import suites
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -38,7 +39,7 @@ def test_oracles_name_queries():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(suites.load().QUERIES))
 def test_query(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     names = sorted(df.columns)
