@@ -13,7 +13,7 @@ WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MAX_EPOCHS = 2
 #: Rows of a source that one task orders, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def word_count(text):
