@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import re
 
 import numpy as np
@@ -16,7 +17,9 @@ from sedimenta.llm.shared import segments, span_hashes, text_buffers
 #: The vocabulary file; a parameter of every operator that needs ids.
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pieces a worker remembers before it starts afresh.
-REMEMBERED = 1_000_000
+REMEMBERED = 3_000_000
+#: Pieces encoded by one call of the library.
+AT_ONCE = 10_000
 #: What the vocabulary's byte-level pre-tokenizer splits by (a fixed value of the format).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Characters above ASCII that are Latin letters; texts with others are cut by PIECES.
@@ -50,9 +53,12 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         # in this vocabulary a character stands for a byte, so this is a token's length
         self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.known: dict[int, int] = {}
-        self.at = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pieces: their hashes, sorted, where each is kept, and the ids of all."""
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint16 if len(self.width) <= 1 << 16 else np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -67,25 +73,24 @@ class Encoder:
         while n < len(parts) and parts[n][0] == " " and len(parts[n]) > 1 and not parts[n].isspace():
             n += 1
         joined, alone = parts[:n], parts[n:]
-        ids = self.whole("".join(joined))
+        ids = np.concatenate([self.whole("".join(joined[i : i + AT_ONCE])) for i in range(0, max(n, 1), AT_ONCE)])
         ends = np.cumsum([len(p.encode()) for p in joined])
         cut = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
         got = [x.ids for x in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
         sizes = np.concatenate([np.diff(cut, prepend=0), [len(x) for x in got]]).astype(np.int64)
         return np.concatenate([ids, *(np.array(x, np.uint32) for x in got)]), sizes
 
-    def _learn(self, keys: np.ndarray, parts: list[str]) -> np.ndarray:
-        """Where each of the new parts is kept from now on."""
+    def _learn(self, keys: np.ndarray, parts: list[str]) -> None:
         behind = np.array([p[0] != " " or p.isspace() for p in parts])
         order = np.argsort(behind, kind="stable")
         ids, sizes = self.pieces([parts[i] for i in order.tolist()])
-        base = len(self.at) - 1
-        place = np.empty(len(parts), np.int64)
-        place[order] = np.arange(base, base + len(parts))
-        self.known.update(zip(keys.tolist(), place.tolist()))
+        place = np.empty(len(parts), np.int32)
+        place[order] = np.arange(len(self.at) - 1, len(self.at) - 1 + len(parts))
         self.at = np.concatenate([self.at, np.cumsum(sizes) + len(self.ids)])
-        self.ids = np.concatenate([self.ids, ids])
-        return place
+        self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
+        self.known, self.place = np.concatenate([self.known, keys]), np.concatenate([self.place, place])
+        order = np.argsort(self.known, kind="stable")
+        self.known, self.place = self.known[order], self.place[order]
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has. Nulls are empty."""
@@ -142,23 +147,25 @@ class Encoder:
         if not len(s):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
-        keys, place, inverse = np.unique(span_hashes(raw, s, e), return_index=True, return_inverse=True)
-        index = np.array([*map(self.known.get, keys.tolist())], dtype=object)
-        new = np.flatnonzero(np.equal(index, None))
+            self._forget()
+        keys, first, inverse = np.unique(span_hashes(raw, s, e), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, keys)
+        there = at < len(self.known)
+        there[there] = self.known[at[there]] == keys[there]
+        new = np.flatnonzero(~there)
         if len(new):
-            parts = [raw[a:b].tobytes().decode() for a, b in zip(s[place[new]].tolist(), e[place[new]].tolist())]
-            index[new] = self._learn(keys[new], parts)
-        which = index.astype(np.int64)[inverse]
+            self._learn(keys[new], [raw[a:b].tobytes().decode() for a, b in zip(s[first[new]].tolist(), e[first[new]].tolist())])
+        which = self.place[np.searchsorted(self.known, keys)][inverse]
         begin, sizes = self.at[which], self.at[which + 1] - self.at[which]
         ends = np.cumsum(sizes)
-        return self.ids[np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)], sizes
+        places = np.arange(ends[-1]) + np.repeat(begin - (ends - sizes), sizes)
+        return self.ids[places].astype(np.uint32), sizes
 
 
 @functools.cache
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
+    """One encoder per worker process and vocabulary; a worker has one core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Encoder(path)
 
 
