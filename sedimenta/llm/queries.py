@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import mixing, packing, records
+from sedimenta.llm import mixing, near_vectors, packing, records, topk
 from sedimenta.llm.shared import read
 
 QUERIES: dict = {}
@@ -16,6 +16,16 @@ def query(fn, sql: str | None = None):
     return fn
 
 
+@query
+def op4_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
@@ -63,3 +73,37 @@ SELECT doc_id, source, size, source_size, target,
     times * size + least(greatest(floor(target)::BIGINT - times * source_size - (upto - size), 0), size) AS taken
 FROM ordered
 """
+
+ORACLES["op4_top_inner_products"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+    FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+ORACLES["op5_near_duplicate_vectors"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(x, y) AS (
+    SELECT x, y FROM links
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(e.vec_id, y) AS component_id,
+    e.vec_id = least(e.vec_id, y) AS kept
+FROM embeddings e LEFT JOIN counted c ON c.x = e.vec_id LEFT JOIN least m ON m.x = e.vec_id
+"""
