@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.shared import arrow_groups, arrow_map, segments, slices
-from sedimenta.llm.tokens import encoder, vocabulary_path
+from sedimenta.llm.tokens import ENCODE_BYTES, encoder, vocabulary_path
 from sedimenta.scratch import materialize
 
 CAPACITY = 2048
@@ -43,7 +43,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_column
-        for batch in slices(batches):
+        for batch in slices(batches, ENCODE_BYTES):
             ids, counts = encode(batch.column(1))
             at = segments(counts)
             which, piece, start, length, crc, tie = [], [], [], [], [], []

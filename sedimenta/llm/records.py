@@ -24,55 +24,78 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.shared import arrow_map, as_uri, partitions, segments, slices
-from sedimenta.llm.tokens import encoder, vocabulary_path
+from sedimenta.llm.tokens import ENCODE_BYTES, encoder, vocabulary_path
 from sedimenta.scratch import scratch_path
 
 #: Appended to each document by the query.
 END_ID = 2
 _MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
+#: Bytes that the checksum reduces side by side.
+SEGMENT = 256
 #: Bytes read from a data file at once.
 READ_BYTES = 8 << 20
 
 
 @functools.cache
-def _tables() -> np.ndarray:
-    """CRC-32C by slices of 8 bytes: table[k][b] is b's remainder k bytes on."""
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """CRC-32C tables: table[k][b] is byte b's remainder k bytes on; the second has the
+    remainder of each of a value's four bytes a whole segment on."""
     first = np.arange(256, dtype=np.uint32)
     for _ in range(8):
         first = np.where(first & 1, (first >> 1) ^ np.uint32(0x82F63B78), first >> 1).astype(np.uint32)
     rows = [first]
     for _ in range(7):
         rows.append((rows[-1] >> 8) ^ first[rows[-1] & 0xFF])
-    return np.array(rows)
+    ahead = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
+    for _ in range(SEGMENT):
+        ahead = (ahead >> 8) ^ first[ahead & 0xFF]
+    return np.array(rows), ahead
 
 
 def crc32c(payloads: list[bytes]) -> np.ndarray:
-    """CRC-32C of each payload; all payloads advance together, 8 bytes a step."""
-    lengths = np.array([len(p) for p in payloads], np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    at = segments(lengths[order])[:-1]
-    raw = np.frombuffer(b"".join([payloads[i] for i in order.tolist()]) + bytes(8), np.uint8)
-    t = _tables()
-    crc = np.full(len(payloads), 0xFFFFFFFF, np.uint32)
-    full = lengths[order] // 8
-    steps = np.searchsorted(-full, -np.arange(1, (full[0] if len(full) else 0) + 1), side="right")
-    for step, n in enumerate(steps.tolist()):
-        block = raw[(at[:n] + step * 8)[:, None] + np.arange(8)].astype(np.uint32)
-        for k in range(4):
-            block[:, k] ^= (crc[:n] >> np.uint32(8 * k)) & np.uint32(0xFF)
-        out = t[7][block[:, 0]]
-        for k in range(1, 8):
-            out = out ^ t[7 - k][block[:, k]]
-        crc[:n] = out
-    rest = lengths[order] - full * 8
-    for k in range(7):
-        live = np.flatnonzero(rest > k)
-        byte = raw[at[live] + full[live] * 8 + k]
-        crc[live] = (crc[live] >> np.uint32(8)) ^ t[0][(crc[live] ^ byte) & np.uint32(0xFF)]
-    result = np.empty(len(payloads), np.uint32)
-    result[order] = ~crc
-    return result
+    """CRC-32C of each payload.
+
+    The checksum is linear, and leading zeros do not change it once its initial ones are
+    folded into the first four bytes. So payloads are filled up in front to whole segments,
+    all segments are reduced side by side, and each payload's are then joined in order.
+    """
+    payloads = [p if len(p) >= 4 else None for p in payloads], [p for p in payloads if len(p) < 4]
+    whole = [p for p in payloads[0] if p is not None]
+    rows, ahead = _tables()
+    out = np.empty(len(payloads[0]), np.uint32)
+    is_short = np.array([p is None for p in payloads[0]], bool)
+    for i, p in zip(np.flatnonzero(is_short).tolist(), payloads[1]):
+        crc = 0xFFFFFFFF
+        for byte in p:
+            crc = (crc >> 8) ^ int(rows[0][(crc ^ byte) & 0xFF])
+        out[i] = crc ^ 0xFFFFFFFF
+    if whole:
+        lengths = np.array([len(p) for p in whole], np.int64)
+        counts = -(-lengths // SEGMENT)
+        at = segments(counts)
+        raw = np.zeros(at[-1] * SEGMENT, np.uint8)
+        start = at[1:] * SEGMENT - lengths
+        ends = np.cumsum(lengths)
+        raw[np.arange(ends[-1]) + np.repeat(start - (ends - lengths), lengths)] = np.frombuffer(b"".join(whole), np.uint8)
+        raw[start[:, None] + np.arange(4)] ^= 0xFF
+        words = raw.reshape(-1, SEGMENT)
+        crc = np.zeros(len(words), np.uint32)
+        for k in range(0, SEGMENT, 8):
+            low = words[:, k : k + 4].copy().view("<u4")[:, 0] ^ crc
+            crc = rows[7][low & 0xFF] ^ rows[6][(low >> 8) & 0xFF] ^ rows[5][(low >> 16) & 0xFF] ^ rows[4][low >> 24]
+            for j in range(4):
+                crc = crc ^ rows[3 - j][words[:, k + 4 + j]]
+        order = np.argsort(-counts, kind="stable")
+        total = np.zeros(len(whole), np.uint32)
+        live = np.searchsorted(-counts[order], -np.arange(1, counts.max() + 1), side="right")
+        for step, n in enumerate(live.tolist()):
+            own = order[:n]
+            c = total[own]
+            moved = ahead[0][c & 0xFF] ^ ahead[1][(c >> 8) & 0xFF] ^ ahead[2][(c >> 16) & 0xFF] ^ ahead[3][c >> 24]
+            total[own] = moved ^ crc[at[own] + step]
+        out[~is_short] = ~total
+    return out
 
 
 def masked(crc: np.ndarray) -> np.ndarray:
@@ -135,7 +158,7 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str | None = None, e
         encode, part = encoder(path).encode_column, TaskContext.get().partitionId()
         out, name, offset, record, before = None, "", 0, 0, 0
         try:
-            for batch in slices(batches):
+            for batch in slices(batches, ENCODE_BYTES):
                 if out is None:
                     store, root = fs.FileSystem.from_uri(folder)
                     store.create_dir(root, recursive=True)
