@@ -114,27 +114,27 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def hash_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, A-Z lower-cased, and how many each row has.
+def word_blocks(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> Iterator[tuple]:
+    """(starts, ends, span hash function) of the words of block after block.
 
-    Rows are told apart by ``offsets``; words never span rows. Works block by block,
-    cut at white space or row starts, so a long text costs no more memory at once.
+    Words are runs of bytes that ``space`` does not mark; they never span rows. Blocks are
+    cut at such bytes or at row starts, so a long text costs no more memory at once. The
+    function hashes spans of the block, A-Z lower-cased.
     """
     first = np.zeros(len(raw) + 1, bool)
     first[offsets] = True
-    hashes, starts = [], []
     at, end = 0, len(raw)
     while at < end:
         stop = min(at + BLOCK_BYTES, end)
         if stop < end:
-            cuts = np.flatnonzero(_SPACE[raw[at + 1 : stop]] | first[at + 1 : stop])
+            cuts = np.flatnonzero(space[raw[at + 1 : stop]] | first[at + 1 : stop])
             if len(cuts):
                 stop = at + 1 + int(cuts[-1])
             else:  # a word longer than a block
-                rest = np.flatnonzero(_SPACE[raw[stop:]] | first[stop:end])
+                rest = np.flatnonzero(space[raw[stop:]] | first[stop:end])
                 stop = stop + int(rest[0]) if len(rest) else end
         block = raw[at:stop]
-        inside = ~_SPACE[block]
+        inside = ~space[block]
         head = inside.copy()
         head[1:] &= ~inside[:-1] | first[at + 1 : stop]
         tail = inside.copy()
@@ -142,12 +142,22 @@ def hash_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         s, e = np.flatnonzero(head), np.flatnonzero(tail) + 1
         if len(s):
             sums = np.zeros(len(block) + 1, np.uint64)
-            values = (_LOWER[block].astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(block))
-            np.cumsum(values, out=sums[1:])
-            h = (sums[e] - sums[s]) * _power(_INVERSE, len(block))[s]
-            hashes.append(mix(h ^ ((e - s).astype(np.uint64) << np.uint64(48))))
-            starts.append(s + at)
+            np.cumsum((_LOWER[block].astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(block)), out=sums[1:])
+            back = _power(_INVERSE, len(block))
+
+            def spans(a, b, sums=sums, back=back):
+                return mix(((sums[b] - sums[a]) * back[a]) ^ ((b - a).astype(np.uint64) << np.uint64(48)))
+
+            yield s, e, spans, at
         at = stop
+
+
+def hash_words(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words and how many each row has."""
+    hashes, starts = [], []
+    for s, e, spans, at in word_blocks(raw, offsets, space):
+        hashes.append(spans(s, e))
+        starts.append(s + at)
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
     bounds = np.searchsorted(np.concatenate(starts), offsets)
