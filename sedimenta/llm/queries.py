@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import mixing, near_vectors, packing, records, topk, toxicity
+from sedimenta.llm import mixing, near_vectors, packing, quality, records, topk, toxicity
 from sedimenta.llm.shared import read
 
 QUERIES: dict = {}
@@ -21,6 +21,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op4_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(read(spark, sf_dir, "embeddings"))
