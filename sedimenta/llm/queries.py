@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import mixing, near_vectors, packing, quality, records, topk, toxicity
+from sedimenta.llm import mixing, near_vectors, packing, pii, quality, records, topk, toxicity
 from sedimenta.llm.shared import read
 
 QUERIES: dict = {}
@@ -41,6 +41,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.record_digest(read(spark, sf_dir, "documents"))
