@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.shared import arrow_map, as_uri, partitions, segments, slices
+from sedimenta.llm.shared import arrow_map, as_uri, partitions, segments, slices, text_batches
 from sedimenta.llm.tokens import ENCODE_BYTES, encoder, vocabulary_path
 from sedimenta.scratch import scratch_path
 
@@ -194,7 +194,8 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str | None = None, e
         .repartitionByRange(partitions(spark), "doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
-    arrow_map(ordered, write, INDEX).write.parquet(f"{folder}/index")
+    with text_batches(spark):
+        arrow_map(ordered, write, INDEX).write.parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 

@@ -6,6 +6,7 @@ import io
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -71,6 +72,18 @@ def ship(spark: SparkSession) -> None:
     context.sedimenta_shipped = True
 
 
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """For jobs run within: fewer rows to an Arrow batch than Spark's 10,000, as texts are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on every executor."""
     ship(df.sparkSession)

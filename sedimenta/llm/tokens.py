@@ -19,7 +19,7 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pieces a worker remembers before it starts afresh.
 REMEMBERED = 3_000_000
 #: Bytes of text encoded at a time.
-ENCODE_BYTES = 3 << 20
+ENCODE_BYTES = 3 << 19
 #: Pieces encoded by one call of the library.
 AT_ONCE = 10_000
 #: What the vocabulary's byte-level pre-tokenizer splits by (a fixed value of the format).
