@@ -1,15 +1,36 @@
-"""A training-data pipeline over ``documents``: its stages, and one run of them all."""
+"""A training-data pipeline over ``documents``: its stages, and one run of them all.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the
+columns of ``documents``. Null and empty texts pass all stages (as texts of no words, they
+are not toxic, link with nothing, and are not taken into the mix); empty tables give no
+rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import mixing, packing
+from sedimenta.llm import mixing, ngram_join, packing, pii, toxicity
 from sedimenta.scratch import materialize
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine does not reject."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a Jaccard of 0.8."""
+    return ngram_join.one_of_each(docs, width=5, percent=80)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data, plain or disguised, replaced by its kind."""
+    return pii.redact_documents(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents, repeated or left out so that each source meets its target."""
+    """The documents as often as their source's target takes them."""
     return mixing.mixed_documents(docs)
 
 
@@ -18,7 +39,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
-STAGES = [("mix", mix), ("pack", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_copies),
+    ("pii", redact),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
 #: Learned scores, near copies, disguised identifiers and packing are not SQL.
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import mixing, near_vectors, packing, pii, quality, records, topk, toxicity
+from sedimenta.llm import mixing, near_vectors, ngram_join, packing, pii, quality, records, topk, toxicity
 from sedimenta.llm.shared import read
 
 QUERIES: dict = {}
@@ -26,6 +26,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(read(spark, sf_dir, "embeddings"))

@@ -32,6 +32,10 @@ _APART = np.ones(256, bool)
 _APART[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
+def _share(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
 @dataclass
 class Machine:
     """bias + sum of w_i x_i + sum of <v_i, v_j> x_i x_j over the terms of a document.
@@ -130,7 +134,7 @@ def train(machine: Machine, row: np.ndarray, term: np.ndarray, label: np.ndarray
     bias, m, v, mb, vb = machine.bias, np.zeros_like(theta), np.zeros_like(theta), 0.0, 0.0
     for step in range(1, EPOCHS + 1):
         machine.bias, machine.linear, machine.factors = bias, theta[:, 0], theta[:, 1:]
-        wrong = 1 / (1 + np.exp(-np.clip(machine.logits(row, term, n), -30, 30))) - label
+        wrong = _share(machine.logits(row, term, n)) - label
         grad = np.empty_like(theta)
         pull = wrong[row]
         grad[:, 0] = np.bincount(term, pull, size)
@@ -156,7 +160,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             row, term = distinct_terms(batch.column(1), machine.slot)
             logit = machine.logits(row, term, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))))], names=["doc_id", "score"]
+                [batch.column(0), pa.array(_share(logit))], names=["doc_id", "score"]
             )
 
     return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), apply, "doc_id long, score double")
@@ -170,3 +174,15 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     tables give no rows. Further columns are ignored.
     """
     return with_prediction(score(docs, fit(docs, labels)), THRESHOLD)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; all columns as they are."""
+    machine, place = fit(docs, labels), docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            row, term = distinct_terms(batch.column(place), machine.slot)
+            yield batch.filter(pa.array(_share(machine.logits(row, term, batch.num_rows)) < threshold))
+
+    return arrow_map(docs, keep, docs.schema)
