@@ -9,11 +9,17 @@ rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sedimenta.llm import mixing, ngram_join, packing, pii, toxicity
 from sedimenta.scratch import materialize
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with n_chars as its texts now are."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine does not reject."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -26,12 +32,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data, plain or disguised, replaced by its kind."""
-    return pii.redact_documents(docs)
+    return _counted(pii.redact_documents(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as their source's target takes them."""
-    return mixing.mixed_documents(docs)
+    return _counted(mixing.mixed_documents(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

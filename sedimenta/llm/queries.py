@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import mixing, near_vectors, ngram_join, packing, pii, quality, records, topk, toxicity
+from sedimenta.llm import (
+    katz,
+    mixing,
+    near_vectors,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    records,
+    topk,
+    toxicity,
+)
 from sedimenta.llm.shared import read
 
 QUERIES: dict = {}
@@ -61,6 +72,11 @@ def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+@query
+def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(read(spark, sf_dir, "documents"))
+
+
 ORACLES["op6_mix_sources"] = r"""
 WITH sized AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
