@@ -115,23 +115,28 @@ def with_row_hash(
     return df.withColumn(hash_column, hashers[method](joined))
 
 
+# Between words of a name: before a capital that follows a small letter or digit, and
+# before the last of several capitals if a small letter follows.
+_WORD_START = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[^_\W])(?=[A-Z][a-z])")
+
+
 def _snake(name: str) -> str:
-    split_words = re.sub(r"(.)([A-Z][a-z]+)", r"\1_\2", name)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", split_words).lower()
+    return _WORD_START.sub("_", name).lower()
 
 
 def _camel(name: str) -> str:
-    head, *tail = name.split("_")
-    return head.lower() + "".join(word.capitalize() for word in tail)
+    words = name.lower().split("_")
+    return words[0] + "".join(w[:1].upper() + w[1:] for w in words[1:])
 
 
+# Names of the strategies.
 _RENAMERS = {"lowercase": str.lower, "snake_case": _snake, "camel_case": _camel}
 
 
 def sanitize_columns(df: DataFrame, strategy: str = "lowercase") -> DataFrame:
     """Rename every column to lowercase, snake_case or camelCase in one projection."""
     if strategy not in _RENAMERS:
-        raise ValueError(f"Unsupported sanitization strategy: {strategy}")
+        raise ValueError(f"no way to rename columns is called {strategy!r}")
     renamed = [_RENAMERS[strategy](c) for c in df.columns]
     clashes = sorted({c for c in renamed if renamed.count(c) > 1})
     if clashes:

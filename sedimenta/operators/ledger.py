@@ -23,6 +23,8 @@ PENDING, PROCESSING, COMPLETED, FAILED, SKIPPED = STATUSES = (
     "skipped",
 )
 TABLE_STATUSES = ("not_started", "in_progress", "completed", "failed")
+# The order of a file's steps, which decides between changes at one instant.
+LIFE_CYCLE = (PENDING, PROCESSING, FAILED, SKIPPED, COMPLETED)
 ORPHAN_MESSAGE = "Orphaned processing record - marked as failed for retry"
 
 LEDGER_SCHEMA = T.StructType(
@@ -92,7 +94,7 @@ def apply_transitions(ledger: DataFrame, transitions: DataFrame, as_of=None) ->
 
     ``transitions`` has ``file_path``, ``status`` and, if wanted, ``error_message``
     and ``changed_at`` (default ``as_of``); of several rows for one file the last
-    by ``changed_at`` counts. A start sets the start time, an end the end time, a
+    by ``changed_at`` counts, at one instant the later step of the life cycle. A start sets the start time, an end the end time, a
     failure also counts a retry and takes the message even if it is NULL.
     """
     at = F.col("changed_at") if "changed_at" in transitions.columns else as_timestamp(as_of)
@@ -101,8 +103,12 @@ def apply_transitions(ledger: DataFrame, transitions: DataFrame, as_of=None) ->
     )
     steps = transitions.select(
         "file_path",
+        # Of changes at one instant the later step of a file's life counts.
         F.struct(
-            at.alias("at"), F.col("status"), message.cast("string").alias("message")
+            at.alias("at"),
+            F.array_position(F.lit(list(LIFE_CYCLE)), F.col("status")).alias("rank"),
+            F.col("status"),
+            message.cast("string").alias("message"),
         ).alias("step"),
     )
     last = steps.groupBy("file_path").agg(F.max("step").alias("__step"))
@@ -216,10 +222,7 @@ def ledger_checked(ledger: DataFrame) -> DataFrame:
 
 def _orphaned(as_of, hours: int) -> Column:
     cutoff = as_timestamp(as_of) - F.expr(f"INTERVAL {int(hours)} HOURS")
-    return F.coalesce(
-        (F.col("status") == PROCESSING) & (F.col("processing_start_time") < cutoff),
-        F.lit(False),
-    )
+    return (F.col("status") == PROCESSING) & (F.col("processing_start_time") < cutoff)
 
 
 def orphaned_files(ledger: DataFrame, as_of=None, hours: int = 2) -> DataFrame:
@@ -229,7 +232,7 @@ def orphaned_files(ledger: DataFrame, as_of=None, hours: int = 2) -> DataFrame:
 
 def fix_orphans(ledger: DataFrame, as_of=None, hours: int = 2) -> DataFrame:
     """Ledger with orphans failed, ready for a retry that costs them none."""
-    orphan, now = _orphaned(as_of, hours), as_timestamp(as_of)
+    orphan, now = F.coalesce(_orphaned(as_of, hours), F.lit(False)), as_timestamp(as_of)
     fixed = {
         "status": F.lit(FAILED),
         "error_message": F.lit(ORPHAN_MESSAGE),
@@ -257,18 +260,8 @@ def consistency_report(ledger: DataFrame, table_status: DataFrame) -> DataFrame:
     processing = F.coalesce(F.col("processing"), F.lit(0))
     broken = (F.col("table_status") == "completed") & (failed > 0)
     stuck = (F.col("table_status") == "in_progress") & (processing > 0)
-    issue = F.when(
-        broken,
-        F.concat(
-            F.lit("Table marked as completed but has "), failed.cast("string"), F.lit(" failed files")
-        ),
-    ).when(
-        stuck,
-        F.concat(
-            F.lit("Table has "),
-            processing.cast("string"),
-            F.lit(" files in processing state - may be stuck"),
-        ),
+    issue = F.when(broken, F.format_string("failed_files:%d", failed)).when(
+        stuck, F.format_string("processing_files:%d", processing)
     )
     return (
         table_status.select("table_name", F.col("status").alias("table_status"))
@@ -290,7 +283,7 @@ def ledger_validation(
     flags = ledger.select(
         F.lit(1).alias("row"),
         (F.col("status") == COMPLETED).alias("checked"),
-        _orphaned(as_of, hours).alias("orphan"),
+        F.coalesce(_orphaned(as_of, hours), F.lit(False)).alias("orphan"),
         F.lit(False).alias("gone"),
     )
     if listing is not None:

@@ -84,16 +84,19 @@ def estimate_size(
 ) -> DataFrame:
     """One row: rows, columns, estimated bytes and MB, and rows sampled.
 
-    Bytes are rows x 100, or 0 if the sample is empty. With ``measure`` the mean
-    JSON length of the sampled rows replaces the constant.
+    Bytes are rows x 100, or 0 if there are no rows. With ``measure`` the mean JSON
+    length of the sampled rows replaces the constant. The sample is that share of the
+    rows, wherever they lie, or ``sample_rows`` rows if the table has no more.
     """
-    sample = df.sample(fraction=sample_fraction, seed=42).limit(sample_rows)
+    drawn = df.sample(fraction=sample_fraction, seed=42)
+    few = df.limit(sample_rows + 1).count() <= sample_rows
+    sample = df if few else drawn
     width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     both = df.select(F.lit(1).alias("whole"), F.lit(None).cast("int").alias("width")).unionAll(
         sample.select(F.lit(0).alias("whole"), (width if measure else F.lit(0)).alias("width"))
     )
     row_bytes = F.col("mean_width") if measure else F.lit(ASSUMED_ROW_BYTES)
-    size = F.when(F.col("sample_count") > 0, F.col("row_count") * row_bytes).otherwise(0)
+    size = F.when(F.col("row_count") > 0, F.col("row_count") * F.coalesce(row_bytes, F.lit(ASSUMED_ROW_BYTES))).otherwise(0)
     return (
         both.agg(
             F.count_if(F.col("whole") == 1).alias("row_count"),

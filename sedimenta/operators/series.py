@@ -221,7 +221,9 @@ def efficiency_score(
 
 def latest_n(samples: DataFrame, n: int = 100, order_by: Sequence[str] = ("ts",)) -> DataFrame:
     """The latest ``n`` samples of every series."""
-    newest = [F.col(c).desc() for c in order_by]
+    # Ties go by the other columns, whichever way is taken.
+    others = [c for c in samples.columns if c not in ("series", *order_by)]
+    newest = [F.col(c).desc() for c in order_by] + [F.col(c).asc() for c in others]
     limit = int(samples.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit:
         return top_per_group(samples, ["series"], newest, n)
@@ -275,12 +277,9 @@ def rolling_average(
     )
     block = F.floor((F.col("position") - 1) / BLOCK_ROWS)
     spill = F.floor((F.col("position") - 2 + window) / BLOCK_ROWS)
-    # A row also feeds the next block if it is among the last window-1 of its own.
+    # A row also feeds every later block that the window-1 rows after it reach.
     copies = placed.withColumn("__home", block).withColumn(
-        "__block",
-        F.explode(
-            F.when(spill > block, F.array(block, spill)).otherwise(F.array(block))
-        ),
+        "__block", F.explode(F.sequence(block, spill))
     )
     frame = (
         Window.partitionBy("series", "__block")

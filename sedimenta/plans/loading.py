@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +19,14 @@ from sedimenta.functions.columns import apply_transformations, with_audit_column
 from sedimenta.operators import append, lineage, scd2
 from sedimenta.operators import ledger as led
 from sedimenta.operators.summaries import RESULT_SCHEMA
-from sedimenta.scratch import local_frame, materialize
+from sedimenta.scratch import local_frame, materialize, temporary_tables
 from sedimenta.sources.files import list_files, read_for
-from sedimenta.sources.store import TableStore
+from sedimenta.sources.store import CommitConflict, TableStore
 from sedimenta.spec import STRATEGIES, TableSpec
 
 _EFFECTIVE = "__effective"
+# Tag of an SCD2 version: the latest instant in the table, in microseconds.
+_INSTANT = "latest_instant"
 # Files of one batch; their paths are the only thing the driver handles.
 MAX_FILES = 10_000
 
@@ -47,24 +50,32 @@ def _file_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("_source_file").agg(F.count(F.lit(1)).alias("records"))
 
 
-# -- strategies: (store, batch rows, spec, as_of, fresh) -> version ----------------
-# ``fresh`` says that none of the batch's files can have rows in the table.
+# -- strategies: (store, batch rows, spec, as_of, files, tags) -> version ------------
+# ``files`` are the paths of the batch, as a list. Rows that an earlier load left of one
+# of them are removed first. The store notes the paths of every load before it commits,
+# so files it has never seen need no search.
 
 
-def _reloads(store: TableStore, files: DataFrame, fresh: bool) -> bool:
-    return not fresh and not lineage.already_loaded(store.read(), files).isEmpty()
+def _reloads(store: TableStore, files: Sequence[str]) -> bool:
+    """Whether the table holds rows of the files; notes them as about to be loaded."""
+    held = (
+        store.exists()
+        and store.may_hold(files)
+        and not lineage.already_loaded(store.read(), files).isEmpty()
+    )
+    store.note_files(files)
+    return held
 
 
-def _load_scd2(store, batch, spec, as_of, fresh=False, tags=None):
+def _load_scd2(store, batch, spec, as_of, files, tags=None):
     """Merge a batch whose files carry ``__effective`` instants."""
-    files = batch.select("_source_file").distinct()
-    rewrite = True
+    rewrite, reloads = True, _reloads(store, files)
     if not store.exists():
         state = scd2.with_scd2_columns(
             batch.drop(_EFFECTIVE).limit(0), spec, as_of, F.col("_source_file")
         )
-    elif _reloads(store, files, fresh):
-        state = materialize(scd2.scd2_undo_load(store.read(), files, spec), "undo")
+    elif reloads:
+        state = materialize(scd2.scd2_undo_load(store.read(), list(files), spec), "undo")
     else:
         state, rewrite = store.read(), False
     # Classified once and kept: what is closed and what is opened must agree.
@@ -76,28 +87,31 @@ def _load_scd2(store, batch, spec, as_of, fresh=False, tags=None):
     return store.replace_except(delta, {spec.scd2_current_flag_column: "false"}, tags)
 
 
-def _load_append(store, batch, spec, as_of, fresh=False, tags=None):
+def _load_append(store, batch, spec, as_of, files, tags=None):
     rows = with_audit_columns(batch.drop(_EFFECTIVE), as_of)
-    files = batch.select("_source_file").distinct()
-    if store.exists() and _reloads(store, files, fresh):
-        cleared = append.undo_load(store.read(), files)
+    if _reloads(store, files):
+        cleared = append.undo_load(store.read(), list(files))
         return store.create(append.union_evolved(cleared, rows), tags)
     return store.append(rows, spec.schema_evolution, tags)
 
 
-def _load_overwrite(store, batch, spec, as_of, fresh=False, tags=None):
+def _load_overwrite(store, batch, spec, as_of, files, tags=None):
     rows = with_audit_columns(batch.drop(_EFFECTIVE), as_of)
     if store.exists():
         rows = append.overwrite_load(store.read(), rows, spec)
+    store.note_files(files)
     return store.create(rows, tags)
 
 
-def _load_merge(store, batch, spec, as_of, fresh=False, tags=None):
+def _load_merge(store, batch, spec, as_of, files, tags=None):
     # Within a batch the row of the latest file wins.
     ties = spec.order_by or tuple(c for c in batch.columns if c != _EFFECTIVE)
     newest = replace(spec, order_by=(f"{_EFFECTIVE} DESC", *ties))
     rows = with_audit_columns(batch, as_of)
+    reloads = _reloads(store, files)
     state = store.read() if store.exists() else rows.drop(_EFFECTIVE).limit(0)
+    if reloads:
+        state = append.undo_load(state, list(files))
     return store.create(append.merge_load(state, rows, newest).drop(_EFFECTIVE), tags)
 
 
@@ -119,12 +133,12 @@ def register_strategy(
     loaded again are removed from the state first.
     """
 
-    def load(store, batch, spec, as_of, fresh=False, tags=None):
+    def load(store, batch, spec, as_of, files, tags=None):
         rows = with_audit_columns(batch.drop(_EFFECTIVE), as_of)
+        reloads = _reloads(store, files)
         state = store.read() if store.exists() else None
-        files = batch.select("_source_file").distinct()
-        if state is not None and _reloads(store, files, fresh):
-            state = append.undo_load(state, files)
+        if reloads:
+            state = append.undo_load(state, list(files))
         return store.create(transition(state, rows, spec, as_of), tags)
 
     if name not in STRATEGIES:
@@ -169,34 +183,132 @@ def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
 
 
-def _load_files(
-    spark, spec, store, files: Sequence[str], as_of: str, offset: int, fresh: bool
-) -> list[tuple]:
-    """Load files as one batch; if that fails, halve it until only the bad files
-    are left. Commits are atomic, so a failed attempt leaves nothing behind."""
+def next_offset(store: TableStore, spec: TableSpec, as_of: str, done: int = 0) -> int:
+    """Microseconds after ``as_of`` at which the next file of a load takes effect.
+
+    Instants of an SCD2 table only go forward: a file that comes late, or again, follows
+    what is in the table, so no version ends before it starts.
+    """
+    if spec.loading_strategy != "scd2" or not store.exists():
+        return done
+    latest = store.version().tags.get(_INSTANT)
+    if latest is None:
+        started = F.unix_micros(F.col(f"`{spec.scd2_effective_date_column}`").cast("timestamp"))
+        latest = store.read().agg(F.max(started)).first()[0]
+    start = F.unix_micros(F.lit(as_of).cast("timestamp"))
+    micros = store.spark.range(1).select(start).first()[0]
+    return done if latest is None else max(done, int(latest) + 1 - micros)
+
+
+def commit_batch(store, batch, spec, as_of, files, offset, tags=None) -> None:
+    """Run the table's strategy on prepared rows; an SCD2 commit records its last instant."""
+    if spec.loading_strategy == "scd2":
+        start = F.unix_micros(F.lit(as_of).cast("timestamp"))
+        micros = store.spark.range(1).select(start).first()[0]
+        tags = {**(tags or {}), _INSTANT: micros + offset + len(files) - 1}
+    LOADERS[spec.loading_strategy](store, batch, spec, as_of, list(files), tags)
+
+
+def _refuse_unlike(spec: TableSpec, store: TableStore, batch: DataFrame) -> None:
+    """Without schema evolution rows must have the columns the table has."""
+    if spec.schema_evolution or not store.exists():
+        return
+    own = {"_source_file", "_load_timestamp", "_batch_id", *spec.scd2_columns}
+    known, got = (set(x) - own for x in (store.schema().names, batch.columns))
+    if known != got - {_EFFECTIVE}:
+        raise ValueError(f"{spec.full_name}: columns differ by {sorted(known ^ got - {_EFFECTIVE})}")
+
+
+def _read_batch(spark, spec, store, files, as_of, offset) -> DataFrame:
+    rows = read_for(spark, spec, files)
+    if not spec.schema_evolution and len(files) > 1:
+        # One file's columns are read of all; they must be those of all.
+        merged = read_for(spark, replace(spec, schema_evolution=True), files)
+        if set(merged.columns) != set(rows.columns):
+            raise ValueError(f"{spec.full_name}: files differ in columns and evolution is off")
+    batch = prepare_batch(rows, spec, as_of, files, offset)
+    _refuse_unlike(spec, store, batch)
+    return batch
+
+
+def _counts(spark, batch: DataFrame, files: Sequence[str]) -> dict:
+    """Rows per file, or nothing if they cannot be counted; the load stands either way."""
+    try:
+        return {r["_source_file"]: r["records"] for r in _file_counts(batch).collect()} or {f: 0 for f in files}
+    except Exception:
+        return {}
+
+
+def _load_files(spark, spec, store, files: Sequence[str], as_of: str, offset: int) -> list[tuple]:
+    """Load files as one batch; if a file is at fault, halve it until only such are left.
+
+    A failed attempt has committed nothing: the commit is the attempt's last step, and a
+    lost race for it ends the load. What fails before any row is read, for the first file
+    alone as well, is the table's fault and fails all files at once.
+    """
     started = time.monotonic()
     try:
-        batch = prepare_batch(read_for(spark, spec, files), spec, as_of, files, offset)
-        appends = spec.loading_strategy == "append"
-        if not appends and spec.file_format in ("csv", "json"):
-            # Other strategies read the batch several times; text is parsed once.
-            batch = materialize(batch, "batch")
-        LOADERS[spec.loading_strategy](store, batch, spec, as_of, fresh)
-        if appends:
-            # Every row was written, and counting it there reads one column.
-            names = local_frame(spark, {"_source_file": list(files)})
-            batch = store.added().join(names, "_source_file", "left_semi")
-        counts = {r["_source_file"]: r["records"] for r in _file_counts(batch).collect()}
-        each = (time.monotonic() - started) / len(files)
-        return [(f, spec.table_name, True, each, None, counts.get(f, 0)) for f in files]
+        with temporary_tables(spark):
+            batch = _read_batch(spark, spec, store, files, as_of, offset)
+            appends = spec.loading_strategy == "append"
+            if not appends:
+                # Other strategies read the batch several times, and its rows are counted.
+                batch = materialize(batch, "batch")
+            commit_batch(store, batch, spec, as_of, files, offset)
+            if appends:
+                # Every row was written, and counting it there reads one column.
+                names = local_frame(spark, {"_source_file": list(files)})
+                batch = store.added().join(names, "_source_file", "left_semi")
+            counts = _counts(spark, batch, files)
+    except CommitConflict:
+        raise
     except Exception as err:  # a bad file must not take the others down
+        took = time.monotonic() - started
         if len(files) == 1:
-            took = time.monotonic() - started
-            return [(files[0], spec.table_name, False, took, str(err)[:2000], 0)]
+            return [(files[0], spec.table_name, False, took, str(err), 0)]
+        if _at_fault(spark, spec, store, files[:1], as_of, err):
+            return [(f, spec.table_name, False, took / len(files), str(err), 0) for f in files]
         half = len(files) // 2
-        return _load_files(
-            spark, spec, store, files[:half], as_of, offset, fresh
-        ) + _load_files(spark, spec, store, files[half:], as_of, offset + half, fresh)
+        first = _load_files(spark, spec, store, files[:half], as_of, offset)
+        offset = next_offset(store, spec, as_of, offset + half)
+        return first + _load_files(spark, spec, store, files[half:], as_of, offset)
+    each = (time.monotonic() - started) / len(files)
+    return [(f, spec.table_name, True, each, None, counts.get(f, 0 if counts else None)) for f in files]
+
+
+def _at_fault(spark, spec, store, one, as_of, err) -> bool:
+    """Whether the table's own settings fail: the plan over one file alone is no plan."""
+    if not isinstance(err, AnalysisException):
+        return False
+    try:
+        _read_batch(spark, spec, store, one, as_of, 0)
+    except AnalysisException as again:
+        return again.getCondition() == err.getCondition()
+    except Exception:
+        return False
+    return False
+
+
+def _overwrite(spark, spec, store, chunks: Sequence[Sequence[str]], as_of: str) -> list[tuple]:
+    """One overwrite of all files of a load. Every chunk is read and kept before anything is
+    replaced; if a file is bad, the table stays and all files fail."""
+    started, files = time.monotonic(), [f for c in chunks for f in c]
+    try:
+        with temporary_tables(spark):
+            batch, done = None, 0
+            for chunk in chunks:
+                rows = materialize(_read_batch(spark, spec, store, chunk, as_of, done), "batch")
+                batch = rows if batch is None else append.union_evolved(batch, rows)
+                done += len(chunk)
+            commit_batch(store, batch, spec, as_of, files, 0)
+            counts = _counts(spark, batch, files)
+    except CommitConflict:
+        raise
+    except Exception as err:
+        each = (time.monotonic() - started) / len(files)
+        return [(f, spec.table_name, False, each, str(err), 0) for f in files]
+    each = (time.monotonic() - started) / len(files)
+    return [(f, spec.table_name, True, each, None, counts.get(f, 0 if counts else None)) for f in files]
 
 
 def load_table(
@@ -211,59 +323,67 @@ def load_table(
     """Load every file of a table that is listed and not yet loaded.
 
     Files go in order of modification time and path, up to ``max_files`` per batch,
-    until none is left. Returns one load-result row per file tried. A failed file
-    is tried again by the next call until it runs out of retries.
+    until none is left; an overwrite reads that way, too, but replaces once. Returns one
+    load-result row per file tried. A failed file is tried again by the next call until
+    it runs out of retries. One ledger may serve many tables: a file is known by table
+    and path.
     """
     start = as_of or _now()
-    listing = list_files(spark, spec.source_path_pattern)
     place = F.struct("modificationTime", "path")
-    results, last, done = None, None, 0
-    while True:
-        book = ledger.read() if ledger.exists() else led.empty_ledger(spark)
-        todo = led.unprocessed_files(listing, book, skip_skipped=True, max_retries=max_retries)
-        if last is not None:
-            todo = todo.filter(place > F.struct(F.lit(last[0]).cast("timestamp"), F.lit(last[1])))
-        known = book.select(F.col("file_path").alias("path"), F.lit(True).alias("known"))
-        chunk = (
-            todo.join(known, "path", "left")
-            .orderBy("modificationTime", "path")
-            .select(
-                "path",
-                "length",
-                "modificationTime",
-                F.col("modificationTime").cast("string").alias("at"),
-                F.coalesce("known", F.lit(False)).alias("known"),
-            )
-            .limit(max_files)
-            .collect()
-        )
-        if not chunk:
-            break
-        files = [r["path"] for r in chunk]
-        last = (chunk[-1]["at"], files[-1])
-        chosen = local_frame(
-            spark,
-            {n: [r[n] for r in chunk] for n in ("path", "length", "modificationTime")},
-        )
-        # Rows of a file the ledger knows may be in the table: its load may have
-        # been cut off after the commit.
-        fresh = not any(r["known"] for r in chunk)
-        book = led.register_files(book, chosen, spec.table_name, start)
-        begun = chosen.select(
-            F.col("path").alias("file_path"), F.lit(led.PROCESSING).alias("status")
-        )
-        ledger.create(led.apply_transitions(book, begun, as_of or _now()))
-
-        outcome = _load_files(spark, spec, store, files, start, done, fresh)
-        done += len(files)
-        rows = spark.createDataFrame(outcome, RESULT_SCHEMA)
-        finished = rows.select(
-            "file_path",
-            F.when(F.col("success"), led.COMPLETED).otherwise(led.FAILED).alias("status"),
-            "error_message",
+    mine = F.col("table_name") == spec.table_name
+
+    def books() -> tuple[DataFrame, DataFrame]:
+        whole = ledger.read() if ledger.exists() else led.empty_ledger(spark)
+        return whole.filter(mine), whole.filter(~mine)
+
+    def change(book: DataFrame, others: DataFrame, steps: DataFrame) -> None:
+        ledger.create(others.unionByName(led.apply_transitions(book, steps, as_of or _now())))
+
+    with temporary_tables(spark):
+        # Listed and compared with the ledger once; chunks are cut from what was kept.
+        todo = led.unprocessed_files(
+            list_files(spark, spec.source_path_pattern), books()[0], skip_skipped=True, max_retries=max_retries
         )
-        ledger.create(led.apply_transitions(ledger.read(), finished, as_of or _now()))
-        results = rows if results is None else results.unionAll(rows)
+        todo = materialize(todo.select("path", "length", "modificationTime"), "todo")
+        results, last, done, chunks = None, None, 0, []
+        once = spec.loading_strategy == "overwrite"
+        while True:
+            rest = todo
+            if last is not None:
+                rest = todo.filter(place > F.struct(F.lit(last[0]).cast("timestamp"), F.lit(last[1])))
+            at = F.col("modificationTime").cast("string").alias("at")
+            chunk = rest.orderBy("modificationTime", "path").select("*", at).limit(max_files).collect()
+            outcome: list[tuple] = []
+            if chunk:
+                files = [r["path"] for r in chunk]
+                last = (chunk[-1]["at"], files[-1])
+                chosen = local_frame(
+                    spark, {n: [r[n] for r in chunk] for n in ("path", "length", "modificationTime")}
+                )
+                book, others = books()
+                book = led.register_files(book, chosen, spec.table_name, start)
+                begun = F.col("path").alias("file_path"), F.lit(led.PROCESSING).alias("status")
+                change(book, others, chosen.select(*begun))
+                if once:
+                    chunks.append(files)
+                else:
+                    outcome = _load_files(
+                        spark, spec, store, files, start, next_offset(store, spec, start, done)
+                    )
+                done += len(files)
+            elif chunks:
+                outcome, chunks = _overwrite(spark, spec, store, chunks, start), []
+            else:
+                break
+            if outcome:
+                rows = spark.createDataFrame(outcome, RESULT_SCHEMA)
+                finished = rows.select(
+                    "file_path",
+                    F.when(F.col("success"), led.COMPLETED).otherwise(led.FAILED).alias("status"),
+                    "error_message",
+                )
+                change(*books(), finished)
+                results = rows if results is None else results.unionAll(rows)
     return results if results is not None else spark.createDataFrame([], RESULT_SCHEMA)
 
 
@@ -275,13 +395,14 @@ def load_all(
     only: Sequence[str] | None = None,
     max_files: int = MAX_FILES,
     max_retries: int = 3,
+    days_to_keep: int | None = None,
 ) -> DataFrame:
     """Repair the ledger, load every table, and give failed files one more try.
 
     A table that cannot be loaded at all yields one failed result row and leaves
-    the others alone.
+    the others alone. With ``days_to_keep`` older ledger rows are purged at the end.
     """
-    book = TableStore(spark, f"{root.rstrip('/')}/metadata/file_processing_tracker")
+    book = TableStore(spark, f"{root.rstrip('/')}/metadata/file_ledger")
     if book.exists():
         orphans = led.orphaned_files(book.read(), as_of)
         if not orphans.isEmpty():
@@ -302,7 +423,9 @@ def load_all(
                 )
             except Exception as err:  # keep going with the other tables
                 rows = spark.createDataFrame(
-                    [(None, spec.table_name, False, 0.0, str(err)[:2000], 0)], RESULT_SCHEMA
+                    [(None, spec.table_name, False, 0.0, str(err), 0)], RESULT_SCHEMA
                 )
             results = rows if results is None else results.unionAll(rows)
+    if days_to_keep is not None and book.exists():
+        book.create(led.purge_ledger(book.read(), as_of, days_to_keep))
     return results if results is not None else spark.createDataFrame([], RESULT_SCHEMA)

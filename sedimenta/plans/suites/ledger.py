@@ -259,9 +259,9 @@ c AS (SELECT table_name, {ZEROES} FROM l GROUP BY table_name)
 SELECT s.table_name, s.status AS table_status, c.pending, c.processing, c.completed, c.failed,
   c.skipped, NOT (s.status = 'completed' AND c.failed > 0) AS consistent,
   CASE WHEN s.status = 'completed' AND c.failed > 0
-    THEN 'Table marked as completed but has ' || c.failed || ' failed files'
+    THEN 'failed_files:' || c.failed
   WHEN s.status = 'in_progress' AND c.processing > 0
-    THEN 'Table has ' || c.processing || ' files in processing state - may be stuck'
+    THEN 'processing_files:' || c.processing
   ELSE '' END AS issues
 FROM s LEFT JOIN c ON s.table_name = c.table_name""")
 def q_consistency(spark, sf_dir):

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sedimenta import TableSpec
+from sedimenta.operators import ledger as led
 from sedimenta.plans import loading
 from sedimenta.plans.suites import scd2
 from sedimenta.plans.suites.registry import query, table
@@ -145,8 +146,11 @@ def q_store_evolve(spark, sf_dir):
 def q_store_compact(spark, sf_dir):
     """One append per priority, then compaction."""
     store = new_store(spark, "compact")
-    for priority in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"):
+    named = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
+    for priority in named:
         store.append(orders(spark, sf_dir).filter(F.col("o_orderpriority") == priority))
+    others = ~F.coalesce(F.col("o_orderpriority").isin(*named), F.lit(False))
+    store.append(orders(spark, sf_dir).filter(others))
     store.compact()
     return store.read()
 
@@ -231,6 +235,131 @@ def q_load_backlog(spark, sf_dir):
     )
 
 
+def waiting(spark, rows, root, name):
+    """Rows written as files of a folder that the loads below list."""
+    rows.write.parquet(f"{root}/raw/{name}")
+
+
+def load_spec(root, **settings):
+    base = {"table_name": "t", "database_name": "d", "source_path_pattern": f"{root}/raw/*/part-*"}
+    return TableSpec(**{**base, **settings})
+
+
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+@query("load_overwrite_files", f"""SELECT {', '.join(ORDER_COLUMNS)} FROM orders
+WHERE o_orderpriority >= '3'""")
+def q_load_overwrite(spark, sf_dir):
+    """Loads of more files than a batch takes replace the table once, with all of them;
+    the last one holds a bad file and so replaces nothing."""
+    root = scratch_path(spark, "load")
+    spec, rows = load_spec(root, loading_strategy="overwrite"), orders(spark, sf_dir).select(*ORDER_COLUMNS)
+    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    early = F.col("o_orderpriority") < "3"
+    waiting(spark, rows.filter(early).repartition(3), root, "a")
+    loading.load_table(spark, spec, store, book, scd2.T0, max_files=1)
+    waiting(spark, rows.filter(~early).repartition(3), root, "b")
+    loading.load_table(spark, spec, store, book, scd2.T1, max_files=2)
+    waiting(spark, rows.filter(early), root, "c")
+    rows.select(F.lit("no parquet")).write.text(f"{root}/raw/d")
+    loading.load_table(spark, spec, store, book, scd2.T2, max_files=2)
+    return store.read().select(*ORDER_COLUMNS)
+
+
+@query("load_merge_files", """
+SELECT nullif(c_custkey, CASE WHEN c_custkey % 10 = 0 THEN c_custkey END) AS c_custkey, c_name,
+  CASE WHEN c_custkey % 3 = 0 AND c_custkey % 10 <> 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
+FROM customer
+UNION ALL SELECT NULL, c_name, c_acctbal + 1 FROM customer WHERE c_custkey % 30 = 0""")
+def q_load_merge(spark, sf_dir):
+    """An upsert with keyless rows, the second file of which is loaded once more."""
+    root = scratch_path(spark, "load")
+    spec = load_spec(root, loading_strategy="merge", primary_keys="c_custkey")
+    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    later = rows.filter("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    for name, batch, at in (("a", rows, scd2.T0), ("b", later, scd2.T1)):
+        keyed = F.when(F.col("c_custkey") % 10 != 0, F.col("c_custkey"))
+        waiting(spark, batch.withColumn("c_custkey", keyed), root, name)
+        loading.load_table(spark, spec, store, book, at)
+    # as after a load that was cut off once it had committed
+    cut = F.when(F.col("file_path").contains("/b/"), "processing").otherwise(F.col("status"))
+    book.create(book.read().withColumn("status", cut))
+    loading.load_table(spark, spec, store, book, scd2.T2)
+    return store.read().select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("load_after_purge", f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders")
+def q_load_after_purge(spark, sf_dir):
+    """Files whose ledger rows were purged are loaded again and doubled by nothing."""
+    root = scratch_path(spark, "load")
+    spec = load_spec(root)
+    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    waiting(spark, orders(spark, sf_dir).select(*ORDER_COLUMNS).repartition(3), root, "a")
+    loading.load_table(spark, spec, store, book, scd2.T0)
+    book.create(led.purge_ledger(book.read(), scd2.T2, days_to_keep=0))
+    loading.load_table(spark, spec, store, book, scd2.T2)
+    return store.read().select(*ORDER_COLUMNS)
+
+
+@query("load_strict_schema", """SELECT p_partkey, p_name, 'completed' AS status FROM part WHERE p_size <= 20
+UNION ALL SELECT NULL, NULL, 'failed' FROM region WHERE r_regionkey = 0""")
+def q_load_strict(spark, sf_dir):
+    """Without schema evolution a file with another column is refused, and it alone."""
+    root = scratch_path(spark, "load")
+    spec = load_spec(root, schema_evolution=False)
+    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    part = table(spark, sf_dir, "part")
+    waiting(spark, part.filter("p_size <= 20").select("p_partkey", "p_name").coalesce(1), root, "a")
+    waiting(spark, part.filter("p_size > 20").select("p_partkey", "p_name", "p_size").coalesce(1), root, "b")
+    loading.load_table(spark, spec, store, book, scd2.T0)
+    loaded = store.read().select("p_partkey", "p_name", F.lit("completed").alias("status"))
+    refused = book.read().filter("status <> 'completed'")
+    nothing = [F.lit(None).cast(loaded.schema[c].dataType).alias(c) for c in ("p_partkey", "p_name")]
+    return loaded.unionByName(refused.select(*nothing, "status"))
+
+
+@query("load_shared_files", """SELECT 'one' AS name, n_nationkey, n_name FROM nation
+UNION ALL SELECT 'two', n_nationkey, n_name FROM nation""")
+def q_load_shared(spark, sf_dir):
+    """Two tables over the same files, with one ledger."""
+    root = scratch_path(spark, "load")
+    waiting(spark, table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), root, "a")
+    book, out = TableStore(spark, f"{root}/ledger"), None
+    for name in ("one", "two"):
+        spec = load_spec(root, table_name=name)
+        store = loading.store_for(spark, root, spec)
+        loading.load_table(spark, spec, store, book, scd2.T0)
+        rows = store.read().select(F.lit(name).alias("name"), "n_nationkey", "n_name")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("load_scd2_late_file", """
+SELECT c_custkey, c_acctbal, FALSE AS is_current, TRUE AS forward FROM customer
+UNION ALL SELECT c_custkey, c_acctbal + 2, FALSE, TRUE FROM customer
+UNION ALL SELECT c_custkey, c_acctbal + 1, TRUE, TRUE FROM customer""")
+def q_load_late(spark, sf_dir):
+    """A file that fails is loaded after a later one under the same instant: its rows
+    follow those in the table, and every version ends after it starts."""
+    root = scratch_path(spark, "load")
+    keys = {"loading_strategy": "scd2", "primary_keys": "c_custkey", "tracking_columns": "c_acctbal"}
+    strict = load_spec(root, **keys, transformations={"filter": "assert_true(step <> 1) IS NULL"})
+    mended = load_spec(root, **keys)
+    store, book = loading.store_for(spark, root, strict), TableStore(spark, f"{root}/ledger")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    for step in range(3):
+        more = rows.withColumns({"c_acctbal": F.col("c_acctbal") + step, "step": F.lit(step)})
+        # One file stands for one snapshot here, hence one task.
+        waiting(spark, more.coalesce(1), root, step)
+        if step != 1:
+            loading.load_table(spark, strict, store, book, scd2.T0 if step == 0 else scd2.T1)
+    loading.load_table(spark, mended, store, book, scd2.T1)
+    forward = F.col("end_date").isNull() | (F.col("end_date") > F.col("effective_date"))
+    return store.read().select("c_custkey", "c_acctbal", "is_current", forward.alias("forward"))
+
+
 def catalog_table(spark, sf_dir):
     """Orders as a catalog table whose files lie in the scratch folder."""
     path = scratch_path(spark, "orders")

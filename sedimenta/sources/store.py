@@ -20,9 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sedimenta.functions.columns import merge_schemas, union_evolved
+from sedimenta.scratch import file_system, local_frame
 from sedimenta.sources.files import list_files
 
 _COMMIT = "_commit"
+# Versions from one log entry that names all parts to the next.
+SNAPSHOT_EVERY = 16
+
+
+class CommitConflict(RuntimeError):
+    """A version could not be published; the table is as it was."""
 
 
 @dataclass(frozen=True)
@@ -60,34 +67,45 @@ class TableStore:
 
     # -- log ------------------------------------------------------------------
 
+    def _entries(self) -> dict[int, tuple[str, bool]]:
+        """Path of every log entry, and whether it names all parts, by version."""
+        place, files = file_system(self.spark, f"{self.root}/log")
+        if not files.exists(place):
+            return {}
+        found = {}
+        for status in files.listStatus(place):
+            name = status.getPath().getName()
+            if m := re.fullmatch(r"v=(\d+)\.(whole|delta)\.json", name):
+                found[int(m[1])] = (f"{self.root}/log/{name}", m[2] == "whole")
+        return found
+
     def version(self, number: int | None = None) -> Version | None:
         """The latest (or a given) version, None if the table does not exist.
 
         A store that has committed goes on from its own commit, as the only writer;
-        other instances see the latest one in the log.
+        other instances see the latest one in the log. At most ``SNAPSHOT_EVERY``
+        entries are read.
         """
         if number is None and self._latest is not None:
             return self._latest
-        log = f"{self.root}/log"
-        try:
-            # Only listed; the one entry that counts is read below.
-            listed = self.spark.read.option("recursiveFileLookup", True).text(log).inputFiles()
-        except AnalysisException as err:
-            if err.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        numbers = {int(m.group(1)) for m in (re.search(r"/v=(\d+)/[^/]*$", f) for f in listed) if m}
-        wanted = max(numbers, default=None) if number is None else number
-        if wanted not in numbers:
+        entries = self._entries()
+        wanted = max(entries, default=None) if number is None else number
+        if wanted not in entries:
             return None
-        row = self.spark.read.text(f"{log}/v={wanted:08d}").first()
-        entry = json.loads(row["value"])
-        return Version(
-            entry["number"],
-            tuple(entry["parts"]),
-            tuple(entry["partition_columns"]),
-            entry["tags"],
-        )
+        first = max(n for n, (_, whole) in entries.items() if whole and n <= wanted)
+        paths = [entries[n][0] for n in range(first, wanted + 1)]
+        steps = [json.loads(r["value"]) for r in self.spark.read.text(paths).collect()]
+        parts: list[dict] = []
+        schemas: dict[str, str] = {}
+        for step in sorted(steps, key=lambda e: e["number"]):
+            schemas |= step["schemas"]
+            if step["keep"] is None:
+                parts = []
+            elif step["keep"]:
+                parts = [{**p, "only": step["keep"]} for p in parts]
+            parts = parts + [{**p, "schema": schemas[p["schema"]]} for p in step["add"]]
+        last = max(steps, key=lambda e: e["number"])
+        return Version(wanted, tuple(parts), tuple(last["partition_columns"]), last["tags"])
 
     def exists(self) -> bool:
         return self.version() is not None
@@ -99,24 +117,58 @@ class TableStore:
             self.partition_columns,
             {**(base.tags if base else {}), **(tags or {})},
         )
-        entry = json.dumps(
-            {
-                "number": new.number,
-                "parts": new.parts,
-                "partition_columns": new.partition_columns,
-                "tags": new.tags,
-            }
-        )
-        (
-            self.spark.range(1)
-            .select(F.lit(entry).alias("value"))
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .text(f"{self.root}/log/v={new.number:08d}")
-        )
+        self._publish(new, base)
         self._latest = new
         return new
 
+    def _publish(self, new: Version, base: Version | None) -> None:
+        """Write a version's entry under a name of its own and rename it into place.
+
+        The rename fails if the version exists, so of two writers one gets through, and
+        a writer that dies before it leaves nothing that readers or later commits see.
+        An entry holds what changed; every ``SNAPSHOT_EVERY``-th, or one that changes
+        more than that can say, names all parts.
+        """
+        old = base.parts if base else ()
+        keep: dict | None = None
+        add = new.parts
+        if base and new.number % SNAPSHOT_EVERY:
+            for kept in [{}, *(p["only"] for p in new.parts[:1] if p["only"])]:
+                carried = tuple({**p, "only": kept} if kept else p for p in old)
+                if old and new.parts[: len(old)] == carried:
+                    keep, add = kept, new.parts[len(old) :]
+                    break
+        texts = list(dict.fromkeys(p["schema"] for p in add))
+        entry = {
+            "number": new.number,
+            "keep": keep,
+            "add": [{**p, "schema": f"{new.number}.{texts.index(p['schema'])}"} for p in add],
+            "schemas": {f"{new.number}.{i}": text for i, text in enumerate(texts)},
+            "partition_columns": new.partition_columns,
+            "tags": new.tags,
+        }
+        name = f"v={new.number:08d}.{'whole' if keep is None else 'delta'}.json"
+        # Both kinds of a version's entry exclude each other.
+        if new.number in self._entries():
+            raise CommitConflict(f"{self.root}: version {new.number} exists")
+        jvm = self.spark._jvm
+        draft, files = file_system(self.spark, f"{self.root}/log/_draft-{uuid.uuid4().hex}")
+        out = files.create(draft, False)
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+        place, _ = file_system(self.spark, f"{self.root}/log/{name}")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            place.toUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        kind = jvm.org.apache.hadoop.fs.Options.Rename
+        how = self.spark.sparkContext._gateway.new_array(kind, 1)
+        how[0] = kind.NONE
+        try:
+            context.rename(draft, place, how)
+        except Exception as err:
+            files.delete(draft, False)
+            raise CommitConflict(f"{self.root}: version {new.number} was not published") from err
+
     def _write(self, df: DataFrame) -> dict:
         name = uuid.uuid4().hex
         if self.partition_columns and self.cluster_writes:
@@ -166,6 +218,24 @@ class TableStore:
         base = self.version()
         return self._commit(base, base.parts if base else [], tags)
 
+    # -- source files -------------------------------------------------------------
+
+    def note_files(self, files: Sequence[str]) -> None:
+        """Note paths whose rows are about to be written, before they are."""
+        noted = local_frame(self.spark, {"_source_file": list(files)})
+        noted.coalesce(1).write.mode("append").parquet(f"{self.root}/files")
+
+    def may_hold(self, files: Sequence[str]) -> bool:
+        """False only if none of the files was ever noted, so none can have rows here."""
+        try:
+            noted = self.spark.read.schema("_source_file string").parquet(f"{self.root}/files")
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return True
+        wanted = local_frame(self.spark, {"_source_file": list(files)})
+        return not noted.join(F.broadcast(wanted), "_source_file", "left_semi").isEmpty()
+
     # -- reads ------------------------------------------------------------------
 
     @staticmethod

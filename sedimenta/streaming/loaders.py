@@ -11,15 +11,21 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sedimenta.functions.columns import apply_transformations, with_audit_columns
-from sedimenta.plans.loading import LOADERS, MAX_FILES, prepare_batch
+from sedimenta.plans.loading import MAX_FILES, commit_batch, next_offset, prepare_batch
+from sedimenta.scratch import local_frame
 from sedimenta.sources.files import source_path
 from sedimenta.sources.store import TableStore
 from sedimenta.spec import TableSpec
 
 
+# When a row's file was last changed; the loads drop it.
+_MODIFIED = "__modified"
+
+
 def stream_source(
     spark: SparkSession, spec: TableSpec, schema, max_files: int = MAX_FILES
 ) -> DataFrame:
@@ -32,7 +38,11 @@ def stream_source(
     for key, value in spec.reader_options.items():
         reader = reader.option(key, value)
     rows = reader.load(spec.source_path_pattern)
-    return rows.select("*", source_path(spec.source_path_pattern).alias("_source_file"))
+    return rows.select(
+        "*",
+        source_path(spec.source_path_pattern).alias("_source_file"),
+        F.col("_metadata.file_modification_time").alias(_MODIFIED),
+    )
 
 
 def stream_append(
@@ -40,7 +50,8 @@ def stream_append(
 ) -> StreamingQuery:
     """Append new files with lineage columns; the file sink commits each batch
     exactly once."""
-    rows = with_audit_columns(apply_transformations(source, spec.transformations), as_of)
+    rows = apply_transformations(source.drop(_MODIFIED), spec.transformations)
+    rows = with_audit_columns(rows, as_of)
     writer = rows.writeStream.format("parquet").outputMode("append")
     if spec.partition_columns:
         writer = writer.partitionBy(*spec.partition_columns)
@@ -62,8 +73,9 @@ def stream_load(
     """Run a table's strategy on every micro-batch.
 
     A micro-batch may be delivered again after a failure, so the id of the last one
-    is part of the table version it made and a repeated one is skipped. That makes a
-    search for rows of its files needless.
+    is part of the table version it made and a repeated one is skipped. Its files go in
+    order of modification time and path, as in a load, ``MAX_FILES`` to a commit; rows of
+    a commit that came before the failure are replaced.
     """
     tag = f"{stream_name}.batch"
 
@@ -74,12 +86,19 @@ def stream_load(
         if batch.isEmpty():
             return
         at = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
-        names = batch.select("_source_file").distinct().orderBy("_source_file")
-        files = [r[0] for r in names.limit(MAX_FILES + 1).collect()]
-        if len(files) > MAX_FILES:
-            raise ValueError(f"limit the source to {MAX_FILES} files per micro-batch")
-        rows = prepare_batch(batch, spec, at, files)
-        LOADERS[spec.loading_strategy](store, rows, spec, at, fresh=True, tags={tag: batch_id})
+        order = [c for c in (_MODIFIED, "_source_file") if c in batch.columns]
+        names = batch.select(*order).distinct().orderBy(*order)
+        files = [r["_source_file"] for r in names.collect()]
+        for start in range(0, len(files), MAX_FILES):
+            some = files[start : start + MAX_FILES]
+            rows = batch.drop(_MODIFIED)
+            if len(some) < len(files):
+                chosen = local_frame(batch.sparkSession, {"_source_file": some})
+                rows = rows.join(F.broadcast(chosen), "_source_file", "left_semi")
+            offset = next_offset(store, spec, at)
+            last = start + MAX_FILES >= len(files)
+            rows = prepare_batch(rows, spec, at, some, offset)
+            commit_batch(store, rows, spec, at, some, offset, {tag: batch_id} if last else None)
 
     return (
         source.writeStream.foreachBatch(load)

@@ -128,7 +128,7 @@ def test_table_consistency(spark, book):
     status = local_frame(spark, {"table_name": ["t", "u", "v"], "status": ["completed", "in_progress", "completed"]})
     report = {r["table_name"]: r for r in led.consistency_report(done, status).collect()}
     assert (report["t"]["consistent"], report["t"]["issues"]) == (
-        False, ["Table marked as completed but has 1 failed files"],
+        False, ["failed_files:1"],
     )
     assert report["u"]["consistent"] and len(report["u"]["issues"]) == 1
     assert report["v"]["consistent"] and report["v"]["issues"] == [] and report["v"]["failed"] == 0

@@ -223,7 +223,7 @@ def test_orphans_are_repaired_first(spark, tmp_path):
     put(raw, "1.csv", "k,v\n1,a\n", 1000)
     spec = spec_for(raw)
     loading.load_all(spark, [spec], root, T1)
-    book = TableStore(spark, f"{root}/metadata/file_processing_tracker")
+    book = TableStore(spark, f"{root}/metadata/file_ledger")
     book.create(book.read().withColumn("status", F.lit(led.PROCESSING)))
     loading.load_all(spark, [spec], root, T2)
     row = TableStore(spark, book.root).read().first()
