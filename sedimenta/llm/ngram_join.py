@@ -1,15 +1,16 @@
 """Exact Jaccard self-join of documents on word shingles, as a metric-space join.
 
 1. A document is the set of its shingles; documents with equal sets are one node.
-2. *Families*. If |x ^ y| <= H and the shingle universe is cut in more than H parts by
-   hash, x and y agree in some part. Each part's content is a pivot at projected distance
-   0; a node belongs to the pivots of its parts, and the connected components of "shares a
-   pivot" are the families. Nodes of two families cannot link.
-3. *Voronoi regions*. Within a family Jaccard distance 1 - J is a metric that tells nodes
-   apart. Large families choose nodes as pivots; each node goes to its nearest one, and to
-   every other whose region could hold a partner by the triangle inequality. Regions whose
-   nodes are joined already are done, small ones are joined exactly in one task, large ones
-   are cut again.
+2. *Pivots of parts*. If |x ^ y| <= H and the shingle universe is cut in more than H parts
+   by hash, x and y agree in some part: both lie at projected distance 0 from that part's
+   content. Of the nodes that share a part's content the first one is the pivot; its region
+   holds all of them, so any two nodes that may link meet in a region.
+3. *Joining regions*. A node first goes to its smallest pivot only, which joins most copies;
+   then regions whose nodes are not all joined by now are joined in full. A small region is
+   joined exactly in one task.
+4. *Voronoi cells*. In a large region Jaccard distance 1 - J is a metric that tells nodes
+   apart. Nodes of it are chosen as pivots; each node goes to its nearest one, and to every
+   other whose cell could hold a partner by the triangle inequality. Cells are regions again.
 """
 
 from __future__ import annotations
@@ -34,8 +35,6 @@ LEAF_SHINGLES = 2_000_000
 PIVOTS = 32
 #: Times a region is cut by pivots; what is still large then is joined block by block.
 DEPTH = 3
-#: Part keys that a task holds to fold repeated ones.
-HELD_KEYS = 1_000_000
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _LADDER = sorted({k for i in range(31) for k in (1 << i, 3 << i) if k >= 3})
@@ -118,21 +117,8 @@ def part_keys(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.
     return np.concatenate([none, *rows]), np.concatenate([none.astype(np.uint64), *keys])
 
 
-def _fold(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One row per key. What else shared it is kept as pairs, each under a key of its own."""
-    order = np.argsort(keys, kind="stable")
-    keys, nodes = keys[order], nodes[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    head = nodes[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    other = nodes != head
-    pairs = np.unique(np.column_stack([head[other], nodes[other]]), axis=0)
-    own = mix(mix(pairs[:, 0].astype(np.uint64)) + pairs[:, 1].astype(np.uint64))
-    return np.concatenate([keys[new], own, own]), np.concatenate([nodes[new], pairs[:, 0], pairs[:, 1]])
-
-
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key: join each to its key's first node."""
+    """Rows come sorted by key and node: (first node of a key, other node) of all keys."""
     last, head = None, None
     for batch in batches:
         if not batch.num_rows:
@@ -306,29 +292,18 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def flush() -> pa.RecordBatch:
-            key, node = _fold(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node)], names=["key", "node"])
-
         for batch in slices(batches):
             hashes, counts = shingle_sets(batch.column(1), width)
             nodes = node_ids(hashes, counts)
             row, key = _new_keys(hashes, counts, nodes, seen, percent)
-            held.append((key, nodes[row]))
-            if sum(len(k) for k, _ in held) > HELD_KEYS:
-                yield flush()
-        if held:
-            yield flush()
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(nodes[row])], names=["key", "node"])
 
     described = materialize(arrow_map(docs, describe, "doc_id long, node long, n long"), "sets")
-    shared = arrow_map(docs, keys, "key long, node long").repartition("key").sortWithinPartitions("key")
-    families = connected_components(arrow_map(shared, _stars, "a long, b long"))
+    shared = arrow_map(docs, keys, "key long, node long").repartition("key").sortWithinPartitions("key", "node")
+    stars = materialize(arrow_map(shared, _stars, "a long, b long").distinct(), "stars")
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
-    members = families.join(nodes, "node").select(F.col("root").alias("region"), "node", "n", "first")
-    members = materialize(members, "families")
+    ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    members = materialize(ends.join(nodes, "node"), "members")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -342,8 +317,14 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     wanted = members.select("node", F.col("first").alias("doc_id"))
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
     sets = materialize(arrow_map(texts, fetch, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
-    links = _links(members.select("region", "node", "n", F.col("node").alias("label")), sets, percent)
-    roots = connected_components(links)
+    sizes = members.select("node", "n")
+    nearest = _regions(stars.groupBy("b").agg(F.min("a").alias("a"))).join(sizes, "node")
+    nearest = materialize(nearest.withColumn("label", F.col("node")), "nearest")
+    links = materialize(_links(nearest, sets, percent), "links")
+    joined = connected_components(links).withColumnRenamed("root", "label")
+    rest = _regions(stars).join(sizes, "node").join(joined, "node", "left")
+    rest = materialize(rest.withColumn("label", F.coalesce("label", "node")), "rest")
+    roots = connected_components(links.unionByName(_links(rest, sets, percent)))
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     placed = placed.join(least, "root").select("node", "component_id")
@@ -365,6 +346,13 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
+def _regions(stars: DataFrame) -> DataFrame:
+    """(region, node): a pivot's region holds itself and the nodes that share a part with it."""
+    pairs = stars.select(F.col("a").alias("region"), F.col("b").alias("node"))
+    own = stars.select(F.col("a").alias("region"), F.col("a").alias("node")).distinct()
+    return pairs.unionByName(own)
+
+
 def _new_keys(hashes, counts, nodes, seen: set[int], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Part keys of the sets that this task has not met before."""
     fresh = np.zeros(len(nodes), bool)
