@@ -15,7 +15,7 @@ import functools
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ _HEAD = struct.Struct("<QI")
 #: Bytes that the checksum reduces side by side.
 SEGMENT = 256
 #: Bytes read from a data file at once.
-READ_BYTES = 8 << 20
+READ_BYTES = 2 << 20
 
 
 @functools.cache
@@ -184,6 +184,7 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str | None = None, e
                     ],
                     schema=_INDEX,
                 )
+                pa.default_memory_pool().release_unused()
                 record, offset, before = record + len(rows), offset + int(size.sum()), before + int(n.sum())
         finally:
             if out is not None:
@@ -199,12 +200,15 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str | None = None, e
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
-def read_records(index: DataFrame, folder: str) -> DataFrame:
+def read_records(
+    index: DataFrame, folder: str, finish: Callable | None = None, schema: str = INDEX + ", ids binary"
+) -> DataFrame:
     """Rows of the index with the ids of their records (``ids``, binary, as stored).
 
     Any subset and order of index rows will do. Neighbours in a file are read together.
+    ``finish`` turns each batch into one of ``schema`` where it was read.
     """
-    schema = pa.schema(list(_INDEX) + [("ids", pa.binary())])
+    whole = pa.schema(list(_INDEX) + [("ids", pa.binary())])
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -224,10 +228,11 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     data = f.read_at(offsets[to - 1] + lengths[to - 1] - offsets[at], offsets[at])
                 got = unframe(data, [o - offsets[at] for o in offsets[at:to]], lengths[at:to])
                 part = batch.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.binary())], schema=schema)
+                out = pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.binary())], schema=whole)
+                yield finish(out) if finish else out
                 at = to
 
-    return arrow_map(index, load, INDEX + ", ids binary")
+    return arrow_map(index, load, schema)
 
 
 def record_digest(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -241,21 +246,20 @@ def record_digest(docs: DataFrame, vocabulary: str | None = None, end_id: int =
     path = vocabulary or vocabulary_path()
     kind = np.uint32 if encoder(path).tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16 else np.uint16
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.frombuffer(x, kind).astype("<u4") for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "part": batch.column("part"),
-                    "local_start": batch.column("local_start"),
-                    "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
-                }
-            )
-
-    read = arrow_map(
-        read_records(index, folder), digest, "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long"
+    def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = [np.frombuffer(x, kind).astype("<u4") for x in batch.column("ids").to_pylist()]
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": batch.column("doc_id"),
+                "part": batch.column("part"),
+                "local_start": batch.column("local_start"),
+                "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
+            }
+        )
+
+    read = read_records(
+        index, folder, digest, "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long"
     )
     totals = index.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     earlier = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
