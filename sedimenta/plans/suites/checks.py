@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators import quality, summaries
 from sedimenta.plans.suites.registry import query, table
+from sedimenta.scratch import scratch_path
 
 
 @query("check_quality", """
@@ -49,27 +50,56 @@ def q_check_scan(spark, sf_dir):
     )
 
 
-@query("table_ready", """SELECT 'orders' AS table_name, TRUE AS table_exists,
+@query("table_ready", """SELECT 'there' AS which, TRUE AS table_exists,
   count(*) AS row_count, max(o_orderdate) AS latest,
-  max(o_orderdate) >= TIMESTAMP '2001-08-02' - INTERVAL 48 HOUR AS satisfied FROM orders""")
+  max(o_orderdate) >= TIMESTAMP '2001-08-02' - INTERVAL 48 HOUR AS satisfied FROM orders
+UNION ALL SELECT 'absent', FALSE, 0, NULL, FALSE""")
 def q_table_ready(spark, sf_dir):
+    """A catalog table and one that is not there."""
+    path = scratch_path(spark, "orders")
+    name = path.rpartition("/")[2].replace("-", "_")
     orders = table(spark, sf_dir, "orders").withColumn(
         "o_orderdate", F.col("o_orderdate").cast("timestamp")
     )
-    return quality.readiness(orders, "orders", "o_orderdate", "2001-08-02", 48)
+    orders.write.option("path", path).saveAsTable(name)
+    ready = quality.table_ready(
+        spark,
+        [name, f"no_{name}"],
+        timestamp_column="o_orderdate",
+        as_of="2001-08-02",
+        max_age_hours=48,
+    )
+    which = F.when(F.col("table_name") == name, "there").otherwise("absent")
+    return ready.select(which.alias("which"), "table_exists", "row_count", "latest", "satisfied")
 
 
 @query("estimate_size", """SELECT count(*) AS row_count, 11 AS column_count,
   count(*) * 100 AS estimated_size_bytes,
-  round(count(*) * 100 / 1048576.0::DOUBLE, 2) AS estimated_size_mb FROM lineitem""")
+  round(count(*) * 100 / 1048576.0::DOUBLE, 2) AS estimated_size_mb, TRUE AS sampled FROM lineitem
+UNION ALL SELECT count(*), 2, count(*) * 100, round(count(*) * 100 / 1048576.0::DOUBLE, 2), TRUE
+FROM region""")
 def q_estimate_size(spark, sf_dir):
-    """The sampled row count depends on file layout and is left out."""
-    return quality.estimate_size(table(spark, sf_dir, "lineitem")).drop("sample_count")
-
-
-@query("estimate_size_measured")
+    """Which rows are sampled depends on the files, so their number is checked for bounds:
+    half to twice the share of a large table, all rows of a small one."""
+    large = quality.estimate_size(table(spark, sf_dir, "lineitem"))
+    small = quality.estimate_size(table(spark, sf_dir, "region"))
+    n, rows = F.col("sample_count"), F.col("row_count")
+    large = large.withColumn("sampled", (n >= rows * 0.005) & (n <= rows * 0.02))
+    small = small.withColumn("sampled", n == rows)
+    return large.unionByName(small).drop("sample_count")
+
+
+@query("estimate_size_measured", """SELECT count(*) AS row_count, 5 AS column_count, TRUE AS near
+FROM documents""")
 def q_estimate_measured(spark, sf_dir):
-    return quality.estimate_size(table(spark, sf_dir, "documents"), measure=True)
+    """Within a factor of two of the mean JSON length of all rows."""
+    docs = table(spark, sf_dir, "documents")
+    found = quality.estimate_size(docs, sample_fraction=0.5, measure=True)
+    true = docs.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes"))
+    near = F.col("estimated_size_bytes").between(F.col("bytes") / 2, F.col("bytes") * 2)
+    return found.withColumn("k", F.lit(1)).join(true.withColumn("k", F.lit(1)), "k").select(
+        "row_count", "column_count", near.alias("near")
+    )
 
 
 def load_results(spark, sf_dir):

@@ -68,10 +68,18 @@ def q_merged(spark, sf_dir):
     return files.read_source(spark, [f"{path}/a", f"{path}/b"], evolve=True)
 
 
-@query("list_files")
+@query("list_files", """SELECT 'priority=' || o_orderpriority AS folder, '.parquet' AS file_extension,
+  1 AS files, TRUE AS filled FROM orders GROUP BY o_orderpriority""")
 def q_list(spark, sf_dir):
-    """The test tables' own files with their metadata."""
-    return files.with_file_metadata(files.list_files(spark, f"{sf_dir}/*.parquet"))
+    """Files written per priority, one each."""
+    root = scratch_path(spark, "listing")
+    rows = orders(spark, sf_dir).withColumn("priority", F.col("o_orderpriority"))
+    rows.repartition("priority").write.partitionBy("priority").parquet(root)
+    listed = files.with_file_metadata(files.list_files(spark, f"{root}/*/*.parquet"))
+    folder = F.element_at(F.split("parent_directory", "/"), -1)
+    return listed.groupBy(folder.alias("folder"), "file_extension").agg(
+        F.count("*").alias("files"), F.bool_and(F.col("length") > 0).alias("filled")
+    )
 
 
 def document_listing(spark, sf_dir):
