@@ -96,10 +96,11 @@ def q_estimate_measured(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = quality.estimate_size(docs, sample_fraction=0.5, measure=True)
     true = docs.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes"))
-    near = F.col("estimated_size_bytes").between(F.col("bytes") / 2, F.col("bytes") * 2)
-    return found.withColumn("k", F.lit(1)).join(true.withColumn("k", F.lit(1)), "k").select(
-        "row_count", "column_count", near.alias("near")
+    both = found.unionByName(true, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in (*found.columns, "bytes")]
     )
+    near = F.col("estimated_size_bytes").between(F.col("bytes") / 2, F.col("bytes") * 2)
+    return both.select("row_count", "column_count", near.alias("near"))
 
 
 def load_results(spark, sf_dir):
