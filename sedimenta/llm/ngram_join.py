@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.components import connected_components
 from sedimenta.llm.near_vectors import whole_groups
-from sedimenta.llm.shared import arrow_map, hash_words, mix, segments, slices, text_buffers
+from sedimenta.llm.shared import arrow_map, hash_words, mix, release, segments, slices, text_buffers
 from sedimenta.scratch import materialize
 
 WIDTH, PERCENT = 4, 85
@@ -302,29 +302,40 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     shared = arrow_map(docs, keys, "key long, node long").repartition("key").sortWithinPartitions("key", "node")
     stars = materialize(arrow_map(shared, _stars, "a long, b long").distinct(), "stars")
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
+    del shared
+    release(docs.sparkSession)
     ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     members = materialize(ends.join(nodes, "node"), "members")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in slices(batches):
             hashes, counts = shingle_sets(batch.column(1), width)
-            at = segments(counts)
-            keep = node_ids(hashes, counts) == batch.column(0).to_numpy()
+            at, nodes = segments(counts), node_ids(hashes, counts)
+            keep = nodes == batch.column(0).to_numpy()
+            for i in np.flatnonzero(keep).tolist():  # equal rows of one doc_id
+                keep[i] = nodes[i] not in seen
+                seen.add(int(nodes[i]))
             body = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
             out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, pa.binary())], names=["node", "shingles"])
             yield out.filter(pa.array(keep))
 
     wanted = members.select("node", F.col("first").alias("doc_id"))
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
-    sets = materialize(arrow_map(texts, fetch, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
+    sets = materialize(arrow_map(texts, fetch, "node long, shingles binary"), "shingles")
+    del texts
+    release(docs.sparkSession)
     sizes = members.select("node", "n")
     nearest = _regions(stars.groupBy("b").agg(F.min("a").alias("a"))).join(sizes, "node")
     nearest = materialize(nearest.withColumn("label", F.col("node")), "nearest")
     links = materialize(_links(nearest, sets, percent), "links")
+    release(docs.sparkSession)
     joined = connected_components(links).withColumnRenamed("root", "label")
     rest = _regions(stars).join(sizes, "node").join(joined, "node", "left")
     rest = materialize(rest.withColumn("label", F.coalesce("label", "node")), "rest")
-    roots = connected_components(links.unionByName(_links(rest, sets, percent)))
+    more = materialize(_links(rest, sets, percent), "links")
+    release(docs.sparkSession)
+    roots = connected_components(links.unionByName(more))
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     placed = placed.join(least, "root").select("node", "component_id")
@@ -381,6 +392,7 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         regions, met = _cut(rest.join(sets, "node").select("region", "node", "n", "label", "shingles"), percent)
         regions = materialize(regions, "regions")
         found.append(met)
+        release(regions.sparkSession)
     out = found[0]
     for df in found[1:]:
         out = out.unionByName(df)
@@ -389,4 +401,5 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _leaf_edges(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.join(sets, "node").select("region", "node", "label", "shingles")
-    return arrow_map(rows.repartition("region").sortWithinPartitions("region", "node"), _join_leaves(percent), "a long, b long")
+    rows = rows.repartition("region").sortWithinPartitions("region", "node")
+    return materialize(arrow_map(rows, _join_leaves(percent), "a long, b long"), "leaves")

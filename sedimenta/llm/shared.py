@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import zipfile
 import zlib
@@ -84,6 +85,16 @@ def text_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which a driver with little to do
+    puts off while a chain of large jobs fills the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on every executor."""
     ship(df.sparkSession)
