@@ -86,7 +86,7 @@ def test_renaming(spark):
     assert C.sanitize_columns(df.toDF("Customer_first_NAME"), "camel_case").columns == [
         "customerFirstName"
     ]
-    with pytest.raises(ValueError, match="strategy"):
+    with pytest.raises(ValueError, match="kebab"):
         C.sanitize_columns(df, "kebab")
     with pytest.raises(ValueError, match="collide"):
         C.sanitize_columns(spark.range(1).select(F.lit(1).alias("a_b"), F.lit(2).alias("aB")), "snake_case")
