@@ -33,6 +33,8 @@ WIDTH, PERCENT = 4, 85
 LEAF_NODES = 1000
 LEAF_SHINGLES = 2_000_000
 PIVOTS = 32
+#: Narrow rows of regions (region, node, label) that are sent to every task at most.
+BROADCAST_ROWS = 500_000
 #: Times a region is cut by pivots; what is still large then is joined block by block.
 DEPTH = 3
 
@@ -195,7 +197,7 @@ def _place(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            homes, windows, links = [], [], []
+            homes, windows, links, joined = [], [], [], set()
             seen: dict[int, tuple] = {}
             for i in range(batch.num_rows):
                 region = batch.column("region")[i].as_py()
@@ -215,7 +217,10 @@ def _place(percent: int):
                     window.append(len(far))
                 homes.append(home)
                 windows.append(window)
-                links.append(link)
+                # one edge to the first pivot, and what first tells that two pivots are joined
+                new = [p for p in link[1:] if (link[0], p) not in joined]
+                joined.update((link[0], p) for p in new)
+                links.append(link[:1] + new)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("region", "node", "n", "label")]
                 + [pa.array(homes, pa.int32()), pa.array(windows, pa.list_(pa.int32())), pa.array(links, pa.list_(pa.int64()))],
@@ -389,7 +394,7 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if depth == DEPTH:
             found.append(_leaf_edges(_blocks(rest, large), sets, percent))
             break
-        regions, met = _cut(rest.join(sets, "node").select("region", "node", "n", "label", "shingles"), percent)
+        regions, met = _cut(_with_sets(rest, sets).select("region", "node", "n", "label", "shingles"), percent)
         regions = materialize(regions, "regions")
         found.append(met)
         release(regions.sparkSession)
@@ -399,7 +404,14 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return out
 
 
+def _with_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows with their nodes' sets. Up to ``BROADCAST_ROWS`` narrow rows go to the sets, more
+    are joined by an exchange of both."""
+    few = rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return sets.join(F.broadcast(rows) if few else rows, "node")
+
+
 def _leaf_edges(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    rows = rows.join(sets, "node").select("region", "node", "label", "shingles")
+    rows = _with_sets(rows, sets).select("region", "node", "label", "shingles")
     rows = rows.repartition("region").sortWithinPartitions("region", "node")
     return materialize(arrow_map(rows, _join_leaves(percent), "a long, b long"), "leaves")
