@@ -76,6 +76,8 @@ _SPACED_PART = re.compile(rf"\s+(?:{_DOT})\s+|{_WORD_AT}|\s*@\s*|\s*\.\s*", _I)
 _JOINED = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z0-9.+-]+_(?:{_AT})_{_LABEL}(?:(?:_(?:{_DOT})_|\.){_LABEL})+(?!\w)", _I)
 _JOINED_PART = re.compile(rf"_(?:{_DOT})_|_(?:{_AT})_", _I)
 _MIXED = re.compile(r"(?<![A-Za-z])[0-9OolI]{2,}(?![A-Za-z])")
+# as bytes: what the above need, where words alone don't tell
+_BARE_DOT = re.compile(rb"[\[({<][\x09-\x0D\x1C-\x20]*\.[\x09-\x0D\x1C-\x20]*[\])}>]")
 
 
 def _digits(text: str) -> list[int]:
@@ -169,7 +171,7 @@ def _spelled_digits(tape: Tape) -> None:
             if p[1]:
                 new = "+"
             elif p[2]:
-                new = _DIGIT_WORDS[p[2].lower()]
+                new = _DIGIT_WORDS[p[2].lower().replace("\u0307", "")]  # "İ" matches "i"
             elif p[3]:
                 continue
             else:
@@ -234,12 +236,17 @@ def described(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+# characters below U+0240, the first that 0xC9 starts: those a transducer may take for
+# another one or for a blank, and those that end a word
+_LOW = [chr(i) for i in range(0x240)]
+_ODD_LOW = np.array([not c.isascii() and (c.isspace() or c == "İ" or _plain_character(c) != c) for c in _LOW])
+_APART_LOW = np.array([not c.isascii() and not c.isalnum() for c in _LOW])
 _APART = np.ones(256, bool)
 _APART[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def _hashes(words) -> np.ndarray:
-    raw, offsets = text_buffers(pa.array(sorted({v for w in words for v in (w, w.replace("ü", "Ü").replace("é", "É"))})))
+    raw, offsets = text_buffers(pa.array(sorted({v for w in words for v in (w, "".join(c if c.isascii() else c.upper() for c in w))})))
     return np.sort(np.concatenate([spans(s, e) for s, e, spans, _ in word_blocks(raw, offsets, _APART)]))
 
 
@@ -248,26 +255,34 @@ def candidates(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     Necessary conditions on bytes and hashed words, so most texts are told clean by array
     operations: an at sign or two digits; else uncommon characters, three spelled digits,
-    bracketed signs, or words for at and dot.
+    bracketed signs or dots, or words for at and dot. Each transducer that would change a
+    text has its condition met by that text.
     """
     raw, offsets = text_buffers(column)
 
     def count(mask: np.ndarray) -> np.ndarray:
         return np.diff(segments(mask)[offsets])
 
+    def rows(starts: np.ndarray | list[int]) -> np.ndarray:
+        places = np.searchsorted(offsets, np.asarray(starts, np.int64), side="right") - 1
+        return np.bincount(places, minlength=len(offsets) - 1)
+
     digit = (raw >= 48) & (raw <= 57)
     at_sign, digits = count(raw == 64), count(digit)
-    odd = raw >= 0xC9
-    odd[1:] |= (raw[:-1] == 0xC2) & np.isin(raw[1:], np.array([0xA0, 0xAD, 0xB2, 0xB3, 0xB7, 0xB9], np.uint8))
-    odd[1:] |= (raw[:-1] == 0xC4) & (raw[1:] == 0xB1) | (raw[:-1] == 0xC7) & (raw[1:] == 0x80)
+    odd, parted = raw >= 0xC9, raw
+    low = np.flatnonzero((raw >= 0xC2) & ~odd)
+    if len(low):
+        codes = (raw[low] & 0x1F).astype(np.int64) << 6 | raw[low + 1] & 0x3F
+        odd[low] = _ODD_LOW[codes]
+        apart, parted = low[_APART_LOW[codes]], raw.copy()
+        parted[apart] = parted[apart + 1] = 0x20
     sets = [_hashes(_DIGIT_WORDS), _hashes(_DOT_WORDS), _hashes(_AT_WORDS)]
     seen = np.zeros((3, len(offsets) - 1), np.int64)
-    for s, e, spans, at in word_blocks(raw, offsets, _APART):
+    for s, e, spans, at in word_blocks(parted, offsets, _APART):
         hashes = spans(s, e)
         for k, known in enumerate(sets):
             place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            where = s[known[place] == hashes] + at
-            seen[k] += np.bincount(np.searchsorted(offsets, where, side="right") - 1, minlength=seen.shape[1])
+            seen[k] += rows(s[known[place] == hashes] + at)
     bracket = count(np.isin(raw, np.frombuffer(b"[({<", np.uint8)))
     letters = count(np.isin(raw, np.frombuffer(b"OolI", np.uint8)))
     beside = np.zeros(len(raw), bool)
@@ -279,6 +294,7 @@ def candidates(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         | (at_sign > 0)
         | (seen[1] >= 3)
         | ((bracket > 0) & ((seen[1] > 0) | (seen[2] > 0)))
+        | (rows([m.start() for m in _BARE_DOT.finditer(raw)]) > 0)
         | ((seen[2] > 0) & (seen[1] > 0))
         | ((letters > 0) & (count(beside) > 0) & (digits >= 7))
     )

@@ -126,6 +126,43 @@ def test_disguises(text, kind):
         assert text not in pii.redact(whole, spans)
 
 
+BLANKS = ("", " ", "\t ", "\x1c", "\x85", "\xa0")
+
+
+def bracketed(signs):
+    return [f"{b}{a}{x}{sign}{x}{z}{b}" for a, z in ("[]", "()", "{}", "<>", "[)") for x in BLANKS for b in ("", " ") for sign in signs]
+
+
+def disguises(form):
+    """Texts of one form of disguise with nothing else in them."""
+    dots, ats = [*pii._DOT_WORDS, "PUNKT"], ["at", "AT", "arroba", "ät", "ÄT"]
+    if form == "bare dot":
+        return [f"192{d}168{d}0{d}1" for d in bracketed(".")] + [f"192{d}168.0.1" for d in bracketed(".")]
+    if form == "dot in brackets":
+        return [f"10{d}0.0.1" for d in bracketed([*dots, "poİnt"])]
+    if form == "at in brackets":
+        return [f"john{a}mail.example.com" for a in bracketed([*ats, "chez", "@"])]
+    if form == "words":
+        return [f"john{x}{a}{x}example{x}{d}{x}com" for x in BLANKS[1:] for a in ats for d in dots]
+    if form == "characters":
+        every = [c for c in map(chr, range(0x80, 0x3000)) if pii._plain_character(c) != c]
+        return [f"{c}.20.30.40" for c in every] + [f"a{c}1.20.30.40" for c in every]
+    if form == "spelled":
+        words = list(pii._DIGIT_WORDS)
+        runs = [" ".join((w, "23456789", v, w)) for w in words for v in (w.upper(), w.replace("i", "İ"), w.replace("s", "ſ"))]
+        return [f"{a}plus {r}{z}" for r in runs for a, z in ("  ", "«»", "×÷", "¿?")]
+    raise ValueError(form)
+
+
+@pytest.mark.parametrize("form", ["bare dot", "dot in brackets", "at in brackets", "words", "characters", "spelled"])
+def test_batches_find_every_disguise(form):
+    texts = disguises(form)
+    expected = [pii.find(t) for t in texts]
+    assert sum(spans != plain for plain, spans in expected) > len(texts) / 20
+    assert pii.find_in_batch(pa.array(texts)) == expected
+    assert [pii.find_in_batch(pa.array([t]))[0] for t in texts] == expected
+
+
 @pytest.mark.parametrize("text", ["look at the dot on the map", "il est chez le point de la", "one two three go", "I am at home at five", "l0ve Ol0", ""])
 def test_clean_texts_stay(text):
     assert pii.find(text) == ([], [])
