@@ -78,6 +78,7 @@ _JOINED_PART = re.compile(rf"_(?:{_DOT})_|_(?:{_AT})_", _I)
 _MIXED = re.compile(r"(?<![A-Za-z])[0-9OolI]{2,}(?![A-Za-z])")
 # as bytes: what the above need, where words alone don't tell
 _BARE_DOT = re.compile(rb"[\[({<][\x09-\x0D\x1C-\x20]*\.[\x09-\x0D\x1C-\x20]*[\])}>]")
+_JOINED_AT = re.compile(f"_(?:{_AT}|Ät)(?=_)".encode(), _I)
 
 
 def _digits(text: str) -> list[int]:
@@ -255,8 +256,8 @@ def candidates(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     Necessary conditions on bytes and hashed words, so most texts are told clean by array
     operations: an at sign or two digits; else uncommon characters, three spelled digits,
-    bracketed signs or dots, or words for at and dot. Each transducer that would change a
-    text has its condition met by that text.
+    bracketed signs or dots, words for at and dot, or at between underscores. Each
+    transducer that would change a text has its condition met by that text.
     """
     raw, offsets = text_buffers(column)
 
@@ -296,6 +297,7 @@ def candidates(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         | ((bracket > 0) & ((seen[1] > 0) | (seen[2] > 0)))
         | (rows([m.start() for m in _BARE_DOT.finditer(raw)]) > 0)
         | ((seen[2] > 0) & (seen[1] > 0))
+        | (rows([m.start() for m in _JOINED_AT.finditer(raw)]) > 0)
         | ((letters > 0) & (count(beside) > 0) & (digits >= 7))
     )
     return (at_sign > 0) | (digits >= 2), hidden

@@ -142,6 +142,9 @@ def disguises(form):
         return [f"10{d}0.0.1" for d in bracketed([*dots, "poİnt"])]
     if form == "at in brackets":
         return [f"john{a}mail.example.com" for a in bracketed([*ats, "chez", "@"])]
+    if form == "joined":
+        domains = ["example.com", "mail.example.co.uk", *(f"example_{d}_com" for d in dots), *(f"mail.example_{d}_com" for d in dots)]
+        return [f"{n}_{a}_{d}" for n in ("john", "a.b+c", "x_at") for a in [*ats, "chez"] for d in domains]
     if form == "words":
         return [f"john{x}{a}{x}example{x}{d}{x}com" for x in BLANKS[1:] for a in ats for d in dots]
     if form == "characters":
@@ -154,7 +157,7 @@ def disguises(form):
     raise ValueError(form)
 
 
-@pytest.mark.parametrize("form", ["bare dot", "dot in brackets", "at in brackets", "words", "characters", "spelled"])
+@pytest.mark.parametrize("form", ["bare dot", "dot in brackets", "at in brackets", "joined", "words", "characters", "spelled"])
 def test_batches_find_every_disguise(form):
     texts = disguises(form)
     expected = [pii.find(t) for t in texts]
@@ -163,6 +166,12 @@ def test_batches_find_every_disguise(form):
     assert [pii.find_in_batch(pa.array([t]))[0] for t in texts] == expected
 
 
+def test_joined_at_beside_a_row_border():
+    texts = ["see x_a", "t_at_example.com", "mail john_", "at_example.com", "", "john_at_example.com"]
+    assert pii.find_in_batch(pa.array(texts)) == [pii.find(t) for t in texts]
+    assert [spans for _, spans in pii.find_in_batch(pa.array(texts))][1] == [(0, 0, 16)]
+
+
 @pytest.mark.parametrize("text", ["look at the dot on the map", "il est chez le point de la", "one two three go", "I am at home at five", "l0ve Ol0", ""])
 def test_clean_texts_stay(text):
     assert pii.find(text) == ([], [])
