@@ -256,8 +256,9 @@ def candidates(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     Necessary conditions on bytes and hashed words, so most texts are told clean by array
     operations: an at sign or two digits; else uncommon characters, three spelled digits,
-    bracketed signs or dots, words for at and dot, or at between underscores. Each
-    transducer that would change a text has its condition met by that text.
+    bracketed signs or dots, words for at and dot, at between underscores, or a letter
+    like a digit beside one. Each transducer that would change a text has its condition
+    met by that text.
     """
     raw, offsets = text_buffers(column)
 
@@ -285,7 +286,6 @@ def candidates(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
             seen[k] += rows(s[known[place] == hashes] + at)
     bracket = count(np.isin(raw, np.frombuffer(b"[({<", np.uint8)))
-    letters = count(np.isin(raw, np.frombuffer(b"OolI", np.uint8)))
     beside = np.zeros(len(raw), bool)
     beside[1:] = digit[:-1] & np.isin(raw[1:], np.frombuffer(b"OolI", np.uint8))
     beside[:-1] |= digit[1:] & np.isin(raw[:-1], np.frombuffer(b"OolI", np.uint8))
@@ -298,7 +298,7 @@ def candidates(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         | (rows([m.start() for m in _BARE_DOT.finditer(raw)]) > 0)
         | ((seen[2] > 0) & (seen[1] > 0))
         | (rows([m.start() for m in _JOINED_AT.finditer(raw)]) > 0)
-        | ((letters > 0) & (count(beside) > 0) & (digits >= 7))
+        | (count(beside) > 0)
     )
     return (at_sign > 0) | (digits >= 2), hidden
 

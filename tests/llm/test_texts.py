@@ -150,6 +150,9 @@ def disguises(form):
     if form == "characters":
         every = [c for c in map(chr, range(0x80, 0x3000)) if pii._plain_character(c) != c]
         return [f"{c}.20.30.40" for c in every] + [f"a{c}1.20.30.40" for c in every]
+    if form == "mixed":
+        short = [f"{x}.2.3.4" for x in ("1O", "l0", "I9", "2o", "1º", "1l2")] + [f"1.2.3.{x}" for x in ("1O", "l0", "I9", "2o")]
+        return [*short, "+1O2O3O4O5O", "+l2O3O4O5O6", "4l1l1l1l1l1l1l1l", "l0.l0.l0.l0"]
     if form == "spelled":
         words = list(pii._DIGIT_WORDS)
         runs = [" ".join((w, "23456789", v, w)) for w in words for v in (w.upper(), w.replace("i", "İ"), w.replace("s", "ſ"))]
@@ -157,7 +160,7 @@ def disguises(form):
     raise ValueError(form)
 
 
-@pytest.mark.parametrize("form", ["bare dot", "dot in brackets", "at in brackets", "joined", "words", "characters", "spelled"])
+@pytest.mark.parametrize("form", ["bare dot", "dot in brackets", "at in brackets", "joined", "words", "characters", "mixed", "spelled"])
 def test_batches_find_every_disguise(form):
     texts = disguises(form)
     expected = [pii.find(t) for t in texts]
