@@ -84,13 +84,12 @@ class _Best:
         floor = np.array([s[-1] if len(s) == self.k else -np.inf for s in self.scores])
         # a query is no candidate of its own, so one more may be needed of each block
         alive = survivors(self.vectors, x, self.k + 1, floor)
-        scores = _exact(self.vectors, x)
         for i, own in enumerate(self.ids.tolist()):
             at = np.flatnonzero(alive[i])
             at = at[ids[at] != own]
             if not len(at):
                 continue
-            s = np.concatenate([self.scores[i], scores[i, at]])
+            s = np.concatenate([self.scores[i], _exact(self.vectors[i : i + 1], x[at])[0]])
             f = np.concatenate([self.found[i], ids[at]])
             best = np.lexsort((f, -s))[: self.k]
             self.scores[i], self.found[i] = s[best], f[best]

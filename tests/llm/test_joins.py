@@ -132,6 +132,19 @@ def test_bounds_keep_the_best():
     assert alive[np.arange(20)[:, None], best].all() and not alive.all()
 
 
+def test_only_pairs_alive_are_scored(monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.integers(-50, 50, (500, 8)) ** 3
+    ids, q = np.arange(1000, 1020), rng.integers(-50, 50, (20, 8)) ** 3
+    alive = topk.survivors(q, x, 6, np.full(20, -np.inf))
+    scored, exact = [], topk._exact
+    monkeypatch.setattr(topk, "_exact", lambda a, b: scored.append(len(a) * len(b)) or exact(a, b))
+    best = topk._Best(ids, q, 5)
+    best.add(np.arange(500), x)
+    assert sum(scored) == alive.sum() < alive.size
+    assert [f.tolist() for f in best.found] == np.lexsort((np.tile(np.arange(500), (20, 1)), -(q @ x.T)), axis=1)[:, :5].tolist()
+
+
 @pytest.mark.parametrize("block", [2048, 5])
 def test_near_duplicate_vectors(spark, block):
     rng = np.random.default_rng(7)
