@@ -236,7 +236,7 @@ def _sized(rows: DataFrame) -> DataFrame:
         F.count("*").alias("nodes"), F.sum("n").alias("total"), F.min("label").alias("low"), F.max("label").alias("high")
     )
     leaf = (F.col("nodes") <= LEAF_NODES) & (F.col("total") <= LEAF_SHINGLES)
-    return sizes.where("low <> high").select("region", "nodes", leaf.alias("leaf"))
+    return sizes.where("low <> high").select("region", "nodes", "total", leaf.alias("leaf"))
 
 
 def _cut(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -266,8 +266,8 @@ def _cut(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 def _blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """Every pair of blocks of a large region as a region of its own."""
-    rows = rows.join(sizes.select("region", "nodes"), "region")
-    size = F.greatest(F.ceil(F.col("nodes") * 2 / LEAF_NODES), F.lit(1))
+    rows = rows.join(sizes.select("region", "nodes", "total"), "region")
+    size = F.greatest(F.ceil(F.col("nodes") * 2 / LEAF_NODES), F.ceil(F.col("total") * 2 / LEAF_SHINGLES), F.lit(1))
     rows = rows.withColumn("blocks", size).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))

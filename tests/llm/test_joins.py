@@ -51,6 +51,19 @@ def test_ngram_join(spark, monkeypatch, leaf, pivots, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_join(rows, width, percent)
 
 
+def test_blocks_of_few_long_documents(spark):
+    rows = spark.createDataFrame([(7, i, 100_000, i) for i in range(500)], "region long, node long, n long, label long")
+    sizes = ngram_join._sized(rows)
+    assert [r.leaf for r in sizes.collect()] == [False]
+    blocks = {}
+    for r in ngram_join._blocks(rows, sizes).distinct().collect():
+        blocks.setdefault(r.region, {})[r.node] = r.n
+    met = {(a, b) for nodes in blocks.values() for a in nodes for b in nodes if a < b}
+    assert len(met) == 500 * 499 // 2
+    # dealt by hash, so a pair of blocks holds LEAF_SHINGLES on average
+    assert max(sum(nodes.values()) for nodes in blocks.values()) <= 2.5 * ngram_join.LEAF_SHINGLES
+
+
 def test_ngram_join_of_repeated_rows_and_null_ids(spark):
     rows = [(5, "a b c d e", "s"), (5, "a b c d e", "s"), (5, "q r s t u", "s"), (None, "a b c d e", "s"), (9, "q r s t u", "s")]
     found = ngram_join.similar_components(documents(spark, rows)).collect()
