@@ -68,7 +68,15 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     if _scopes:
         _scopes[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def remove(table: DataFrame) -> None:
+    """Delete the folder of a materialized table that nothing will read any more."""
+    place, files = file_system(table.sparkSession, table.scratch_path)
+    files.delete(place, True)
 
 
 def local_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
