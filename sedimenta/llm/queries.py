@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.llm import (
+    collocations,
     katz,
     mixing,
     near_vectors,
@@ -77,6 +78,11 @@ def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(read(spark, sf_dir, "documents"))
 
 
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(read(spark, sf_dir, "documents"))
+
+
 ORACLES["op6_mix_sources"] = r"""
 WITH sized AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
@@ -143,3 +149,37 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(e.vec_id, y) AS compon
     e.vec_id = least(e.vec_id, y) AS kept
 FROM embeddings e LEFT JOIN counted c ON c.x = e.vec_id LEFT JOIN least m ON m.x = e.vec_id
 """
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL),
+cut AS (
+    SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (
+    SELECT lang, len, unnest(list_transform(range(1, len(w) - len + 2), lambda i: array_to_string(w[i:i + len - 1], ' '))) AS phrase
+    FROM cut, range(1, 6) AS lengths(len) WHERE len(w) >= len),
+f AS (SELECT lang, len, phrase, count(*)::BIGINT AS a FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE len >= 2 AND a >= 100),
+inside AS (
+    SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+    FROM candidates, range(2, 5) AS shorter(k), range(1, 5) AS starts(i)
+    WHERE k < len AND i + k - 1 <= len GROUP BY ALL),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, n, k,
+        (1000::HUGEINT * c.a * n // (l.a::HUGEINT * r.a))::BIGINT AS score
+    FROM candidates c JOIN totals USING (lang), range(1, 5) AS cut_at(k), f l, f r
+    WHERE k < c.len AND l.lang = c.lang AND r.lang = c.lang
+        AND l.phrase = array_to_string(c.w[:k], ' ') AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+weakest AS (
+    SELECT * FROM cuts c WHERE NOT EXISTS (
+        FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.longer >= 100 * c.a)
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank,
+        phrase, a, l, r, n, score
+    FROM weakest)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
