@@ -14,6 +14,7 @@ from sedimenta.llm import (
     pii,
     quality,
     records,
+    rules,
     topk,
     toxicity,
 )
@@ -78,6 +79,11 @@ def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(read(spark, sf_dir, "documents"))
 
 
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.rule_verdicts(read(spark, sf_dir, "documents"))
+
+
 @query
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_phrases(read(spark, sf_dir, "documents"))
@@ -183,3 +189,64 @@ ranked AS (
     FROM weakest)
 SELECT * FROM ranked WHERE rank <= 2000
 """
+
+ORACLES["op12_quality_rules"] = r"""
+WITH t AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents),
+w AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM t),
+sized AS (
+    SELECT id, doc_id, lang, len(w)::BIGINT AS n_words, length(text)::BIGINT AS chars,
+        length(text) - length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS blank,
+        length(text) - length(regexp_replace(text, '[a-z]+', '', 'g')) AS low,
+        length(text) - length(regexp_replace(text, '[A-Z]+', '', 'g')) AS up,
+        length(text) - length(regexp_replace(text, '[0-9]+', '', 'g')) AS digit,
+        length(text) - length(regexp_replace(text, '[.,;:!?''"()-]+', '', 'g')) AS mark,
+        length(text) - length(regexp_replace(text, '[^\x00-\x7F]+', '', 'g')) AS wide,
+        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines
+    FROM w),
+windows AS (SELECT id, unnest(range(1, len(w) - 1)) AS i, unnest(list_zip(w, w[2:], w[3:])[:len(w) - 2]) AS g FROM w WHERE len(w) > 2),
+again AS (SELECT id, i FROM windows QUALIFY count(*) OVER (PARTITION BY id, g) > 1),
+repeats AS (SELECT id, count(DISTINCT i + k)::BIGINT AS n FROM again, range(3) AS shifts(k) GROUP BY id),
+single AS (SELECT id, lang, unnest(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')) AS word FROM t),
+per_lang AS (SELECT lang, word, count(*) AS n FROM single GROUP BY ALL),
+totals AS (SELECT lang, sum(n) AS language_words FROM per_lang GROUP BY lang),
+common AS (SELECT * FROM per_lang QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 20),
+classes AS (
+    SELECT id, lang, chars, n_words, unnest(['blank', 'low', 'up', 'digit', 'mark', 'wide', 'rest']) AS class,
+        unnest([blank, low, up, digit, mark, wide, chars - blank - low - up - digit - mark - wide]) AS n
+    FROM sized),
+class_shares AS (
+    SELECT lang, class, sum(n)::DOUBLE / sum(sum(n)) OVER (PARTITION BY lang)::DOUBLE AS q FROM classes GROUP BY lang, class),
+word_counts AS (
+    SELECT s.id, s.word, count(*) AS n FROM single s JOIN common USING (lang, word) GROUP BY ALL),
+word_bins AS (
+    SELECT id, coalesce(n, 0)::DOUBLE / n_words AS p, c.n::DOUBLE / language_words::DOUBLE AS q
+    FROM sized JOIN totals t USING (lang) JOIN common c USING (lang) LEFT JOIN word_counts wc USING (id, word)
+    WHERE n_words >= 50 AND language_words >= 10000
+    UNION ALL
+    SELECT id, 1 - coalesce((SELECT sum(n) FROM word_counts x WHERE x.id = s.id), 0)::DOUBLE / n_words,
+        1 - (SELECT sum(n) FROM common c WHERE c.lang = s.lang)::DOUBLE / language_words::DOUBLE
+    FROM sized s JOIN totals USING (lang) WHERE n_words >= 50 AND language_words >= 10000),
+class_bins AS (
+    SELECT id, n::DOUBLE / chars::DOUBLE AS p, q FROM classes JOIN class_shares USING (lang, class) JOIN totals USING (lang)
+    WHERE n_words >= 50 AND chars >= 200 AND language_words >= 10000),
+bins AS (SELECT id, 'w' AS kind, p, q FROM word_bins UNION ALL SELECT id, 'c', p, q FROM class_bins),
+far AS (
+    SELECT id, kind, round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)), 6) AS d
+    FROM bins GROUP BY ALL),
+judged AS (
+    SELECT s.*, coalesce(r.n, 0) AS n_repeat_words, c.d AS character_distance, v.d AS word_distance,
+        n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed
+    FROM sized s LEFT JOIN repeats r USING (id) LEFT JOIN far c ON c.id = s.id AND c.kind = 'c'
+        LEFT JOIN far v ON v.id = s.id AND v.kind = 'w')
+SELECT doc_id, n_words, chars - blank AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    character_distance, word_distance,
+    NOT base_failed AND coalesce(character_distance, 0) <= 0.35
+        AND coalesce(word_distance, 0) <= 0.25 + 1 / sqrt(greatest(n_words, 1)) AS kept
+FROM judged
+"""
