@@ -203,7 +203,6 @@ sized AS (
         length(text) - length(regexp_replace(text, '[a-z]+', '', 'g')) AS low,
         length(text) - length(regexp_replace(text, '[A-Z]+', '', 'g')) AS up,
         length(text) - length(regexp_replace(text, '[0-9]+', '', 'g')) AS digit,
-        length(text) - length(regexp_replace(text, '[.,;:!?''"()-]+', '', 'g')) AS mark,
         length(text) - length(regexp_replace(text, '[^\x00-\x7F]+', '', 'g')) AS wide,
         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines
@@ -211,20 +210,22 @@ sized AS (
 windows AS (SELECT id, unnest(range(1, len(w) - 1)) AS i, unnest(list_zip(w, w[2:], w[3:])[:len(w) - 2]) AS g FROM w WHERE len(w) > 2),
 again AS (SELECT id, i FROM windows QUALIFY count(*) OVER (PARTITION BY id, g) > 1),
 repeats AS (SELECT id, count(DISTINCT i + k)::BIGINT AS n FROM again, range(3) AS shifts(k) GROUP BY id),
-single AS (SELECT id, lang, unnest(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')) AS word FROM t),
+single AS (SELECT id, lang, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word FROM t),
 per_lang AS (SELECT lang, word, count(*) AS n FROM single GROUP BY ALL),
 totals AS (SELECT lang, sum(n) AS language_words FROM per_lang GROUP BY lang),
-common AS (SELECT * FROM per_lang QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 20),
+common AS (
+    SELECT * FROM per_lang WHERE length(word) <= 4
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 16),
 classes AS (
-    SELECT id, lang, chars, n_words, unnest(['blank', 'low', 'up', 'digit', 'mark', 'wide', 'rest']) AS class,
-        unnest([blank, low, up, digit, mark, wide, chars - blank - low - up - digit - mark - wide]) AS n
+    SELECT id, lang, chars, n_words, unnest(['blank', 'low', 'up', 'digit', 'wide', 'rest']) AS class,
+        unnest([blank, low, up, digit, wide, chars - blank - low - up - digit - wide]) AS n
     FROM sized),
 class_shares AS (
     SELECT lang, class, sum(n)::DOUBLE / sum(sum(n)) OVER (PARTITION BY lang)::DOUBLE AS q FROM classes GROUP BY lang, class),
 word_counts AS (
     SELECT s.id, s.word, count(*) AS n FROM single s JOIN common USING (lang, word) GROUP BY ALL),
 word_bins AS (
-    SELECT id, coalesce(n, 0)::DOUBLE / n_words AS p, c.n::DOUBLE / language_words::DOUBLE AS q
+    SELECT id, coalesce(wc.n, 0)::DOUBLE / n_words AS p, c.n::DOUBLE / language_words::DOUBLE AS q
     FROM sized JOIN totals t USING (lang) JOIN common c USING (lang) LEFT JOIN word_counts wc USING (id, word)
     WHERE n_words >= 50 AND language_words >= 10000
     UNION ALL
