@@ -1,6 +1,8 @@
-"""The file ledger: one row per source file, queried and changed as a table.
+"""The file ledger: one row per table and source file, queried and changed as a table.
 
-Functions named after a change take a ledger and return the next ledger.
+Functions named after a change take a ledger and return the next ledger. Those ending in
+``_events`` give the rows that say the same to a ledger kept as appended events, and
+:func:`fold_events` makes the ledger of them.
 """
 
 from __future__ import annotations
@@ -51,25 +53,39 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     )
 
 
-def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Listed files the ledger does not know."""
-    known = ledger.select(F.col("file_path").alias("path"))
-    return listing.join(known, "path", "left_anti")
+def _known(ledger: DataFrame, table_name: str | Column | None) -> DataFrame:
+    """Paths a table's rows of the ledger name; those of all tables without a name."""
+    known = ledger.select(F.col("file_path").alias("path"), F.col("table_name").alias("__table"))
+    if table_name is None:
+        return known.drop("__table")
+    return known if isinstance(table_name, Column) else known.filter(F.col("__table") == table_name).drop("__table")
+
+
+def new_files(listing: DataFrame, ledger: DataFrame, table_name: str | None = None) -> DataFrame:
+    """Listed files the ledger does not know, of one table if it is named."""
+    return listing.join(_known(ledger, table_name), "path", "left_anti")
 
 
 def register_files(
     ledger: DataFrame, listing: DataFrame, table_name: str | Column, as_of=None
 ) -> DataFrame:
-    """Ledger plus a ``pending`` row for every listed file it does not know.
+    """Ledger plus a ``pending`` row for every listed file it does not know of the table.
 
-    ``listing`` has ``path`` and, if known, ``length`` and ``modificationTime``.
+    ``listing`` has ``path`` and, if known, ``length`` and ``modificationTime``. A table
+    name that is a column of the listing registers files for several tables.
     """
+    table = table_name if isinstance(table_name, Column) else F.lit(table_name)
+    wanted = listing.withColumn("__table", table).dropDuplicates(["path", "__table"])
+    fresh = wanted.join(_known(ledger, F.col("__table")), ["path", "__table"], "left_anti")
+    return ledger.unionByName(_registered(fresh, F.col("__table"), as_of))
+
+
+def _registered(listing: DataFrame, table: Column, as_of) -> DataFrame:
     now = as_timestamp(as_of)
     optional = {
         name: F.col(name) if name in listing.columns else F.lit(None)
         for name in ("length", "modificationTime")
     }
-    table = table_name if isinstance(table_name, Column) else F.lit(table_name)
     values = {
         "file_path": F.col("path"),
         "file_size": optional["length"],
@@ -83,26 +99,18 @@ def register_files(
         "created_at": now,
         "updated_at": now,
     }
-    rows = new_files(listing.dropDuplicates(["path"]), ledger).select(
-        *[values[f.name].cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields]
-    )
-    return ledger.unionByName(rows)
-
+    return listing.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields])
 
-def apply_transitions(ledger: DataFrame, transitions: DataFrame, as_of=None) -> DataFrame:
-    """Ledger after a batch of status changes.
 
-    ``transitions`` has ``file_path``, ``status`` and, if wanted, ``error_message``
-    and ``changed_at`` (default ``as_of``); of several rows for one file the last
-    by ``changed_at`` counts, at one instant the later step of the life cycle. A start sets the start time, an end the end time, a
-    failure also counts a retry and takes the message even if it is NULL.
-    """
+def _last_steps(transitions: DataFrame, as_of) -> tuple[DataFrame, list[str]]:
+    """One ``__step`` per file (and table, if the changes name it): the last one."""
     at = F.col("changed_at") if "changed_at" in transitions.columns else as_timestamp(as_of)
     message = (
         F.col("error_message") if "error_message" in transitions.columns else F.lit(None)
     )
+    keys = [c for c in ("table_name", "file_path") if c in transitions.columns]
     steps = transitions.select(
-        "file_path",
+        *keys,
         # Of changes at one instant the later step of a file's life counts.
         F.struct(
             at.alias("at"),
@@ -111,7 +119,20 @@ def apply_transitions(ledger: DataFrame, transitions: DataFrame, as_of=None) ->
             message.cast("string").alias("message"),
         ).alias("step"),
     )
-    last = steps.groupBy("file_path").agg(F.max("step").alias("__step"))
+    return steps.groupBy(*keys).agg(F.max("step").alias("__step")), keys
+
+
+def apply_transitions(ledger: DataFrame, transitions: DataFrame, as_of=None) -> DataFrame:
+    """Ledger after a batch of status changes.
+
+    ``transitions`` has ``file_path``, ``status`` and, if wanted, ``table_name``,
+    ``error_message`` and ``changed_at`` (default ``as_of``). Without ``table_name`` a change
+    is one of the file in every table. Of several rows for one file the last by
+    ``changed_at`` counts, at one instant the later step of the life cycle. A start sets the
+    start time, an end the end time, a failure also counts a retry and takes the message
+    even if it is NULL.
+    """
+    last, keys = _last_steps(transitions, as_of)
     to, when = F.col("__step.status"), F.col("__step.at")
     text = F.col("__step.message")
     hit = F.col("__step").isNotNull()
@@ -120,7 +141,7 @@ def apply_transitions(ledger: DataFrame, transitions: DataFrame, as_of=None) ->
     done = F.coalesce(to.isin(COMPLETED, FAILED), F.lit(False))
     has_text = F.coalesce(F.length(text) > 0, F.lit(False))
     return (
-        ledger.join(last, "file_path", "left")
+        ledger.join(last, keys, "left")
         .withColumns(
             {
                 "status": F.coalesce(to, F.col("status")),
@@ -141,6 +162,95 @@ def apply_transitions(ledger: DataFrame, transitions: DataFrame, as_of=None) ->
     )
 
 
+# What an event says beside a ledger row's columns: its commit, whether it is a ledger row
+# (a registration, or a file's whole state), and whether it sets the message.
+EVENT_COLUMNS = ("event_commit", "event_is_row", "event_sets_message")
+
+
+def register_events(listing: DataFrame, table_name: str | Column, as_of=None) -> DataFrame:
+    """Events that register listed files. What the ledger knows already stays as it is,
+    so nothing needs to be looked up."""
+    table = table_name if isinstance(table_name, Column) else F.lit(table_name)
+    return row_events(_registered(listing, table, as_of))
+
+
+def row_events(rows: DataFrame) -> DataFrame:
+    """Events that state whole ledger rows."""
+    return rows.select(
+        *LEDGER_SCHEMA.names,
+        F.lit(None).cast("long").alias("event_commit"),
+        F.lit(True).alias("event_is_row"),
+        F.lit(True).alias("event_sets_message"),
+    )
+
+
+def transition_events(transitions: DataFrame, as_of=None, counts_retry: bool = True) -> DataFrame:
+    """Events for status changes as :func:`apply_transitions` takes them; ``table_name`` is
+    needed. Without ``counts_retry`` a failure costs the file no retry."""
+    last, _ = _last_steps(transitions, as_of)
+    step = last.select("table_name", "file_path", "__step.*")
+    failed = F.col("status") == FAILED
+    ends = F.col("status").isin(COMPLETED, FAILED)
+    values = {
+        "status": F.col("status"),
+        "processing_start_time": F.when(F.col("status") == PROCESSING, F.col("at")),
+        "processing_end_time": F.when(ends, F.col("at")),
+        "error_message": F.when(F.length("message") > 0, F.col("message")),
+        "retry_count": (failed & F.lit(counts_retry)).cast("int"),
+        "updated_at": F.col("at"),
+        "table_name": F.col("table_name"),
+        "file_path": F.col("file_path"),
+    }
+    return step.select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields],
+        F.lit(None).cast("long").alias("event_commit"),
+        F.lit(False).alias("event_is_row"),
+        (failed | F.coalesce(F.length("message") > 0, F.lit(False))).alias("event_sets_message"),
+    )
+
+
+def orphan_events(ledger: DataFrame, as_of=None, hours: int = 2) -> DataFrame:
+    """Events that fail orphans, ready for a retry that costs them none."""
+    orphans = orphaned_files(ledger, as_of, hours)
+    steps = orphans.select("table_name", "file_path", F.lit(FAILED).alias("status"), F.lit(ORPHAN_MESSAGE).alias("error_message"))
+    return transition_events(steps, as_of, counts_retry=False)
+
+
+def fold_events(events: DataFrame) -> DataFrame:
+    """The ledger that events amount to: one row per table and file that was registered.
+
+    Events of a file count in the order of their commits, within one in that of the life
+    cycle, after the file's first registration however often that is repeated. Everything is a
+    sum, least or latest value, so map tasks reduce a file's events before the exchange.
+    """
+    is_row = F.coalesce("event_is_row", F.lit(True))
+    commit = F.coalesce("event_commit", F.lit(0))
+    order = F.struct(
+        (~is_row).alias("later"),
+        F.when(is_row, -commit).otherwise(commit).alias("commit"),
+        F.array_position(F.lit(list(LIFE_CYCLE)), F.col("status")).alias("rank"),
+    )
+    ordered = events.withColumns({"__order": order, "__row": is_row})
+
+    def latest(column: str, where: Column) -> Column:
+        return F.max_by(column, F.when(where, F.col("__order"))).alias(column)
+
+    folded = ordered.groupBy("table_name", "file_path").agg(
+        F.max("__row").alias("__row"),
+        latest("file_size", F.col("__row")),
+        latest("file_modified_time", F.col("__row")),
+        latest("status", F.lit(True)),
+        latest("processing_start_time", F.col("processing_start_time").isNotNull()),
+        latest("processing_end_time", F.col("processing_end_time").isNotNull()),
+        latest("error_message", F.coalesce("event_sets_message", F.lit(True))),
+        (F.sum(F.when(~F.col("__row"), F.col("retry_count")).otherwise(0))
+         + F.coalesce(F.max(F.when(F.col("__row"), F.col("retry_count"))), F.lit(0))).cast("int").alias("retry_count"),
+        F.min("created_at").alias("created_at"),
+        latest("updated_at", F.lit(True)),
+    )
+    return folded.filter("__row").select(*LEDGER_SCHEMA.names)
+
+
 def _of_table(ledger: DataFrame, table_name: str | None) -> DataFrame:
     return ledger if table_name is None else ledger.filter(F.col("table_name") == table_name)
 
@@ -169,8 +279,9 @@ def unprocessed_files(
     ledger: DataFrame,
     skip_skipped: bool = False,
     max_retries: int | None = None,
+    table_name: str | None = None,
 ) -> DataFrame:
-    """Listed files that are not completed.
+    """Listed files that are not completed, in the named table if one is named.
 
     Skipped files and files out of retries count as unprocessed unless the options
     exclude them.
@@ -180,7 +291,7 @@ def unprocessed_files(
         settled = settled | (F.col("status") == SKIPPED)
     if max_retries is not None:
         settled = settled | ((F.col("status") == FAILED) & (F.col("retry_count") >= max_retries))
-    done = ledger.filter(settled).select(F.col("file_path").alias("path"))
+    done = _known(ledger.filter(settled), table_name)
     return listing.join(done, "path", "left_anti")
 
 

@@ -20,6 +20,7 @@ from sedimenta.operators import append, lineage, scd2
 from sedimenta.operators import ledger as led
 from sedimenta.operators.summaries import RESULT_SCHEMA
 from sedimenta.scratch import local_frame, materialize, temporary_tables
+from sedimenta.sources.events import EventLedger
 from sedimenta.sources.files import list_files, read_for
 from sedimenta.sources.store import CommitConflict, TableStore
 from sedimenta.spec import STRATEGIES, TableSpec
@@ -326,23 +327,31 @@ def load_table(
     until none is left; an overwrite reads that way, too, but replaces once. Returns one
     load-result row per file tried. A failed file is tried again by the next call until
     it runs out of retries. One ledger may serve many tables: a file is known by table
-    and path.
+    and path. An :class:`EventLedger` is appended to; any other store of ledger rows is
+    written anew with every batch.
     """
     start = as_of or _now()
     place = F.struct("modificationTime", "path")
-    mine = F.col("table_name") == spec.table_name
 
-    def books() -> tuple[DataFrame, DataFrame]:
-        whole = ledger.read() if ledger.exists() else led.empty_ledger(spark)
-        return whole.filter(mine), whole.filter(~mine)
-
-    def change(book: DataFrame, others: DataFrame, steps: DataFrame) -> None:
-        ledger.create(others.unionByName(led.apply_transitions(book, steps, as_of or _now())))
+    def book() -> DataFrame:
+        return ledger.read() if ledger.exists() else led.empty_ledger(spark)
+
+    def change(steps: DataFrame, registered: DataFrame | None = None) -> None:
+        steps, now = steps.withColumn("table_name", F.lit(spec.table_name)), as_of or _now()
+        if isinstance(ledger, EventLedger):
+            events = led.transition_events(steps, now)
+            if registered is not None:
+                events = led.register_events(registered, spec.table_name, start).unionByName(events)
+            return ledger.record(events)
+        whole = book()
+        if registered is not None:
+            whole = led.register_files(whole, registered, spec.table_name, start)
+        ledger.create(led.apply_transitions(whole, steps, now))
 
     with temporary_tables(spark):
         # Listed and compared with the ledger once; chunks are cut from what was kept.
         todo = led.unprocessed_files(
-            list_files(spark, spec.source_path_pattern), books()[0], skip_skipped=True, max_retries=max_retries
+            list_files(spark, spec.source_path_pattern), book(), True, max_retries, spec.table_name
         )
         todo = materialize(todo.select("path", "length", "modificationTime"), "todo")
         results, last, done, chunks = None, None, 0, []
@@ -360,10 +369,8 @@ def load_table(
                 chosen = local_frame(
                     spark, {n: [r[n] for r in chunk] for n in ("path", "length", "modificationTime")}
                 )
-                book, others = books()
-                book = led.register_files(book, chosen, spec.table_name, start)
                 begun = F.col("path").alias("file_path"), F.lit(led.PROCESSING).alias("status")
-                change(book, others, chosen.select(*begun))
+                change(chosen.select(*begun), chosen)
                 if once:
                     chunks.append(files)
                 else:
@@ -382,7 +389,7 @@ def load_table(
                     F.when(F.col("success"), led.COMPLETED).otherwise(led.FAILED).alias("status"),
                     "error_message",
                 )
-                change(*books(), finished)
+                change(finished)
                 results = rows if results is None else results.unionAll(rows)
     return results if results is not None else spark.createDataFrame([], RESULT_SCHEMA)
 
@@ -402,11 +409,11 @@ def load_all(
     A table that cannot be loaded at all yields one failed result row and leaves
     the others alone. With ``days_to_keep`` older ledger rows are purged at the end.
     """
-    book = TableStore(spark, f"{root.rstrip('/')}/metadata/file_ledger")
+    book = EventLedger(spark, f"{root.rstrip('/')}/metadata/file_ledger")
     if book.exists():
         orphans = led.orphaned_files(book.read(), as_of)
         if not orphans.isEmpty():
-            book.create(led.fix_orphans(book.read(), as_of))
+            book.record(led.orphan_events(book.read(), as_of))
     chosen = [s for s in specs if only is None or s.table_name in only]
     results = None
     for attempt in (1, 2):

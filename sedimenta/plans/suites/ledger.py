@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from sedimenta import TableSpec
 from sedimenta.operators import ledger as led
 from sedimenta.plans.suites.registry import query, table
+from sedimenta.scratch import scratch_path
+from sedimenta.sources.events import EventLedger
 
 AS_OF = "1998-06-01 00:00:00"
 TABLES = {"urgent": "/raw/1-URGENT/*.parquet", "rest": "/raw/*/*.parquet"}
@@ -111,12 +113,30 @@ def q_new_files(spark, sf_dir):
 SELECT path, length, "modificationTime", 'parts', 'pending', NULL, NULL, NULL, 0,
   TIMESTAMP '{AS_OF}', TIMESTAMP '{AS_OF}' FROM f WHERE path NOT IN (SELECT file_path FROM l)""")
 def q_register(spark, sf_dir):
-    return led.register_files(
-        ledger_rows(spark, sf_dir), listing_rows(spark, sf_dir), "parts", AS_OF
+    """Files are registered for the table their folder names: orders' are known there."""
+    folder = F.regexp_extract("path", "^/raw/([^/]*)/", 1)
+    return led.register_files(ledger_rows(spark, sf_dir), listing_rows(spark, sf_dir), folder, AS_OF)
+
+
+@query("ledger_shared", f"""WITH f AS ({LISTING_SQL})
+SELECT path AS file_path, length AS file_size, "modificationTime" AS file_modified_time, name AS table_name,
+  CASE WHEN ends THEN 'failed' ELSE 'pending' END AS status, CAST(NULL AS TIMESTAMP) AS processing_start_time,
+  CASE WHEN ends THEN TIMESTAMP '{AS_OF}' END AS processing_end_time, CAST(NULL AS VARCHAR) AS error_message,
+  CAST(CASE WHEN ends THEN 1 ELSE 0 END AS INTEGER) AS retry_count,
+  TIMESTAMP '{AS_OF}' AS created_at, TIMESTAMP '{AS_OF}' AS updated_at
+FROM (SELECT *, name = 'two' AND length % 2 = 0 AS ends FROM f, (VALUES ('one'), ('two')) AS t(name))""")
+def q_shared(spark, sf_dir):
+    """Two tables over the same files: each registers them all, a change of one is its own."""
+    files = listing_rows(spark, sf_dir)
+    book = led.register_files(led.empty_ledger(spark), files, "one", AS_OF)
+    book = led.register_files(led.register_files(book, files, "two", AS_OF), files, "one", AS_OF)
+    steps = files.filter("length % 2 = 0").select(
+        F.lit("two").alias("table_name"), F.col("path").alias("file_path"), F.lit("failed").alias("status")
     )
+    return led.apply_transitions(book, steps, AS_OF)
 
 
-@query("ledger_transition", f"""{BASE}, t AS (SELECT *, CASE
+TRANSITION_SQL = f"""{BASE}, t AS (SELECT *, CASE
     WHEN status = 'pending' THEN 'processing'
     WHEN status = 'processing' AND table_name = '1-URGENT' THEN 'failed'
     WHEN status = 'processing' THEN 'completed' END AS target FROM l)
@@ -129,11 +149,31 @@ SELECT file_path, file_size, file_modified_time, table_name, coalesce(target, st
     AS error_message,
   CAST(retry_count + CASE WHEN target = 'failed' THEN 1 ELSE 0 END AS INTEGER) AS retry_count,
   created_at, CASE WHEN target IS NOT NULL THEN TIMESTAMP '{AS_OF}' ELSE updated_at END AS updated_at
-FROM t""")
+FROM t"""
+
+
+@query("ledger_transition", TRANSITION_SQL)
 def q_transition(spark, sf_dir):
     """Pending files start; processing ones end, the urgent ones badly."""
     rows = ledger_rows(spark, sf_dir)
-    steps = rows.filter(F.col("status").isin("pending", "processing")).select(
+    return led.apply_transitions(rows, changes(rows).drop("table_name"), AS_OF)
+
+
+@query("ledger_transition_events", TRANSITION_SQL)
+def q_transition_events(spark, sf_dir):
+    """The same changes to a ledger of events, whose files are registered once more later."""
+    rows, book = ledger_rows(spark, sf_dir), EventLedger(spark, scratch_path(spark, "ledger"))
+    book.record(led.row_events(rows))
+    book.record(led.transition_events(changes(rows), AS_OF))
+    again = rows.select(F.col("file_path").alias("path"), F.col("file_size").alias("length"),
+                        F.col("file_modified_time").alias("modificationTime"), "table_name")
+    book.record(led.register_events(again, F.col("table_name"), AS_OF))
+    return book.read()
+
+
+def changes(rows):
+    return rows.filter(F.col("status").isin("pending", "processing")).select(
+        "table_name",
         "file_path",
         F.when(F.col("status") == "pending", "processing")
         .when(F.col("table_name") == "1-URGENT", "failed")
@@ -144,7 +184,6 @@ def q_transition(spark, sf_dir):
             F.concat(F.lit("can't read "), "file_path"),
         ).alias("error_message"),
     )
-    return led.apply_transitions(rows, steps, AS_OF)
 
 
 @query("pending_files", f"{BASE} SELECT * FROM l WHERE status = 'pending'")

@@ -14,6 +14,7 @@ from sedimenta.plans.suites import scd2
 from sedimenta.plans.suites.registry import query, table
 from sedimenta.scratch import scratch_path
 from sedimenta.sources import catalog, files
+from sedimenta.sources.events import EventLedger
 from sedimenta.sources.store import TableStore
 
 ORDERS_SQL = "SELECT * FROM orders"
@@ -183,7 +184,7 @@ def q_load_append(spark, sf_dir):
         source_path_pattern=f"{root}/raw/*/*.parquet",
     )
     store = loading.store_for(spark, root, spec)
-    book = TableStore(spark, f"{root}/ledger")
+    book = EventLedger(spark, f"{root}/ledger")
     loading.load_table(spark, spec, store, book, "2024-01-01 00:00:00")
     loading.load_table(spark, spec, store, book, "2024-02-01 00:00:00")
     return store.read().drop("_source_file", "_batch_id")
@@ -206,7 +207,7 @@ def q_load_scd2(spark, sf_dir):
         }
     )
     store = loading.store_for(spark, root, spec)
-    book = TableStore(spark, f"{root}/ledger")
+    book = EventLedger(spark, f"{root}/ledger")
     for n, (batch, at) in enumerate(batches):
         # One file stands for one snapshot here, hence one task.
         batch.coalesce(1).write.parquet(f"{root}/raw/{n}")
@@ -232,7 +233,7 @@ def q_load_backlog(spark, sf_dir):
     ):
         batch.coalesce(1).write.parquet(f"{root}/raw/{n}")
     store = loading.store_for(spark, root, spec)
-    loading.load_table(spark, spec, store, TableStore(spark, f"{root}/ledger"), scd2.T0)
+    loading.load_table(spark, spec, store, EventLedger(spark, f"{root}/ledger"), scd2.T0)
     return store.read().select(
         "c_custkey",
         "c_name",
@@ -263,7 +264,7 @@ def q_load_overwrite(spark, sf_dir):
     the last one holds a bad file and so replaces nothing."""
     root = scratch_path(spark, "load")
     spec, rows = load_spec(root, loading_strategy="overwrite"), orders(spark, sf_dir).select(*ORDER_COLUMNS)
-    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
     early = F.col("o_orderpriority") < "3"
     waiting(spark, rows.filter(early).repartition(3), root, "a")
     loading.load_table(spark, spec, store, book, scd2.T0, max_files=1)
@@ -284,7 +285,7 @@ def q_load_merge(spark, sf_dir):
     """An upsert with keyless rows, the second file of which is loaded once more."""
     root = scratch_path(spark, "load")
     spec = load_spec(root, loading_strategy="merge", primary_keys="c_custkey")
-    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     later = rows.filter("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
     for name, batch, at in (("a", rows, scd2.T0), ("b", later, scd2.T1)):
@@ -303,7 +304,7 @@ def q_load_after_purge(spark, sf_dir):
     """Files whose ledger rows were purged are loaded again and doubled by nothing."""
     root = scratch_path(spark, "load")
     spec = load_spec(root)
-    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
     waiting(spark, orders(spark, sf_dir).select(*ORDER_COLUMNS).repartition(3), root, "a")
     loading.load_table(spark, spec, store, book, scd2.T0)
     book.create(led.purge_ledger(book.read(), scd2.T2, days_to_keep=0))
@@ -317,7 +318,7 @@ def q_load_strict(spark, sf_dir):
     """Without schema evolution a file with another column is refused, and it alone."""
     root = scratch_path(spark, "load")
     spec = load_spec(root, schema_evolution=False)
-    store, book = loading.store_for(spark, root, spec), TableStore(spark, f"{root}/ledger")
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
     part = table(spark, sf_dir, "part")
     waiting(spark, part.filter("p_size <= 20").select("p_partkey", "p_name").coalesce(1), root, "a")
     waiting(spark, part.filter("p_size > 20").select("p_partkey", "p_name", "p_size").coalesce(1), root, "b")
@@ -334,7 +335,7 @@ def q_load_shared(spark, sf_dir):
     """Two tables over the same files, with one ledger."""
     root = scratch_path(spark, "load")
     waiting(spark, table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), root, "a")
-    book, out = TableStore(spark, f"{root}/ledger"), None
+    book, out = EventLedger(spark, f"{root}/ledger"), None
     for name in ("one", "two"):
         spec = load_spec(root, table_name=name)
         store = loading.store_for(spark, root, spec)
@@ -355,7 +356,7 @@ def q_load_late(spark, sf_dir):
     keys = {"loading_strategy": "scd2", "primary_keys": "c_custkey", "tracking_columns": "c_acctbal"}
     strict = load_spec(root, **keys, transformations={"filter": "assert_true(step <> 1) IS NULL"})
     mended = load_spec(root, **keys)
-    store, book = loading.store_for(spark, root, strict), TableStore(spark, f"{root}/ledger")
+    store, book = loading.store_for(spark, root, strict), EventLedger(spark, f"{root}/ledger")
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     for step in range(3):
         more = rows.withColumns({"c_acctbal": F.col("c_acctbal") + step, "step": F.lit(step)})

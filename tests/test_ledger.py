@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pyarrow as pa
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from sedimenta import TableSpec
 from sedimenta.operators import ledger as led
 from sedimenta.scratch import local_frame
+from sedimenta.sources.events import EventLedger
+from sedimenta.sources.store import TableStore
 from tests.conftest import rows
 
 NOW = "2024-01-01 12:00:00"
@@ -136,3 +139,57 @@ def test_table_consistency(spark, book):
     assert rows(fixed, "table_name", "status") == [("t", "failed"), ("u", "in_progress"), ("v", "completed")]
     assert rows(led.tables_to_run(status.select("table_name"), fixed)) == [("t",), ("u",)]
     assert rows(led.tables_to_run(status.select("table_name"), fixed, ["t", "v"])) == [("t",)]
+
+
+def test_files_are_known_by_table_and_path(spark):
+    files = spark.createDataFrame([("/a/1",), ("/a/2",)], "path string")
+    book = led.register_files(led.empty_ledger(spark), files, "one", NOW)
+    book = led.register_files(book, files.filter("path = '/a/1'"), "two", NOW)
+    assert rows(book, "table_name", "file_path") == [("one", "/a/1"), ("one", "/a/2"), ("two", "/a/1")]
+    assert rows(led.new_files(files, book, "two")) == [("/a/2",)]
+    assert not led.new_files(files, book).collect()
+    steps = spark.createDataFrame([("two", "/a/1", "completed")], "table_name string, file_path string, status string")
+    after = led.apply_transitions(book, steps, NOW)
+    assert rows(after.filter("status = 'completed'"), "table_name", "file_path") == [("two", "/a/1")]
+    assert rows(led.unprocessed_files(files, after, table_name="one")) == [("/a/1",), ("/a/2",)]
+    assert rows(led.unprocessed_files(files, after, table_name="two")) == [("/a/2",)]
+
+
+@pytest.mark.parametrize("fold_every", [1, 3, 64])
+def test_events_fold_to_the_ledger_of_changes(spark, tmp_path, fold_every):
+    """Any order of registrations, changes, orphan repairs and folds."""
+    rng = random.Random(fold_every)
+    plain, book = led.empty_ledger(spark), EventLedger(spark, str(tmp_path / "ledger"), fold_every)
+    for n in range(7):
+        at = f"2024-01-0{n + 1} 00:00:00"
+        table = rng.choice(("one", "two"))
+        files = [f"/f{k}" for k in range(6) if rng.random() < 0.6] or ["/f0"]
+        listing = spark.createDataFrame([(f, 5) for f in files], "path string, length long")
+        plain = led.register_files(plain, listing, table, at)
+        events = led.register_events(listing, table, at)
+        moves = [(table, f, rng.choice(led.STATUSES), rng.choice((None, "", "no"))) for f in files + ["/unknown"] for _ in range(rng.randrange(3))]
+        steps = spark.createDataFrame(moves, "table_name string, file_path string, status string, error_message string")
+        plain = led.apply_transitions(plain, steps, at)
+        book.record(events.unionByName(led.transition_events(steps, at)))
+        if n == 5:
+            book.record(led.orphan_events(book.read(), at))
+            plain = led.fix_orphans(plain, at)
+        plain = spark.createDataFrame(plain.collect(), led.LEDGER_SCHEMA)
+        assert rows(book.read()) == rows(plain)
+    assert len(book.version().parts) <= max(fold_every, 10) + 1
+
+
+def test_event_ledger_goes_on_from_rows(spark, tmp_path):
+    """A ledger written as rows is read, appended to, and purged."""
+    listing = spark.createDataFrame([("/a",), ("/b",)], "path string")
+    old = led.register_files(led.empty_ledger(spark), listing, "t", NOW)
+    TableStore(spark, str(tmp_path / "l")).create(old)
+    book = EventLedger(spark, str(tmp_path / "l"))
+    steps = spark.createDataFrame([("t", "/a", "completed")], "table_name string, file_path string, status string")
+    before = book.version().parts
+    book.record(led.transition_events(steps, NOW))
+    assert book.version().parts[:1] == before and len(book.events().collect()) == 3
+    assert rows(book.read(), "file_path", "status") == [("/a", "completed"), ("/b", "pending")]
+    book.create(led.purge_ledger(book.read(), "2030-01-01 00:00:00", 1))
+    assert rows(book.read(), "file_path") == [("/b",)]
+    assert rows(book.read(1), "file_path", "status") == [("/a", "pending"), ("/b", "pending")]
