@@ -17,6 +17,7 @@ from sedimenta.llm import (
     rules,
     topk,
     toxicity,
+    whitening,
 )
 from sedimenta.llm.shared import read
 
@@ -79,6 +80,11 @@ def op10_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_verdicts(read(spark, sf_dir, "documents"))
