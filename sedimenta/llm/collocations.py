@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 
 import numpy as np
@@ -21,8 +22,10 @@ LISTED = 2000
 COVERED_PERCENT = 100
 #: Language of documents without one.
 UNKNOWN = "und"
-#: Bytes of text in a chunk, whose occurrences are one row of a relation.
-CHUNK_BYTES = 6 << 20
+#: Bytes of text in a chunk, whose occurrences are one row of a relation, a few MB long, and
+#: how many such rows are read at a time.
+CHUNK_BYTES = 2 << 20
+READ_ROWS = 8
 #: Bits of the filter for frequent groups, as a power of two: 2**26 bits are 8 MB.
 FILTER_BITS = 26
 
@@ -117,6 +120,19 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+@contextmanager
+def _few_rows(spark: SparkSession) -> Iterator[None]:
+    """For jobs run within: rows that hold many values are read and sent by the few."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(READ_ROWS))
+    try:
+        with text_batches(spark, 1):
+            yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _filter(frequent: DataFrame, rows: int, most: int) -> tuple[int, np.ndarray]:
     """A filter of at most 2**``most`` bits that holds every phrase of ``frequent``.
 
@@ -165,6 +181,12 @@ def _extension(spark: SparkSession, bits: int, cells: np.ndarray):
     return extend
 
 
+def _totals(relation: DataFrame) -> DataFrame:
+    """All word occurrences of each language."""
+    counts = relation.select("lang", F.explode("counts").alias("n"))
+    return counts.groupBy("lang").agg(F.sum(F.col("n").cast("long")).alias("n"))
+
+
 def _frequent_words(relation: DataFrame, support: int) -> DataFrame:
     groups = relation.select("lang", F.inline(F.arrays_zip("words", "phrases", "counts")))
     counted = groups.groupBy("lang", "words", "phrases").agg(F.sum(F.col("counts").cast("long")).alias("a"))
@@ -228,19 +250,19 @@ def mine_phrases(
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("string").alias("text"))
     with text_batches(spark):
         relation = materialize(arrow_map(texts, _occurrences, WORDS), "occurrences")
-    totals = relation.select("lang", F.inline(F.arrays_zip("counts"))).groupBy("lang").agg(F.sum(F.col("counts").cast("long")).alias("n"))
-    totals = materialize(totals, "totals")
-    levels = [materialize(_frequent_words(relation, support), "frequent")]
+    with _few_rows(spark):
+        totals = materialize(_totals(relation), "totals")
+        levels = [materialize(_frequent_words(relation, support), "frequent")]
     for _ in range(2, longest + 1):
         rows = levels[-1].count()
         if not rows:
             break
         extend = _extension(spark, *_filter(levels[-1], rows, filter_bits))
-        with text_batches(spark, 1):
+        with _few_rows(spark):
             longer = materialize(arrow_map(relation.select("phrases", "steps", "codes"), extend, PHRASES), "occurrences")
-        remove(relation)
-        relation = longer
-        levels.append(materialize(_frequent_phrases(relation, levels[-1], support), "frequent"))
+            remove(relation)
+            relation = longer
+            levels.append(materialize(_frequent_phrases(relation, levels[-1], support), "frequent"))
     remove(relation)
 
     found = None
