@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -15,7 +16,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions.columns import apply_transformations, with_audit_columns
+from sedimenta.functions.columns import (
+    apply_transformations,
+    merge_schemas,
+    missing_columns,
+    with_audit_columns,
+)
 from sedimenta.operators import append, lineage, scd2
 from sedimenta.operators import ledger as led
 from sedimenta.operators.summaries import RESULT_SCHEMA
@@ -28,6 +34,8 @@ from sedimenta.spec import STRATEGIES, TableSpec
 _EFFECTIVE = "__effective"
 # Tag of an SCD2 version: the latest instant in the table, in microseconds.
 _INSTANT = "latest_instant"
+# Groups that a failing group of files is cut in, and groups probed at once.
+PROBE_FAN, PROBES = 16, 8
 # Files of one batch; their paths are the only thing the driver handles.
 MAX_FILES = 10_000
 
@@ -44,6 +52,8 @@ def store_for(spark: SparkSession, root: str, spec: TableSpec) -> TableStore:
         f"{root.rstrip('/')}/{spec.database_name}/{spec.table_name}",
         parts,
         cluster_writes=bool(spec.partition_columns),
+        bucket_keys=spec.primary_keys,
+        buckets=spec.key_buckets if spec.loading_strategy == "scd2" else 0,
     )
 
 
@@ -53,21 +63,46 @@ def _file_counts(rows: DataFrame) -> DataFrame:
 
 # -- strategies: (store, batch rows, spec, as_of, files, tags) -> version ------------
 # ``files`` are the paths of the batch, as a list. Rows that an earlier load left of one
-# of them are removed first. The store notes the paths of every load before it commits,
-# so files it has never seen need no search.
+# of them are removed first. The store notes the paths of every load, with the commit that
+# will hold them, before it commits; so only parts that may have their rows are searched.
 
 
-def _reloads(store: TableStore, files: Sequence[str]) -> bool:
-    """Whether the table holds rows of the files; notes them as about to be loaded."""
-    held = (
-        store.exists()
-        and store.may_hold(files)
-        and not lineage.already_loaded(store.read(), files).isEmpty()
-    )
+def _held(store: TableStore, files: Sequence[str]) -> list[dict]:
+    """The parts of a table that may have rows of the files, none if no row is found there."""
+    parts = store.parts_holding(files)
+    if parts and lineage.already_loaded(store.read_parts(parts), files).isEmpty():
+        return []
+    return parts
+
+
+def _reloads(store: TableStore, files: Sequence[str]) -> list[dict]:
+    """Like :func:`_held`; also notes the files as about to be loaded."""
+    held = _held(store, files)
     store.note_files(files)
     return held
 
 
+def undo_files(store: TableStore, spec: TableSpec, files: Sequence[str], tags=None) -> bool:
+    """Remove the rows of source files from a table; whether there were any.
+
+    Of an append table only the folders that hold them are read and written anew. An SCD2
+    table gives the ends of removed versions back to those before, over all of its history.
+    """
+    held = _held(store, files)
+    if not held:
+        return False
+    if spec.loading_strategy == "scd2":
+        store.create(scd2.scd2_undo_load(store.read(), list(files), spec), tags)
+    else:
+        store.replace_parts(append.undo_load(store.read_parts(held), list(files)), held, tags)
+    return True
+
+
+def _buckets(store: TableStore, rows: DataFrame) -> list[int]:
+    """Buckets that rows fall in, at most as many as the table has."""
+    return sorted(r[0] for r in rows.select(store.bucket()).distinct().collect())
+
+
 def _load_scd2(store, batch, spec, as_of, files, tags=None):
     """Merge a batch whose files carry ``__effective`` instants."""
     rewrite, reloads = True, _reloads(store, files)
@@ -79,8 +114,16 @@ def _load_scd2(store, batch, spec, as_of, files, tags=None):
         state = materialize(scd2.scd2_undo_load(store.read(), list(files), spec), "undo")
     else:
         state, rewrite = store.read(), False
+    split = not rewrite and store.splits_like(batch)
+    if split:
+        # Only buckets of the batch's keys can hold what it is compared with.
+        state = store.read_buckets(_buckets(store, batch))
     # Classified once and kept: what is closed and what is opened must agree.
     versions = materialize(scd2.scd2_versions(batch, state, spec, _EFFECTIVE), "versions")
+    if split and store.splits_like(versions):
+        closing = _buckets(store, versions.filter("__closes_current"))
+        delta = scd2.scd2_versions_delta(store.read_buckets(closing), versions, spec, _EFFECTIVE)
+        return store.replace_buckets(delta, spec.scd2_current_flag_column, "true", closing, tags)
     delta = scd2.scd2_versions_delta(state, versions, spec, _EFFECTIVE)
     if rewrite:
         whole = scd2.union_evolved(scd2.scd2_history(state, spec), delta)
@@ -90,9 +133,9 @@ def _load_scd2(store, batch, spec, as_of, files, tags=None):
 
 def _load_append(store, batch, spec, as_of, files, tags=None):
     rows = with_audit_columns(batch.drop(_EFFECTIVE), as_of)
-    if _reloads(store, files):
-        cleared = append.undo_load(store.read(), list(files))
-        return store.create(append.union_evolved(cleared, rows), tags)
+    if held := _reloads(store, files):
+        cleared = append.undo_load(store.read_parts(held), list(files))
+        return store.replace_parts(append.union_evolved(cleared, rows), held, tags)
     return store.append(rows, spec.schema_evolution, tags)
 
 
@@ -241,10 +284,11 @@ def _counts(spark, batch: DataFrame, files: Sequence[str]) -> dict:
 
 
 def _load_files(spark, spec, store, files: Sequence[str], as_of: str, offset: int) -> list[tuple]:
-    """Load files as one batch; if a file is at fault, halve it until only such are left.
+    """Load files as one batch; if it fails, find the files at fault and load the others.
 
     A failed attempt has committed nothing: the commit is the attempt's last step, and a
-    lost race for it ends the load. What fails before any row is read, for the first file
+    lost race for it ends the load. If no file fails alone, as when two of them do not go
+    together, the batch is halved until what fails is a single file. What fails before any row is read, for the first file
     alone as well, is the table's fault and fails all files at once.
     """
     started = time.monotonic()
@@ -269,6 +313,11 @@ def _load_files(spark, spec, store, files: Sequence[str], as_of: str, offset: in
             return [(files[0], spec.table_name, False, took, str(err), 0)]
         if _at_fault(spark, spec, store, files[:1], as_of, err):
             return [(f, spec.table_name, False, took / len(files), str(err), 0) for f in files]
+        bad = _bad_files(spark, spec, store, files, as_of)
+        if bad:
+            failed = [(f, spec.table_name, False, took / len(files), text, 0) for f, text in bad.items()]
+            good = [f for f in files if f not in bad]
+            return failed + (_load_files(spark, spec, store, good, as_of, offset) if good else [])
         half = len(files) // 2
         first = _load_files(spark, spec, store, files[:half], as_of, offset)
         offset = next_offset(store, spec, as_of, offset + half)
@@ -277,6 +326,40 @@ def _load_files(spark, spec, store, files: Sequence[str], as_of: str, offset: in
     return [(f, spec.table_name, True, each, None, counts.get(f, 0 if counts else None)) for f in files]
 
 
+def _bad_files(spark, spec, store, files: Sequence[str], as_of: str) -> dict[str, str]:
+    """Files whose rows cannot be read and transformed for this table, with the error.
+
+    Jobs that only read, a few at once: a group of files that gets through is done with,
+    one that fails is cut in ``PROBE_FAN`` smaller ones. A few bad files among many cost a
+    few jobs each, and nothing is written meanwhile.
+    """
+
+    def probe(group: Sequence[str]) -> str | None:
+        try:
+            batch = _read_batch(spark, spec, store, group, as_of, 0)
+            lacking = missing_columns(batch, (*spec.primary_keys, *spec.tracking_columns))
+            if lacking:
+                return f"{spec.full_name}: batch lacks columns {lacking}"
+            if store.exists():
+                merge_schemas(store.schema(), batch.drop(_EFFECTIVE).schema)
+            batch.write.format("noop").mode("overwrite").save()
+        except Exception as err:
+            return str(err)
+        return None
+
+    bad, groups = {}, [list(files)]
+    with ThreadPoolExecutor(PROBES) as pool:
+        while groups:
+            smaller = []
+            for group in groups:
+                size = -(-len(group) // PROBE_FAN)
+                smaller += [group[i : i + size] for i in range(0, len(group), size)]
+            found = list(zip(smaller, pool.map(probe, smaller)))
+            groups = [g for g, error in found if error is not None and len(g) > 1]
+            bad |= {g[0]: error for g, error in found if error is not None and len(g) == 1}
+    return bad
+
+
 def _at_fault(spark, spec, store, one, as_of, err) -> bool:
     """Whether the table's own settings fail: the plan over one file alone is no plan."""
     if not isinstance(err, AnalysisException):

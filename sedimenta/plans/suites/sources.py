@@ -215,6 +215,34 @@ def q_load_scd2(spark, sf_dir):
     return store.read().drop("_source_file", "_load_timestamp")
 
 
+@query("load_scd2_buckets", f"""{scd2.TWO_MERGES}
+SELECT * EXCLUDE (_source_file, _load_timestamp), TRUE AS carried FROM s2""")
+def q_load_buckets(spark, sf_dir):
+    """The loads of ``load_scd2_files`` into a table split by key hash, and then one of a
+    single key: it rewrites that key's bucket, and the others' folders stay."""
+    root = scratch_path(spark, "load")
+    spec = TableSpec(
+        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*/part-*", "key_buckets": 8}
+    )
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+    base = table(spark, sf_dir, "customer")
+    batches = [(base, scd2.T0), (scd2.first_batch(spark, sf_dir), scd2.T1), (scd2.second_batch(spark, sf_dir), scd2.T2)]
+    for n, (batch, at) in enumerate(batches):
+        # One file stands for one snapshot here, hence one task.
+        batch.coalesce(1).write.parquet(f"{root}/raw/{n}")
+        loading.load_table(spark, spec, store, book, at)
+    merged = store.read()
+    one = merged.filter("is_current AND c_custkey IS NOT NULL").orderBy("c_custkey").limit(1).select(*base.columns)
+    one.withColumn("c_name", F.lit("renamed")).coalesce(1).write.parquet(f"{root}/raw/3")
+    before = store.version().parts
+    loading.load_table(spark, spec, store, book, "2024-04-01 00:00:00")
+    after = store.version().parts
+    carried = [p["commit"] for p in after[:-1]] == [p["commit"] for p in before] and all(
+        len(set(p["gone"]["buckets"]) - set((q.get("gone") or {"buckets": []})["buckets"])) <= 1 for p, q in zip(after, before)
+    )
+    return merged.drop("_source_file", "_load_timestamp").withColumn("carried", F.lit(carried))
+
+
 @query("load_scd2_backlog", f"""{scd2.TWO_MERGES}
 SELECT c_custkey, c_name, c_acctbal, c_mktsegment, is_current, end_date IS NULL AS open FROM s2""")
 def q_load_backlog(spark, sf_dir):

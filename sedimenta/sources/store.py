@@ -14,8 +14,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +23,12 @@ from sedimenta.scratch import file_system, local_frame
 from sedimenta.sources.files import list_files
 
 _COMMIT = "_commit"
+_BUCKET = "_bucket"
 # Versions from one log entry that names all parts to the next.
 SNAPSHOT_EVERY = 16
+# Folders of the file index after which it is compacted; commits one part may name.
+INDEX_FOLDERS = 64
+HELD_COMMITS = 1000
 
 
 class CommitConflict(RuntimeError):
@@ -34,8 +37,11 @@ class CommitConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Version:
-    """One log entry. ``parts`` hold a commit folder, the schema of its files, and
-    for a folder of which one partition only still counts that partition."""
+    """One log entry. ``parts`` hold a commit folder, the schema of its files, for a folder
+    of which one partition only still counts that partition, and for one that lost buckets
+    of a partition which (``gone``). Of parts split by key hash ``buckets`` says how.
+    ``holds`` names the commits whose rows a part has, None if it may have any; parts
+    without it were written past the file index and are always searched."""
 
     number: int = 0
     parts: tuple[dict, ...] = ()
@@ -43,6 +49,14 @@ class Version:
     tags: dict = field(default_factory=dict)
 
 
+def _without(part: dict, gone: dict | None) -> dict:
+    """A part of whose rows those in ``gone`` no longer count."""
+    if not gone or part["only"] is not None and part["only"].get(gone["column"], gone["value"]) != gone["value"]:
+        return part
+    before = part.get("gone") or {**gone, "buckets": []}
+    return {**part, "gone": {**gone, "buckets": sorted({*before["buckets"], *gone["buckets"]})}}
+
+
 class TableStore:
     """A versioned table under ``root``.
 
@@ -50,6 +64,10 @@ class TableStore:
     so a write makes few files per partition instead of one per task; Spark splits
     a partition that is too large for one task. Turn it off for a partition column
     of a few values, such as a flag.
+
+    With ``buckets`` the files of each partition are split further by a hash of
+    ``bucket_keys``, in a column that readers do not see, so that
+    :meth:`replace_buckets` can rewrite some of them.
     """
 
     def __init__(
@@ -58,12 +76,17 @@ class TableStore:
         root: str,
         partition_columns: Sequence[str] = (),
         cluster_writes: bool = True,
+        bucket_keys: Sequence[str] = (),
+        buckets: int = 0,
     ):
+        self.bucket_keys, self.buckets = tuple(bucket_keys), buckets
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_columns = tuple(partition_columns)
         self.cluster_writes = cluster_writes
         self._latest: Version | None = None
+        self._index: TableStore | None = None
+        self._noted: str | None = None
 
     # -- log ------------------------------------------------------------------
 
@@ -103,6 +126,7 @@ class TableStore:
                 parts = []
             elif step["keep"]:
                 parts = [{**p, "only": step["keep"]} for p in parts]
+            parts = [_without(p, step.get("gone")) for p in parts]
             parts = parts + [{**p, "schema": schemas[p["schema"]]} for p in step["add"]]
         last = max(steps, key=lambda e: e["number"])
         return Version(wanted, tuple(parts), tuple(last["partition_columns"]), last["tags"])
@@ -110,18 +134,18 @@ class TableStore:
     def exists(self) -> bool:
         return self.version() is not None
 
-    def _commit(self, base: Version | None, parts, tags=None) -> Version:
+    def _commit(self, base: Version | None, parts, tags=None, gone: dict | None = None) -> Version:
         new = Version(
             (base.number if base else 0) + 1,
             tuple(parts),
             self.partition_columns,
             {**(base.tags if base else {}), **(tags or {})},
         )
-        self._publish(new, base)
+        self._publish(new, base, gone)
         self._latest = new
         return new
 
-    def _publish(self, new: Version, base: Version | None) -> None:
+    def _publish(self, new: Version, base: Version | None, gone: dict | None = None) -> None:
         """Write a version's entry under a name of its own and rename it into place.
 
         The rename fails if the version exists, so of two writers one gets through, and
@@ -134,7 +158,7 @@ class TableStore:
         add = new.parts
         if base and new.number % SNAPSHOT_EVERY:
             for kept in [{}, *(p["only"] for p in new.parts[:1] if p["only"])]:
-                carried = tuple({**p, "only": kept} if kept else p for p in old)
+                carried = tuple({**p, "only": kept} if kept else _without(p, gone) for p in old)
                 if old and new.parts[: len(old)] == carried:
                     keep, add = kept, new.parts[len(old) :]
                     break
@@ -142,6 +166,7 @@ class TableStore:
         entry = {
             "number": new.number,
             "keep": keep,
+            "gone": None if keep is None else gone,
             "add": [{**p, "schema": f"{new.number}.{texts.index(p['schema'])}"} for p in add],
             "schemas": {f"{new.number}.{i}": text for i, text in enumerate(texts)},
             "partition_columns": new.partition_columns,
@@ -169,15 +194,41 @@ class TableStore:
             files.delete(draft, False)
             raise CommitConflict(f"{self.root}: version {new.number} was not published") from err
 
-    def _write(self, df: DataFrame) -> dict:
-        name = uuid.uuid4().hex
-        if self.partition_columns and self.cluster_writes:
-            df = df.hint("rebalance", *self.partition_columns)
+    def _bucket_layout(self, df: DataFrame) -> dict | None:
+        """How rows of ``df`` would be split: equal layouts put equal keys in one bucket."""
+        if not self.buckets:
+            return None
+        return {"count": self.buckets, "keys": [[k, df.schema[k].dataType.simpleString()] for k in self.bucket_keys]}
+
+    def bucket(self) -> Column:
+        """The bucket of a row."""
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.bucket_keys]), F.lit(self.buckets)).cast("int")
+
+    def splits_like(self, df: DataFrame) -> bool:
+        """Whether every part with current rows has the buckets that ``df`` would have."""
+        version, layout = self.version(), self._bucket_layout(df)
+        return bool(layout and version) and all(p.get("buckets") == layout for p in version.parts if p["only"] is None)
+
+    def _write(self, df: DataFrame, holds: Sequence[str] | None = None) -> dict:
+        """Write rows as a folder. ``holds`` names earlier commits they also come from; None
+        says that they may come from any that the index knows."""
+        noted, columns = self._noted, self.partition_columns
+        name, self._noted = noted or uuid.uuid4().hex, None
+        part = {"commit": name, "schema": df.schema.json(), "only": None}
+        if holds is not None and (noted or holds) and len(holds) < HELD_COMMITS:
+            part["holds"] = sorted({name, *holds})
+        elif noted or holds:
+            part["holds"] = None
+        if self.buckets:
+            part["buckets"] = self._bucket_layout(df)
+            df, columns = df.withColumn(_BUCKET, self.bucket()), (*columns, _BUCKET)
+        if columns and (self.cluster_writes or self.buckets):
+            df = df.hint("rebalance", *columns)
         writer = df.write
-        if self.partition_columns:
-            writer = writer.partitionBy(*self.partition_columns)
+        if columns:
+            writer = writer.partitionBy(*columns)
         writer.parquet(f"{self.root}/data/{_COMMIT}={name}")
-        return {"commit": name, "schema": df.schema.json(), "only": None}
+        return part
 
     # -- writes -----------------------------------------------------------------
 
@@ -192,14 +243,27 @@ class TableStore:
         files stay as they are and are aligned when read."""
         base = self.version()
         if base is None:
-            return self.create(df, tags)
+            return self._commit(None, [self._write(df, ())], tags)
         known = self.schema(base)
         merged = merge_schemas(known, df.schema)
         if not evolve and set(df.columns) != set(known.names):
             raise ValueError("batch columns differ from the table's and evolution is off")
         if not evolve and [f.dataType for f in merged] != [f.dataType for f in known]:
             raise ValueError("batch types are wider than the table's and evolution is off")
-        return self._commit(base, [*base.parts, self._write(df)], tags)
+        return self._commit(base, [*base.parts, self._write(df, ())], tags)
+
+    def replace_parts(self, df: DataFrame, parts: Sequence[dict], tags=None) -> Version:
+        """Replace some parts of the current version by ``df``; the others stay as they are."""
+        base = self.version()
+        kept, holds = [p for p in base.parts if p not in parts], None
+        if all(p.get("holds") for p in parts):
+            holds = {c for p in parts for c in p["holds"]}
+        new = self._write(df, holds)
+        if any("holds" not in p for p in parts):
+            new.pop("holds", None)
+        elif holds is None:
+            new["holds"] = None
+        return self._commit(base, [*kept, new], tags)
 
     def replace_except(self, df: DataFrame, kept: dict[str, str], tags=None) -> Version:
         """Replace everything by ``df`` except the partition ``kept``.
@@ -213,6 +277,15 @@ class TableStore:
         carried = [{**p, "only": kept} for p in base.parts]
         return self._commit(base, [*carried, self._write(df)], tags)
 
+    def replace_buckets(self, df: DataFrame, column: str, value: str, buckets: Sequence[int], tags=None) -> Version:
+        """Replace the rows of the given buckets in partition ``column`` = ``value`` by ``df``,
+        which may hold rows of any bucket. All other rows are carried over by reference."""
+        base = self.version()
+        if not self.splits_like(df):
+            raise ValueError("the table is not split by key hash as these rows would be")
+        gone = {"column": column, "value": value, "buckets": sorted(buckets)} if buckets else None
+        return self._commit(base, [*(_without(p, gone) for p in base.parts), self._write(df)], tags, gone)
+
     def tag(self, tags: dict) -> Version:
         """Record key/values without changing rows."""
         base = self.version()
@@ -220,21 +293,39 @@ class TableStore:
 
     # -- source files -------------------------------------------------------------
 
+    def file_index(self) -> TableStore:
+        """Which commit the rows of a source file were first written in: ``_source_file``,
+        ``held_in``. Files are noted before their rows are committed, so the index may name
+        commits that never came to be, but misses none."""
+        if self._index is None:
+            self._index = TableStore(self.spark, f"{self.root}/file_index")
+        return self._index
+
     def note_files(self, files: Sequence[str]) -> None:
-        """Note paths whose rows are about to be written, before they are."""
-        noted = local_frame(self.spark, {"_source_file": list(files)})
-        noted.coalesce(1).write.mode("append").parquet(f"{self.root}/files")
+        """Note paths whose rows the next write holds, before it is made."""
+        self._noted = uuid.uuid4().hex
+        rows = {"_source_file": list(files), "held_in": [self._noted] * len(files)}
+        index = self.file_index()
+        if index.exists() and len(index.version().parts) >= INDEX_FOLDERS:
+            index.compact()
+        index.append(local_frame(self.spark, rows).coalesce(1))
+
+    def parts_holding(self, files: Sequence[str]) -> list[dict]:
+        """Parts that may have rows of the files: those whose commits the index names for
+        them, and those of which it is not known."""
+        version, index = self.version(), self.file_index()
+        if version is None:
+            return []
+        if not index.exists():
+            return list(version.parts)
+        wanted = local_frame(self.spark, {"_source_file": list(files)})
+        noted = index.read().join(F.broadcast(wanted), "_source_file", "left_semi").select("held_in").distinct()
+        names = {r["held_in"] for r in noted.collect()}
+        return [p for p in version.parts if "holds" not in p or names and (p["holds"] is None or names.intersection(p["holds"]))]
 
     def may_hold(self, files: Sequence[str]) -> bool:
         """False only if none of the files was ever noted, so none can have rows here."""
-        try:
-            noted = self.spark.read.schema("_source_file string").parquet(f"{self.root}/files")
-        except AnalysisException as err:
-            if err.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return True
-        wanted = local_frame(self.spark, {"_source_file": list(files)})
-        return not noted.join(F.broadcast(wanted), "_source_file", "left_semi").isEmpty()
+        return bool(self.parts_holding(files))
 
     # -- reads ------------------------------------------------------------------
 
@@ -249,26 +340,44 @@ class TableStore:
             out = merge_schemas(out, T.StructType.fromJson(json.loads(text)))
         return out
 
-    def _read_parts(self, parts: Sequence[dict]) -> DataFrame:
+    def _read_parts(self, parts: Sequence[dict], buckets: Sequence[int] | None = None) -> DataFrame:
         """One scan per distinct schema and filter. Files are read with the schema
         they were written with, so no footer is opened for inference."""
-        groups: dict[tuple, list[str]] = {}
+        groups: dict[tuple, list[dict]] = {}
         for p in parts:
-            key = (p["schema"], json.dumps(p["only"]))
-            groups.setdefault(key, []).append(p["commit"])
+            key = (p["schema"], json.dumps(p["only"]), bool(p.get("buckets")))
+            groups.setdefault(key, []).append(p)
         frames = []
-        for (schema, only), commits in groups.items():
+        for (schema, only, split), own in groups.items():
             kind = T.StructType.fromJson(json.loads(schema))
+            hidden = kind.add(_COMMIT, T.StringType())
+            if split:
+                hidden = hidden.add(_BUCKET, T.IntegerType())
             df = (
-                self.spark.read.schema(kind.add(_COMMIT, T.StringType()))
+                self.spark.read.schema(hidden)
                 .option("basePath", f"{self.root}/data")
-                .parquet(*[f"{self.root}/data/{_COMMIT}={c}" for c in commits])
+                .parquet(*[f"{self.root}/data/{_COMMIT}={p['commit']}" for p in own])
             )
             for column, value in (json.loads(only) or {}).items():
                 df = df.filter(F.col(f"`{column}`").cast("string") == value)
-            frames.append(df.select(*[n for n in kind.names if n != _COMMIT]))
+            if split and buckets is not None:
+                df = df.filter(F.col(_BUCKET).isin(list(buckets)))
+            for p in own:
+                if p.get("gone"):
+                    lost = F.col(f"`{p['gone']['column']}`").cast("string") == p["gone"]["value"]
+                    lost = lost & (F.col(_COMMIT) == p["commit"]) & F.col(_BUCKET).isin(p["gone"]["buckets"])
+                    df = df.filter(~F.coalesce(lost, F.lit(False)))
+            frames.append(df.select(*[n for n in kind.names if n not in (_COMMIT, _BUCKET)]))
         return frames[0] if len(frames) == 1 else union_evolved(*frames)
 
+    def read_parts(self, parts: Sequence[dict]) -> DataFrame:
+        """The rows of some parts of a version."""
+        return self._read_parts(parts)
+
+    def read_buckets(self, buckets: Sequence[int]) -> DataFrame:
+        """The rows of some buckets, and of parts that are not split."""
+        return self._read_parts(self.version().parts, buckets)
+
     def read(self, version: int | None = None) -> DataFrame:
         """The table at its latest or a given version."""
         found = self.version(version)
@@ -293,10 +402,14 @@ class TableStore:
 
     def part_sizes(self) -> DataFrame:
         """Live files and bytes per commit folder, from a listing."""
-        live = F.lit(False)
+        live, dead = F.lit(False), F.lit(False)
         groups: dict[str, list[str]] = {}
         for p in self.version().parts:
             groups.setdefault(json.dumps(p["only"]), []).append(p["commit"])
+            if p.get("gone"):
+                place = F.concat(F.lit(f"/{_BUCKET}="), F.regexp_extract("path", f"/{_BUCKET}=([^/]*)/", 1))
+                lost = F.contains("path", F.lit(f"/{p['gone']['column']}={p['gone']['value']}/")) & (F.col("commit") == p["commit"])
+                dead = dead | (lost & place.isin([f"/{_BUCKET}={b}" for b in p["gone"]["buckets"]]))
         for only, commits in groups.items():
             hit = F.col("commit").isin(commits)
             for column, value in (json.loads(only) or {}).items():
@@ -305,7 +418,7 @@ class TableStore:
         return (
             list_files(self.spark, f"{self.root}/data/**/*.parquet")
             .withColumn("commit", F.regexp_extract("path", f"/{_COMMIT}=([^/]*)/", 1))
-            .filter(live)
+            .filter(live & ~dead)
             .groupBy("commit")
             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
         )
@@ -327,13 +440,13 @@ class TableStore:
         if files <= wanted:
             return base
         names = {r["commit"] for r in small}
-        df = self._read_parts([p for p in base.parts if p["commit"] in names])
+        merged = [p for p in base.parts if p["commit"] in names]
+        df = self._read_parts(merged)
         if not self.partition_columns:
             df = df.repartition(int(wanted))
         elif not self.cluster_writes:
             df = df.hint("rebalance", *self.partition_columns)
-        kept = [p for p in base.parts if p["commit"] not in names]
-        return self._commit(base, [*kept, self._write(df)])
+        return self.replace_parts(df, merged)
 
     def statistics(self) -> DataFrame:
         """One row: version, rows, live files, bytes and location."""

@@ -28,7 +28,9 @@ class TableSpec:
     ``duplicates="keep"`` skips that step for sources known to have unique keys;
     ``null_keys="reject"`` drops rows whose key has a NULL part instead of inserting
     them. A ``source_schema`` spares text files the pass that infers types; CSV files
-    must then have their columns in its order.
+    must then have their columns in its order. ``key_buckets`` splits an SCD2 table by a
+    hash of its keys, so that a merge rewrites only buckets that hold a version it closes;
+    choose them so that a bucket's current rows are some hundred MB.
     """
 
     table_name: str
@@ -49,6 +51,7 @@ class TableSpec:
     null_keys: str = "insert"
     reader_options: Mapping[str, str] = field(default_factory=dict)
     source_schema: Any = None
+    key_buckets: int = 0
 
     def __post_init__(self):
         for name in ("primary_keys", "tracking_columns", "partition_columns", "order_by"):
@@ -71,6 +74,8 @@ class TableSpec:
             raise ValueError("null_keys must be 'insert' or 'reject'")
         if strategy in ("scd2", "merge") and not self.primary_keys:
             raise ValueError(f"{strategy} strategy requires primary_keys")
+        if self.key_buckets < 0:
+            raise ValueError("key_buckets must not be negative")
         if strategy == "scd2":
             if not self.tracking_columns:
                 raise ValueError("scd2 strategy requires tracking_columns")

@@ -10,6 +10,7 @@ from sedimenta.operators import ledger as led
 from sedimenta.operators import scd2
 from sedimenta.operators.summaries import load_summary, run_summary
 from sedimenta.plans import loading
+from sedimenta.sources.events import EventLedger
 from sedimenta.sources.store import TableStore
 from sedimenta.streaming import loaders
 from tests.conftest import rows
@@ -223,10 +224,10 @@ def test_orphans_are_repaired_first(spark, tmp_path):
     put(raw, "1.csv", "k,v\n1,a\n", 1000)
     spec = spec_for(raw)
     loading.load_all(spark, [spec], root, T1)
-    book = TableStore(spark, f"{root}/metadata/file_ledger")
+    book = EventLedger(spark, f"{root}/metadata/file_ledger")
     book.create(book.read().withColumn("status", F.lit(led.PROCESSING)))
     loading.load_all(spark, [spec], root, T2)
-    row = TableStore(spark, book.root).read().first()
+    row = EventLedger(spark, book.root).read().first()
     assert (row["status"], row["error_message"]) == ("completed", led.ORPHAN_MESSAGE)
     assert loading.store_for(spark, root, spec).read().count() == 1
 
@@ -289,3 +290,134 @@ def test_merge_plan_over_the_store(spark, tmp_path):
     small = plan(scd2.scd2_merge(state, batch, spec, T2, "f", small_batch=True))
     assert "SortMergeJoin" not in small and small.count("BroadcastHashJoin") == 1
     assert "Exchange hashpartitioning" not in small.split("BroadcastExchange")[0]
+
+
+def test_a_merge_rewrites_only_buckets_it_closes_rows_of(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    keyed = "".join(f"{k},a\n" for k in range(40)) + ",none\n"
+    files = [
+        ("0.csv", f"k,v\n{keyed}"),
+        ("1.csv", "k,v\n3,b\n4,a\n"),  # one key changes
+        ("2.csv", "k,v\n100,new\n,none\n"),  # none does
+        ("3.csv", "k,v,w\n3,c,1\n7,b,1\n100,new,2\n"),  # a column appears
+        ("4.csv", "k,v\n" + "".join(f"{k},z\n" for k in range(40))),  # all do
+        ("5.csv", "k,v\nx1,q\n3,z\n"),  # the key becomes text
+    ]
+    plain, split = spec_for(raw, **SCD2), spec_for(raw, **SCD2, key_buckets=16)
+    stores = [loading.store_for(spark, f"{root}/{n}", s) for n, s in enumerate((plain, split))]
+    touched = []
+    for n, (name, text) in enumerate(files):
+        put(raw, name, text, 1000 + n)
+        before = [p["commit"] for p in stores[1].version().parts] if stores[1].exists() else []
+        lost = {p["commit"]: (p.get("gone") or {"buckets": []})["buckets"] for p in stores[1].version().parts} if before else {}
+        for k, (spec, store) in enumerate(zip((plain, split), stores)):
+            loading.load_table(spark, spec, store, EventLedger(spark, f"{root}/ledger{k}"), f"2024-0{n + 1}-01 00:00:00")
+        same = [s.read().drop("_load_timestamp") for s in stores]
+        assert rows(same[0], *sorted(same[0].columns)) == rows(same[1], *sorted(same[0].columns))
+        again = TableStore(spark, stores[1].root, ("is_current",), False, ("k",), 16)
+        assert again.version() == stores[1].version() and again.read().count() == same[0].count()
+        parts = stores[1].version().parts
+        carried = [p for p in parts if p["commit"] in before]
+        touched.append(max([len(set((p.get("gone") or {"buckets": []})["buckets"]) - set(lost[p["commit"]])) for p in carried], default=None))
+    assert touched[:3] == [None, 1, 0] and 1 <= touched[3] <= 2 and touched[4] <= 16
+    assert [p["commit"] for p in parts][: len(before)] == before
+    sizes = stores[1].part_sizes().agg(F.sum("files")).first()[0]
+    stores[1].compact(1 << 30)
+    assert stores[1].part_sizes().agg(F.sum("files")).first()[0] <= sizes
+    assert rows(stores[1].read().drop("_load_timestamp"), *sorted(same[0].columns)) == rows(same[0], *sorted(same[0].columns))
+
+
+def test_bucketed_tables_undo_and_reload(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    spec = spec_for(raw, **SCD2, key_buckets=4)
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+    for n, text in enumerate(("k,v\n1,a\n2,a\n", "k,v\n1,b\n")):
+        put(raw, f"{n}.csv", text, 1000 + n)
+        loading.load_table(spark, spec, store, book, T1 if n == 0 else T2)
+    before = rows(store.read().select("k", "v", "is_current"))
+    book.create(led.purge_ledger(book.read(), "2030-01-01 00:00:00", 0))
+    loading.load_table(spark, spec, store, book, "2024-05-01 00:00:00")
+    assert rows(store.read().select("k", "v", "is_current")) == before
+    with pytest.raises(ValueError):
+        store.replace_buckets(store.read().withColumn("k", F.col("k").cast("double")), "is_current", "true", [0])
+
+
+def test_undo_and_reload_touch_only_folders_of_the_file(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    spec = spec_for(raw)
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+    paths = []
+    for n in range(4):
+        paths.append(put(raw, f"{n}.csv", f"k,v\n{n},a\n", 1000 + n))
+        loading.load_table(spark, spec, store, book, f"2024-0{n + 1}-01 00:00:00")
+    parts = store.version().parts
+    assert [len(p["holds"]) for p in parts] == [1] * 4
+    files = [f"file:{p}" if r[0].startswith("file:") else p for p, r in zip(paths, store.read().select("_source_file").collect())]
+    files = sorted(r[0] for r in store.read().select("_source_file").distinct().collect())
+    assert [p["commit"] for p in store.parts_holding(files[1:2])] == [parts[1]["commit"]]
+    assert store.parts_holding(["/never/seen"]) == []
+
+    assert loading.undo_files(store, spec, files[1:2]) and not loading.undo_files(store, spec, files[1:2])
+    assert rows(store.read(), "k") == [(0,), (2,), (3,)]
+    kept = [p["commit"] for p in store.version().parts]
+    assert kept[:3] == [p["commit"] for n, p in enumerate(parts) if n != 1] and len(kept) == 4
+
+    # another instance, with the ledger purged: only what holds the files is written anew
+    store = loading.store_for(spark, root, spec)
+    book.create(led.purge_ledger(book.read(), "2030-01-01 00:00:00", 0).filter("file_path LIKE '%/0.csv' OR file_path LIKE '%/3.csv'"))
+    put(raw, "0.csv", "k,v\n0,z\n", 5000)
+    loading.load_table(spark, spec, store, book, "2024-06-01 00:00:00")
+    assert sorted((r.k, r.v) for r in store.read().collect()) == [(0, "z"), (1, "a"), (2, "a"), (3, "a")]
+    # folders merged by upkeep still know whose rows they hold
+    store.compact(1 << 30)
+    assert len(store.version().parts) == 1 and store.parts_holding(files[2:3]) and not store.parts_holding(["/never/seen"])
+    assert loading.undo_files(store, spec, files[2:3]) and rows(store.read(), "k") == [(0,), (1,), (3,)]
+
+
+def test_files_written_past_the_index_are_found(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    spec, store = spec_for(raw), loading.store_for(spark, root := str(tmp_path / "root"), spec_for(raw))
+    store.create(spark.createDataFrame([(1, "old")], "k int, _source_file string"))
+    store.note_files(["/new"])
+    store.append(spark.createDataFrame([(2, "/new")], "k int, _source_file string"))
+    assert len(store.parts_holding(["old"])) == 1 and len(store.parts_holding(["/new"])) == 2
+    assert loading.undo_files(store, spec, ["old"]) and rows(store.read(), "k") == [(2,)]
+
+
+def test_the_file_index_is_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sedimenta.sources.store.INDEX_FOLDERS", 4)
+    store = TableStore(spark, str(tmp_path / "t"))
+    for n in range(7):
+        store.note_files([f"/f{n}"])
+        store.append(spark.createDataFrame([(n, f"/f{n}")], "k int, _source_file string"))
+    assert len(store.file_index().version().parts) <= 5
+    assert all(len(store.parts_holding([f"/f{n}"])) == 1 for n in range(7))
+
+
+@pytest.mark.parametrize("bad", [1, 64, 20])
+def test_bad_files_are_found_without_loading_the_others_in_turn(spark, tmp_path, monkeypatch, bad):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    for n in range(64):
+        put(raw, f"{n:02}.csv", f"k,v\n{n},{'bad' if n * bad % 64 < bad else 'x'}\n", 1000 + n)
+    spec = spec_for(raw, transformations={"filter": "assert_true(v <> 'bad') IS NULL"})
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+    attempts = []
+    commit = loading.commit_batch
+    monkeypatch.setattr(loading, "commit_batch", lambda *a, **b: (attempts.append(1), commit(*a, **b))[1])
+    result = loading.load_table(spark, spec, store, book, T1).collect()
+    assert len(attempts) <= 3
+    failed = [r.file_path for r in result if not r.success]
+    assert len(result) == 64 and len(failed) == sum(n * bad % 64 < bad for n in range(64))
+    assert (not store.exists() and bad == 64) or store.read().count() == 64 - len(failed)
+
+
+def test_files_that_do_not_go_together_are_still_parted(spark, tmp_path):
+    """Each can be loaded alone, but not after the other."""
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    os.makedirs(raw)
+    pq.write_table(pa.table({"k": pa.array([1]), "v": pa.array(["x"])}), f"{raw}/a.parquet")
+    pq.write_table(pa.table({"k": pa.array([True]), "v": pa.array(["x"])}), f"{raw}/b.parquet")
+    spec = spec_for(raw, file_format="parquet", source_path_pattern=f"{raw}/*.parquet")
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+    result = loading.load_table(spark, spec, store, book, T1)
+    assert sorted(r.success for r in result.collect()) == [False, True] and store.read().count() == 1
