@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.shared import arrow_map, mix, segments, text_batches, text_buffers, word_blocks
+from sedimenta.llm.shared import arrow_map, mix, release, text_batches, text_buffers, word_blocks
 from sedimenta.scratch import materialize, remove
 
 #: Words of a phrase at most, occurrences that make it a candidate, phrases listed per language.
@@ -38,6 +38,8 @@ _LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LEVEL = "phrases array<long>, counts array<int>, steps array<int>, codes array<int>"
 WORDS = f"lang string, words array<string>, {_LEVEL}"
 PHRASES = f"lefts array<long>, rights array<long>, {_LEVEL}"
+#: Occurrences that a task counts at a time.
+COUNTED = 1 << 21
 
 
 def _lists(kind: pa.DataType, rows: list[np.ndarray]) -> pa.Array:
@@ -148,33 +150,68 @@ def _filter(frequent: DataFrame, rows: int, most: int) -> tuple[int, np.ndarray]
     return bits, cells
 
 
-def _extension(spark: SparkSession, bits: int, cells: np.ndarray):
-    """From the relation of one length to that of the next: semi-join with the frequent
-    groups, then a merge of the sorted rest with itself at the following place."""
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Each row of a relation merged with itself at the following place: the longer
+    phrases, their places, and the phrases that begin and end them."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            phrases, steps, codes = (batch.column(c)[i].values.to_numpy() for c in ("phrases", "steps", "codes"))
+            places = np.cumsum(steps.astype(np.int64))
+            at = np.flatnonzero(places[1:] == places[:-1] + 1)
+            left, right = codes[at], codes[at + 1]
+            ids = phrases.view(np.uint64)
+            yield mix((ids * _LEFT)[left] ^ (ids * _RIGHT)[right]), places[at], phrases[left], phrases[right]
+
+
+def _held(shared, bits: int, phrases: np.ndarray) -> np.ndarray:
+    slot = phrases.view(np.int64) & np.int64((1 << bits) - 1)
+    return (shared.value[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of the phrases one longer than those of a relation."""
+    held: list[np.ndarray] = []
+
+    def counts() -> pa.RecordBatch:
+        distinct, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n, pa.int64())], ["phrase", "n"])
+
+    for phrases, *_ in _merged(batches):
+        held.append(phrases)
+        if sum(map(len, held)) >= COUNTED:
+            yield counts()
+            held = []
+    if held:
+        yield counts()
+
+
+def _narrowed(spark: SparkSession, bits: int, cells: np.ndarray, schema: list[str]):
+    """A relation of words without those that are not frequent."""
     shared = spark.sparkContext.broadcast(cells)
 
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 phrases, steps, codes = (batch.column(c)[i].values.to_numpy() for c in ("phrases", "steps", "codes"))
-                slot = phrases & np.int64((1 << bits) - 1)
-                frequent = (held[slot >> 6] >> (slot & 63)) & 1 == 1
-                places, kept = np.cumsum(steps.astype(np.int64)), frequent[codes]
-                places, codes = places[kept], codes[kept]
-                next_to = np.flatnonzero(places[1:] == places[:-1] + 1)
-                if not len(next_to):
-                    continue
-                ids = phrases.view(np.uint64)
-                left, right = codes[next_to], codes[next_to + 1]
-                pair = (ids * _LEFT)[left] ^ (ids * _RIGHT)[right]
-                first, columns = _relation(mix(pair), places[next_to])
+                kept = _held(shared, bits, phrases)[codes]
+                places, words = np.cumsum(steps.astype(np.int64))[kept], phrases[codes[kept]]
+                _, columns = _relation(words.view(np.uint64), places)
+                yield pa.RecordBatch.from_arrays(_level_arrays(columns), schema)
+
+    return narrow
+
+
+def _extension(spark: SparkSession, bits: int, cells: np.ndarray):
+    """The relation of the next length, semi-joined with its frequent groups."""
+    shared = spark.sparkContext.broadcast(cells)
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for phrases, places, left, right in _merged(batches):
+            kept = _held(shared, bits, phrases)
+            if kept.any():
+                first, columns = _relation(phrases[kept], places[kept])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        _lists(pa.int64(), [phrases[left[first]]]),
-                        _lists(pa.int64(), [phrases[right[first]]]),
-                        *_level_arrays(columns),
-                    ],
+                    [_lists(pa.int64(), [left[kept][first]]), _lists(pa.int64(), [right[kept][first]]), *_level_arrays(columns)],
                     names=["lefts", "rights", "phrases", "counts", "steps", "codes"],
                 )
 
@@ -197,16 +234,14 @@ def _frequent_words(relation: DataFrame, support: int) -> DataFrame:
     )
 
 
-def _frequent_phrases(relation: DataFrame, shorter: DataFrame, support: int) -> DataFrame:
+def _frequent_phrases(counted: DataFrame, relation: DataFrame, shorter: DataFrame) -> DataFrame:
     """Phrases with their text and the counts of their beginnings and ends by length."""
-    groups = relation.select(F.inline(F.arrays_zip("phrases", "lefts", "rights", "counts")))
-    counted = groups.groupBy(F.col("phrases").alias("phrase")).agg(
-        F.sum(F.col("counts").cast("long")).alias("a"), F.min("lefts").alias("left"), F.min("rights").alias("right")
-    )
+    groups = relation.select(F.inline(F.arrays_zip("phrases", "lefts", "rights")))
+    parts = groups.groupBy(F.col("phrases").alias("phrase")).agg(F.min("lefts").alias("left"), F.min("rights").alias("right"))
     left = shorter.select("lang", F.col("phrase").alias("left"), F.col("phrase_text").alias("before"), F.col("starts").alias("before_starts"))
     right = shorter.select(F.col("phrase").alias("right"), F.col("phrase_text").alias("after"), F.col("ends").alias("after_ends"))
     last = F.substring_index("after", " ", -1)
-    return counted.where(F.col("a") >= support).join(left, "left").join(right, "right").select(
+    return counted.join(parts, "phrase").join(left, "left").join(right, "right").select(
         "lang", F.concat_ws(" ", "before", last).alias("phrase_text"), "phrase", "a", "left", "right",
         F.concat("before_starts", F.array("a")).alias("starts"), F.concat("after_ends", F.array("a")).alias("ends"),
     )
@@ -223,6 +258,14 @@ def _weakest_cut(length: int) -> Column:
     return F.array_min(F.array(*cuts))
 
 
+def _next(relation: DataFrame, longer: DataFrame) -> DataFrame:
+    """``longer``, written, in place of the relation it is made of."""
+    written = materialize(longer, "occurrences")
+    remove(relation)
+    release(relation.sparkSession)
+    return written
+
+
 def mine_phrases(
     docs: DataFrame,
     support: int = SUPPORT,
@@ -235,12 +278,11 @@ def mine_phrases(
 
     The occurrences of all phrases of one length are a relation, sorted by place: a row per
     chunk of texts and language holds the places of its occurrences and, once per distinct
-    phrase, what the phrase is and how often it stands there. A length is counted from the
-    latter alone; occurrences of groups that are frequent are merged with those at the
-    following place, which gives the relation of the next length. So each level is one map
-    over rows and one count, only counts are exchanged, and a phrase that fills the corpus
-    costs one row per chunk. Frequent groups reach the tasks as a filter of bounded size:
-    what it lets through wrongly is counted and falls short of ``support`` like anything else.
+    phrase, what it is. Merged with itself at the following place a relation gives the
+    phrases one longer: they are counted first, then the merge is repeated, semi-joined with
+    the frequent groups and kept as the next relation. Only counts are exchanged, and a
+    phrase that fills the corpus costs a row per task. Frequent groups reach the tasks as a
+    filter of bounded size; what it lets through wrongly falls short of ``support`` later.
 
     Words and phrases are told apart by 64-bit hashes within a language. Null texts are
     empty, null languages ``und``; texts without words, and tables without rows, give no
@@ -253,16 +295,21 @@ def mine_phrases(
     with _few_rows(spark):
         totals = materialize(_totals(relation), "totals")
         levels = [materialize(_frequent_words(relation, support), "frequent")]
-    for _ in range(2, longest + 1):
-        rows = levels[-1].count()
-        if not rows:
-            break
-        extend = _extension(spark, *_filter(levels[-1], rows, filter_bits))
-        with _few_rows(spark):
-            longer = materialize(arrow_map(relation.select("phrases", "steps", "codes"), extend, PHRASES), "occurrences")
-            remove(relation)
-            relation = longer
-            levels.append(materialize(_frequent_phrases(relation, levels[-1], support), "frequent"))
+        names = ["phrases", "counts", "steps", "codes"]
+        rows = levels[0].count()
+        narrow = _narrowed(spark, *_filter(levels[0], rows, filter_bits), names)
+        relation = _next(relation, arrow_map(relation.select(*names), narrow, _LEVEL))
+        for _ in range(2, longest + 1):
+            occurrences = relation.select("phrases", "steps", "codes")
+            counted = arrow_map(occurrences, _counted, "phrase long, n long").groupBy("phrase").agg(F.sum("n").alias("a"))
+            counted = materialize(counted.where(F.col("a") >= support), "counts")
+            rows = counted.count()
+            if not rows:
+                break
+            extend = _extension(spark, *_filter(counted, rows, filter_bits))
+            relation = _next(relation, arrow_map(occurrences, extend, PHRASES))
+            levels.append(materialize(_frequent_phrases(counted, relation, levels[-1]), "frequent"))
+            remove(counted)
     remove(relation)
 
     found = None
