@@ -423,6 +423,38 @@ def scd2_undo_load(state: DataFrame, files, spec: TableSpec) -> DataFrame:
     return reopened.unionByName(scd2_current(survivors, spec))
 
 
+def scd2_rewind(state: DataFrame, keys: DataFrame, spec: TableSpec, since) -> DataFrame:
+    """State in which the given keys are as they were before ``since``: their versions that
+    start then or later are gone, and the one that held at that instant is current."""
+    eff, end, current = spec.scd2_columns
+    at, keys = as_timestamp(since), keys.select(*spec.primary_keys).distinct()
+    own = state.join(keys, list(spec.primary_keys), "left_semi").select(*state.columns)
+    rest = state.join(keys, list(spec.primary_keys), "left_anti").select(*state.columns)
+    opens = F.col(f"`{end}`").isNull() | (F.col(f"`{end}`") >= at)
+    before = own.filter(F.col(f"`{eff}`") < at).withColumns(
+        {
+            end: F.when(~opens, F.col(f"`{end}`")),
+            current: opens,
+        }
+    )
+    return rest.unionByName(before.select(*state.columns))
+
+
+def scd2_merge_late(
+    state: DataFrame, batch: DataFrame, spec: TableSpec, effective: str, since
+) -> DataFrame:
+    """Full state after snapshots that come late, equal to merging all in order.
+
+    ``batch`` has the rows of the late snapshots and, for their keys, those of every later
+    one, each with its instant in ``effective``; ``since`` is the earliest of these. Which
+    values a later snapshot repeats is not in the state, so its rows are needed again. The
+    chains of other keys stay as they are.
+    """
+    keys = batch.filter(~_null_key(spec.primary_keys)).select(*spec.primary_keys)
+    rewound = materialize(scd2_rewind(state, keys, spec, since), "rewound")
+    return scd2_merge_versions(rewound, batch, spec, effective)
+
+
 def scd2_idempotent_load(
     state: DataFrame, batch: DataFrame, spec: TableSpec, as_of=None, source_file=None
 ) -> DataFrame:

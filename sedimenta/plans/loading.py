@@ -13,7 +13,7 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.columns import (
@@ -191,10 +191,16 @@ def register_strategy(
 
 
 def prepare_batch(
-    batch: DataFrame, spec: TableSpec, as_of: str, files: Sequence[str], offset: int = 0
+    batch: DataFrame,
+    spec: TableSpec,
+    as_of: str,
+    files: Sequence[str],
+    offset: int = 0,
+    instants: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Transformed batch whose rows know their file and that file's instant: the
-    load instant plus one microsecond per file before it in this load."""
+    """Transformed batch whose rows know their file and that file's instant: the load
+    instant plus one microsecond per snapshot before it in this load, or its own one of
+    ``instants``, in microseconds."""
     steps = spec.transformations
     if isinstance(steps, Mapping) and "select" in steps:
         # A configured column list does not know of the lineage column.
@@ -203,13 +209,15 @@ def prepare_batch(
     rows = apply_transformations(batch, steps)
     if "_source_file" not in rows.columns:
         raise ValueError("a transform must keep the _source_file column")
-    base = F.unix_micros(F.lit(as_of).cast("timestamp")) + offset
+    if instants is None:
+        base = F.unix_micros(F.lit(as_of).cast("timestamp")) + offset
+        places = {s: n for n, s in enumerate(dict.fromkeys(map(spec.snapshot, files)))}
+        ranks = [places[spec.snapshot(f)] for f in files]
+    else:
+        base, ranks = F.lit(0).cast("long"), [instants[f] for f in files]
     if len(files) == 1:
-        return rows.withColumn(_EFFECTIVE, F.timestamp_micros(base))
-    ranks = local_frame(
-        batch.sparkSession,
-        {"_source_file": list(files), "__rank": list(range(len(files)))},
-    )
+        return rows.withColumn(_EFFECTIVE, F.timestamp_micros(base + ranks[0]))
+    ranks = local_frame(batch.sparkSession, {"_source_file": list(files), "__rank": ranks})
     # One short row per file of the batch, whose number the caller bounds. A row of
     # some other file must not get lost.
     stray = F.raise_error(F.concat(F.lit("row of an unlisted file: "), "_source_file"))
@@ -244,9 +252,13 @@ def next_offset(store: TableStore, spec: TableSpec, as_of: str, done: int = 0) -
     return done if latest is None else max(done, int(latest) + 1 - micros)
 
 
-def commit_batch(store, batch, spec, as_of, files, offset, tags=None) -> None:
+def commit_batch(store, batch, spec, as_of, files, offset, tags=None, instants=None) -> None:
     """Run the table's strategy on prepared rows; an SCD2 commit records its last instant."""
-    if spec.loading_strategy == "scd2":
+    if instants is not None:
+        latest = store.version().tags.get(_INSTANT) if store.exists() else None
+        known = [instants[f] for f in files] + ([int(latest)] if latest is not None else [])
+        tags = {**(tags or {}), _INSTANT: max(known)}
+    elif spec.loading_strategy == "scd2":
         start = F.unix_micros(F.lit(as_of).cast("timestamp"))
         micros = store.spark.range(1).select(start).first()[0]
         tags = {**(tags or {}), _INSTANT: micros + offset + len(files) - 1}
@@ -263,18 +275,73 @@ def _refuse_unlike(spec: TableSpec, store: TableStore, batch: DataFrame) -> None
         raise ValueError(f"{spec.full_name}: columns differ by {sorted(known ^ got - {_EFFECTIVE})}")
 
 
-def _read_batch(spark, spec, store, files, as_of, offset) -> DataFrame:
+def _read_batch(spark, spec, store, files, as_of, offset, instants=None) -> DataFrame:
     rows = read_for(spark, spec, files)
     if not spec.schema_evolution and len(files) > 1:
         # One file's columns are read of all; they must be those of all.
         merged = read_for(spark, replace(spec, schema_evolution=True), files)
         if set(merged.columns) != set(rows.columns):
             raise ValueError(f"{spec.full_name}: files differ in columns and evolution is off")
-    batch = prepare_batch(rows, spec, as_of, files, offset)
+    batch = prepare_batch(rows, spec, as_of, files, offset, instants)
     _refuse_unlike(spec, store, batch)
     return batch
 
 
+class FileInstants:
+    """Instants of the snapshots a table's files belong to, where files give them.
+
+    A snapshot takes effect at the earliest modification time of its files; of several at
+    one time each follows the one before it, by path, a microsecond later.
+    """
+
+    def __init__(self, listing: DataFrame, completed: DataFrame):
+        self.listing, self.completed = listing, completed
+
+    def of(self, files: Sequence[str]) -> dict[str, int]:
+        names = local_frame(self.listing.sparkSession, {"path": list(files)})
+        rows = self.listing.join(names, "path", "left_semi").select("path", "instant").collect()
+        return {r["path"]: r["instant"] for r in rows}
+
+    def later(self, since: int) -> dict[str, int]:
+        """Files loaded before whose snapshots take effect after an instant."""
+        done = self.completed.select(F.col("file_path").alias("path"))
+        rows = self.listing.filter(F.col("instant") > since).join(done, "path", "left_semi")
+        return {r["path"]: r["instant"] for r in rows.select("path", "instant").collect()}
+
+
+def _late(store: TableStore, instants: Mapping[str, int] | None) -> bool:
+    latest = store.version().tags.get(_INSTANT) if instants and store.exists() else None
+    return latest is not None and min(instants.values()) <= int(latest)
+
+
+def _merge_late(spark, spec, store, batch, files, as_of, instants, later: Mapping[str, int]) -> None:
+    """Merge snapshots that take effect before some that the table has, in their place.
+
+    The later snapshots are read again for the keys of the late ones. If a version to be
+    rebuilt comes from a file that is no longer there, nothing is done and the load fails.
+    """
+    since = F.timestamp_micros(F.lit(min(instants.values())))
+    keys = batch.select(*spec.primary_keys).distinct()
+    again = {f: t for f, t in later.items() if f not in instants}
+    state = store.read()
+    if _held(store, files):
+        state = materialize(scd2.scd2_undo_load(state, list(files), spec), "undo")
+    eff, known = F.col(f"`{spec.scd2_effective_date_column}`"), local_frame(spark, {"_source_file": [*files, *again]})
+    lost = state.filter(eff >= since).join(keys, list(spec.primary_keys), "left_semi").join(known, "_source_file", "left_anti")
+    gone = lost.select("_source_file").limit(1).collect()
+    if gone:
+        raise ValueError(f"{spec.full_name}: a late snapshot needs {gone[0][0]}, which is gone")
+    rows = batch
+    if again:
+        names = sorted(again, key=again.get)
+        repeated = _read_batch(spark, spec, store, names, as_of, 0, again)
+        repeated = repeated.join(keys, list(spec.primary_keys), "left_semi").select(*repeated.columns)
+        rows = materialize(append.union_evolved(batch, repeated), "late")
+    store.note_files(files)
+    latest = max([*instants.values(), int(store.version().tags[_INSTANT])])
+    store.create(scd2.scd2_merge_late(state, rows, spec, _EFFECTIVE, since), {_INSTANT: latest})
+
+
 def _counts(spark, batch: DataFrame, files: Sequence[str]) -> dict:
     """Rows per file, or nothing if they cannot be counted; the load stands either way."""
     try:
@@ -283,7 +350,9 @@ def _counts(spark, batch: DataFrame, files: Sequence[str]) -> dict:
         return {}
 
 
-def _load_files(spark, spec, store, files: Sequence[str], as_of: str, offset: int) -> list[tuple]:
+def _load_files(
+    spark, spec, store, files: Sequence[str], as_of: str, offset: int, given: FileInstants | None = None
+) -> list[tuple]:
     """Load files as one batch; if it fails, find the files at fault and load the others.
 
     A failed attempt has committed nothing: the commit is the attempt's last step, and a
@@ -294,12 +363,17 @@ def _load_files(spark, spec, store, files: Sequence[str], as_of: str, offset: in
     started = time.monotonic()
     try:
         with temporary_tables(spark):
-            batch = _read_batch(spark, spec, store, files, as_of, offset)
+            instants = given.of(files) if given else None
+            batch = _read_batch(spark, spec, store, files, as_of, offset, instants)
             appends = spec.loading_strategy == "append"
             if not appends:
                 # Other strategies read the batch several times, and its rows are counted.
                 batch = materialize(batch, "batch")
-            commit_batch(store, batch, spec, as_of, files, offset)
+            if _late(store, instants):
+                later = given.later(min(instants.values()))
+                _merge_late(spark, spec, store, batch, files, as_of, instants, later)
+            else:
+                commit_batch(store, batch, spec, as_of, files, offset, instants=instants)
             if appends:
                 # Every row was written, and counting it there reads one column.
                 names = local_frame(spark, {"_source_file": list(files)})
@@ -317,11 +391,11 @@ def _load_files(spark, spec, store, files: Sequence[str], as_of: str, offset: in
         if bad:
             failed = [(f, spec.table_name, False, took / len(files), text, 0) for f, text in bad.items()]
             good = [f for f in files if f not in bad]
-            return failed + (_load_files(spark, spec, store, good, as_of, offset) if good else [])
+            return failed + (_load_files(spark, spec, store, good, as_of, offset, given) if good else [])
         half = len(files) // 2
-        first = _load_files(spark, spec, store, files[:half], as_of, offset)
+        first = _load_files(spark, spec, store, files[:half], as_of, offset, given)
         offset = next_offset(store, spec, as_of, offset + half)
-        return first + _load_files(spark, spec, store, files[half:], as_of, offset)
+        return first + _load_files(spark, spec, store, files[half:], as_of, offset, given)
     each = (time.monotonic() - started) / len(files)
     return [(f, spec.table_name, True, each, None, counts.get(f, 0 if counts else None)) for f in files]
 
@@ -395,6 +469,22 @@ def _overwrite(spark, spec, store, chunks: Sequence[Sequence[str]], as_of: str)
     return [(f, spec.table_name, True, each, None, counts.get(f, 0 if counts else None)) for f in files]
 
 
+def _snapshots(listing: DataFrame, spec: TableSpec) -> DataFrame:
+    """Listed files with their ``snapshot``, the time ``at`` that it is ordered by, and its
+    ``instant`` in microseconds, for tables whose files give it."""
+    columns = ("path", "length", "modificationTime")
+    if spec.snapshot_by == "folder":
+        folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+        rows = listing.select(*columns, folder.alias("snapshot"))
+        rows = rows.withColumn("at", F.min("modificationTime").over(Window.partitionBy("snapshot")))
+    else:
+        rows = listing.select(*columns, F.col("path").alias("snapshot"), F.col("modificationTime").alias("at"))
+    if spec.loading_strategy != "scd2" or spec.effective_from != "file":
+        return rows
+    nth = F.dense_rank().over(Window.partitionBy("at").orderBy("snapshot")) - 1
+    return rows.withColumn("instant", F.unix_micros("at") + nth)
+
+
 def load_table(
     spark: SparkSession,
     spec: TableSpec,
@@ -406,15 +496,16 @@ def load_table(
 ) -> DataFrame:
     """Load every file of a table that is listed and not yet loaded.
 
-    Files go in order of modification time and path, up to ``max_files`` per batch,
-    until none is left; an overwrite reads that way, too, but replaces once. Returns one
+    Snapshots (files, or folders of them) go in order of their earliest modification time
+    and path, up to ``max_files`` files per batch, until none is left; a folder is divided
+    only if it has more files than that; an overwrite reads that way, too, but replaces once. Returns one
     load-result row per file tried. A failed file is tried again by the next call until
     it runs out of retries. One ledger may serve many tables: a file is known by table
     and path. An :class:`EventLedger` is appended to; any other store of ledger rows is
     written anew with every batch.
     """
     start = as_of or _now()
-    place = F.struct("modificationTime", "path")
+    place = F.struct("at", "snapshot", "path")
 
     def book() -> DataFrame:
         return ledger.read() if ledger.exists() else led.empty_ledger(spark)
@@ -433,22 +524,31 @@ def load_table(
 
     with temporary_tables(spark):
         # Listed and compared with the ledger once; chunks are cut from what was kept.
-        todo = led.unprocessed_files(
-            list_files(spark, spec.source_path_pattern), book(), True, max_retries, spec.table_name
-        )
-        todo = materialize(todo.select("path", "length", "modificationTime"), "todo")
+        listing = _snapshots(list_files(spark, spec.source_path_pattern), spec)
+        given = None
+        if spec.loading_strategy == "scd2" and spec.effective_from == "file":
+            listing = materialize(listing, "listing")
+            done_files = (F.col("table_name") == spec.table_name) & (F.col("status") == led.COMPLETED)
+            given = FileInstants(listing, materialize(book().filter(done_files).select("file_path"), "completed"))
+        todo = led.unprocessed_files(listing, book(), True, max_retries, spec.table_name)
+        todo = materialize(todo, "todo")
         results, last, done, chunks = None, None, 0, []
         once = spec.loading_strategy == "overwrite"
         while True:
             rest = todo
             if last is not None:
-                rest = todo.filter(place > F.struct(F.lit(last[0]).cast("timestamp"), F.lit(last[1])))
-            at = F.col("modificationTime").cast("string").alias("at")
-            chunk = rest.orderBy("modificationTime", "path").select("*", at).limit(max_files).collect()
+                rest = todo.filter(place > F.struct(F.lit(last["at_text"]).cast("timestamp"), F.lit(last["snapshot"]), F.lit(last["path"])))
+            at = F.col("at").cast("string").alias("at_text")
+            chunk = rest.orderBy("at", "snapshot", "path").select("*", at).limit(max_files + 1).collect()
+            if len(chunk) > max_files:
+                # a snapshot that does not fit as well waits for the next batch
+                cut = chunk.pop()["snapshot"]
+                whole = [r for r in chunk if r["snapshot"] != cut]
+                chunk = whole or chunk
             outcome: list[tuple] = []
             if chunk:
                 files = [r["path"] for r in chunk]
-                last = (chunk[-1]["at"], files[-1])
+                last = chunk[-1]
                 chosen = local_frame(
                     spark, {n: [r[n] for r in chunk] for n in ("path", "length", "modificationTime")}
                 )
@@ -458,8 +558,11 @@ def load_table(
                     chunks.append(files)
                 else:
                     outcome = _load_files(
-                        spark, spec, store, files, start, next_offset(store, spec, start, done)
+                        spark, spec, store, files, start, 0 if given else next_offset(store, spec, start, done), given
                     )
+                    if given:
+                        known = given.completed.unionAll(spark.createDataFrame([(r[0],) for r in outcome if r[2]], "file_path string"))
+                        given = FileInstants(listing, materialize(known, "completed"))
                 done += len(files)
             elif chunks:
                 outcome, chunks = _overwrite(spark, spec, store, chunks, start), []

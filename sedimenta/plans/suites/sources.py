@@ -193,7 +193,7 @@ def q_load_append(spark, sf_dir):
 @query("load_scd2_files", f"""{scd2.TWO_MERGES}
 SELECT * EXCLUDE (_source_file, _load_timestamp) FROM s2""")
 def q_load_scd2(spark, sf_dir):
-    """Three loads of one file each into an SCD2 table, through listing and ledger."""
+    """Three loads of one folder each into an SCD2 table, through listing and ledger."""
     root = scratch_path(spark, "load")
     batches = [
         (table(spark, sf_dir, "customer"), scd2.T0),
@@ -204,13 +204,13 @@ def q_load_scd2(spark, sf_dir):
         **{
             **scd2.CUSTOMER.__dict__,
             "source_path_pattern": f"{root}/raw/*/*.parquet",
+            "snapshot_by": "folder",
         }
     )
     store = loading.store_for(spark, root, spec)
     book = EventLedger(spark, f"{root}/ledger")
     for n, (batch, at) in enumerate(batches):
-        # One file stands for one snapshot here, hence one task.
-        batch.coalesce(1).write.parquet(f"{root}/raw/{n}")
+        batch.write.parquet(f"{root}/raw/{n}")
         loading.load_table(spark, spec, store, book, at)
     return store.read().drop("_source_file", "_load_timestamp")
 
@@ -222,18 +222,17 @@ def q_load_buckets(spark, sf_dir):
     single key: it rewrites that key's bucket, and the others' folders stay."""
     root = scratch_path(spark, "load")
     spec = TableSpec(
-        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*/part-*", "key_buckets": 8}
+        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*/part-*", "key_buckets": 8, "snapshot_by": "folder"}
     )
     store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
     base = table(spark, sf_dir, "customer")
     batches = [(base, scd2.T0), (scd2.first_batch(spark, sf_dir), scd2.T1), (scd2.second_batch(spark, sf_dir), scd2.T2)]
     for n, (batch, at) in enumerate(batches):
-        # One file stands for one snapshot here, hence one task.
-        batch.coalesce(1).write.parquet(f"{root}/raw/{n}")
+        batch.write.parquet(f"{root}/raw/{n}")
         loading.load_table(spark, spec, store, book, at)
     merged = store.read()
     one = merged.filter("is_current AND c_custkey IS NOT NULL").orderBy("c_custkey").limit(1).select(*base.columns)
-    one.withColumn("c_name", F.lit("renamed")).coalesce(1).write.parquet(f"{root}/raw/3")
+    one.withColumn("c_name", F.lit("renamed")).write.parquet(f"{root}/raw/3")
     before = store.version().parts
     loading.load_table(spark, spec, store, book, "2024-04-01 00:00:00")
     after = store.version().parts
@@ -250,7 +249,7 @@ def q_load_backlog(spark, sf_dir):
     is that of three loads, its instants one microsecond apart."""
     root = scratch_path(spark, "load")
     spec = TableSpec(
-        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*/*.parquet"}
+        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*/*.parquet", "snapshot_by": "folder"}
     )
     for n, batch in enumerate(
         (
@@ -259,7 +258,7 @@ def q_load_backlog(spark, sf_dir):
             scd2.second_batch(spark, sf_dir),
         )
     ):
-        batch.coalesce(1).write.parquet(f"{root}/raw/{n}")
+        batch.write.parquet(f"{root}/raw/{n}")
     store = loading.store_for(spark, root, spec)
     loading.load_table(spark, spec, store, EventLedger(spark, f"{root}/ledger"), scd2.T0)
     return store.read().select(
@@ -343,18 +342,18 @@ def q_load_after_purge(spark, sf_dir):
 @query("load_strict_schema", """SELECT p_partkey, p_name, 'completed' AS status FROM part WHERE p_size <= 20
 UNION ALL SELECT NULL, NULL, 'failed' FROM region WHERE r_regionkey = 0""")
 def q_load_strict(spark, sf_dir):
-    """Without schema evolution a file with another column is refused, and it alone."""
+    """Without schema evolution files with another column are refused, and they alone."""
     root = scratch_path(spark, "load")
     spec = load_spec(root, schema_evolution=False)
     store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
     part = table(spark, sf_dir, "part")
-    waiting(spark, part.filter("p_size <= 20").select("p_partkey", "p_name").coalesce(1), root, "a")
-    waiting(spark, part.filter("p_size > 20").select("p_partkey", "p_name", "p_size").coalesce(1), root, "b")
+    waiting(spark, part.filter("p_size <= 20").select("p_partkey", "p_name"), root, "a")
+    waiting(spark, part.filter("p_size > 20").select("p_partkey", "p_name", "p_size"), root, "b")
     loading.load_table(spark, spec, store, book, scd2.T0)
     loaded = store.read().select("p_partkey", "p_name", F.lit("completed").alias("status"))
     refused = book.read().filter("status <> 'completed'")
     nothing = [F.lit(None).cast(loaded.schema[c].dataType).alias(c) for c in ("p_partkey", "p_name")]
-    return loaded.unionByName(refused.select(*nothing, "status"))
+    return loaded.unionByName(refused.select("status").distinct().select(*nothing, "status"))
 
 
 @query("load_shared_files", """SELECT 'one' AS name, n_nationkey, n_name FROM nation
@@ -374,22 +373,53 @@ def q_load_shared(spark, sf_dir):
 
 
 @query("load_scd2_late_file", """
+WITH s AS (SELECT c_custkey, step::INTEGER AS step, c_acctbal + CASE WHEN step = 1 AND c_custkey % 2 = 0 THEN 1
+      WHEN step = 2 AND c_custkey % 3 = 0 THEN 2 ELSE 0 END AS c_acctbal
+    FROM customer, range(3) AS steps(step) WHERE step <> 1 OR c_custkey % 5 <> 0),
+o AS (SELECT *, c_acctbal IS DISTINCT FROM lag(c_acctbal) OVER (PARTITION BY c_custkey ORDER BY step) AS opens FROM s)
+SELECT c_custkey, c_acctbal, step, lead(step) OVER w AS ends, lead(step) OVER w IS NULL AS is_current
+FROM o WHERE opens WINDOW w AS (PARTITION BY c_custkey ORDER BY step)""")
+def q_load_late(spark, sf_dir):
+    """A snapshot that fails is loaded after a later one, under the instants of its files:
+    the table is that of merging all in order, also where a later snapshot repeats values."""
+    root = scratch_path(spark, "load")
+    keys = {"loading_strategy": "scd2", "primary_keys": "c_custkey", "tracking_columns": "c_acctbal",
+            "snapshot_by": "folder", "effective_from": "file"}
+    strict = load_spec(root, **keys, transformations={"filter": "assert_true(step <> 1) IS NULL"})
+    mended = load_spec(root, **keys)
+    store, book = loading.store_for(spark, root, strict), EventLedger(spark, f"{root}/ledger")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    for step, part in enumerate((None, 2, 3)):
+        more = F.when(F.col("c_custkey") % part == 0, step).otherwise(0) if part else F.lit(0)
+        snapshot = rows.withColumns({"c_acctbal": F.col("c_acctbal") + more, "step": F.lit(step)})
+        waiting(spark, snapshot.filter("step <> 1 OR c_custkey % 5 <> 0"), root, step)
+        if step != 1:
+            loading.load_table(spark, strict, store, book, scd2.T0 if step == 0 else scd2.T1)
+    loading.load_table(spark, mended, store, book, scd2.T1)
+    state = store.read()
+    starts = state.groupBy("effective_date").agg(F.min("step").alias("ends"))
+    return (
+        state.join(starts.withColumnRenamed("effective_date", "end_date"), "end_date", "left")
+        .select("c_custkey", "c_acctbal", "step", "ends", "is_current")
+    )
+
+
+@query("load_scd2_late_forward", """
 SELECT c_custkey, c_acctbal, FALSE AS is_current, TRUE AS forward FROM customer
 UNION ALL SELECT c_custkey, c_acctbal + 2, FALSE, TRUE FROM customer
 UNION ALL SELECT c_custkey, c_acctbal + 1, TRUE, TRUE FROM customer""")
-def q_load_late(spark, sf_dir):
-    """A file that fails is loaded after a later one under the same instant: its rows
+def q_load_late_forward(spark, sf_dir):
+    """A snapshot that fails is loaded after a later one, under instants of loads: its rows
     follow those in the table, and every version ends after it starts."""
     root = scratch_path(spark, "load")
-    keys = {"loading_strategy": "scd2", "primary_keys": "c_custkey", "tracking_columns": "c_acctbal"}
+    keys = {"loading_strategy": "scd2", "primary_keys": "c_custkey", "tracking_columns": "c_acctbal", "snapshot_by": "folder"}
     strict = load_spec(root, **keys, transformations={"filter": "assert_true(step <> 1) IS NULL"})
     mended = load_spec(root, **keys)
     store, book = loading.store_for(spark, root, strict), EventLedger(spark, f"{root}/ledger")
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     for step in range(3):
         more = rows.withColumns({"c_acctbal": F.col("c_acctbal") + step, "step": F.lit(step)})
-        # One file stands for one snapshot here, hence one task.
-        waiting(spark, more.coalesce(1), root, step)
+        waiting(spark, more, root, step)
         if step != 1:
             loading.load_table(spark, strict, store, book, scd2.T0 if step == 0 else scd2.T1)
     loading.load_table(spark, mended, store, book, scd2.T1)

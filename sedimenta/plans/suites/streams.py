@@ -39,10 +39,10 @@ def q_stream_append(spark, sf_dir):
 @query("stream_scd2", f"""{scd2.ONE_MERGE}
 SELECT * EXCLUDE (_source_file, _load_timestamp) FROM s1""")
 def q_stream_scd2(spark, sf_dir):
-    """A snapshot and then a batch arrive as files; each is one micro-batch."""
+    """A snapshot and then a batch arrive as folders of files; each is one micro-batch."""
     root = scratch_path(spark, "stream")
     spec = TableSpec(
-        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*"}
+        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*", "snapshot_by": "folder"}
     )
     store = store_for(spark, root, spec)
     schema = table(spark, sf_dir, "customer").schema
@@ -51,8 +51,7 @@ def q_stream_scd2(spark, sf_dir):
         (scd2.first_batch(spark, sf_dir), scd2.T1),
     )
     for n, (rows, at) in enumerate(snapshots):
-        # One file stands for one snapshot here, hence one task.
-        rows.coalesce(1).write.parquet(f"{root}/raw/{n}")
+        rows.write.parquet(f"{root}/raw/{n}")
         source = loaders.stream_source(spark, spec, schema)
         loaders.stream_scd2(
             source, spec, store, f"{root}/checkpoint", at

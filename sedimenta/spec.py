@@ -31,6 +31,11 @@ class TableSpec:
     must then have their columns in its order. ``key_buckets`` splits an SCD2 table by a
     hash of its keys, so that a merge rewrites only buckets that hold a version it closes;
     choose them so that a bucket's current rows are some hundred MB.
+
+    ``snapshot_by="folder"`` makes the files of one folder one snapshot, with one instant,
+    instead of each file. ``effective_from="file"`` lets an SCD2 snapshot take effect at its
+    files' modification time instead of the load's, so that one that comes late is merged
+    where it belongs in the history.
     """
 
     table_name: str
@@ -52,6 +57,8 @@ class TableSpec:
     reader_options: Mapping[str, str] = field(default_factory=dict)
     source_schema: Any = None
     key_buckets: int = 0
+    snapshot_by: str = "file"
+    effective_from: str = "load"
 
     def __post_init__(self):
         for name in ("primary_keys", "tracking_columns", "partition_columns", "order_by"):
@@ -74,6 +81,10 @@ class TableSpec:
             raise ValueError("null_keys must be 'insert' or 'reject'")
         if strategy in ("scd2", "merge") and not self.primary_keys:
             raise ValueError(f"{strategy} strategy requires primary_keys")
+        if self.snapshot_by not in ("file", "folder"):
+            raise ValueError("snapshot_by must be 'file' or 'folder'")
+        if self.effective_from not in ("load", "file"):
+            raise ValueError("effective_from must be 'load' or 'file'")
         if self.key_buckets < 0:
             raise ValueError("key_buckets must not be negative")
         if strategy == "scd2":
@@ -91,6 +102,10 @@ class TableSpec:
         optional = {k: v for k, v in config.items() if k in known and v is not None}
         return cls(**optional)
 
+    def snapshot(self, path: str) -> str:
+        """What a file is a snapshot with: its folder, or itself."""
+        return path.rpartition("/")[0] if self.snapshot_by == "folder" else path
+
     @property
     def full_name(self) -> str:
         return f"{self.database_name}.{self.table_name}"

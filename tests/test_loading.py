@@ -1,4 +1,5 @@
 import os
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -421,3 +422,57 @@ def test_files_that_do_not_go_together_are_still_parted(spark, tmp_path):
     store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
     result = loading.load_table(spark, spec, store, book, T1)
     assert sorted(r.success for r in result.collect()) == [False, True] and store.read().count() == 1
+
+
+def test_a_folder_is_one_snapshot(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    for n, (folder, text) in enumerate((("a", "1,x"), ("b", "1,y"), ("a", "2,x"), ("b", "2,x"), ("b", "3,new"))):
+        put(f"{raw}/{folder}", f"{n}.csv", f"k,v\n{text}\n", 1000 + n)
+    spec = spec_for(raw, **SCD2, source_path_pattern=f"{raw}/*/*.csv", snapshot_by="folder")
+    for most in (100, 3, 1):
+        store = loading.store_for(spark, f"{root}{most}", spec)
+        result = loading.load_table(spark, spec, store, EventLedger(spark, f"{root}{most}/ledger"), T1, max_files=most)
+        assert result.filter("success").count() == 5
+        state = store.read()
+        assert rows(state, "k", "v", "is_current") == [(1, "x", False), (1, "y", True), (2, "x", True), (3, "new", True)]
+        if most > 1:
+            assert state.select("effective_date").distinct().count() == 2
+
+
+def test_late_snapshots_are_merged_in_their_place(spark, tmp_path):
+    """Files that come in any order give the table that they give in order."""
+    rng = random.Random(3)
+    files = []
+    for n in range(5):
+        keys = [k for k in range(8) if rng.random() < 0.8] or [0]
+        files.append((f"{n}.csv", "k,v,u\n" + "".join(f"{k},{rng.choice('ab')},{n}\n" for k in keys) + f",none{n},0\n", 1000 + 10 * n))
+    want = None
+    for trial, order in enumerate(([[0, 1, 2, 3, 4]], [[0], [3], [1], [4], [2]], [[4], [2, 1], [0, 3]], [[1, 3], [0, 2, 4]])):
+        raw, root = str(tmp_path / f"raw{trial}"), str(tmp_path / f"root{trial}")
+        spec = spec_for(raw, **SCD2, effective_from="file")
+        store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+        for step in order:
+            for n in step:
+                put(raw, *files[n])
+            assert loading.load_table(spark, spec, store, book, T1).filter("NOT success").count() == 0
+        got = rows(store.read().select("k", "v", "u", "effective_date", "end_date", "is_current"))
+        want = want or got
+        assert got == want
+    assert {r[0].second for r in store.read().select("effective_date").collect()} <= {40, 50, 0, 10, 20}
+
+
+def test_a_late_snapshot_needs_the_later_ones(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    spec = spec_for(raw, **SCD2, effective_from="file")
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+    put(raw, "0.csv", "k,v\n1,a\n2,a\n", 1000)
+    last = put(raw, "2.csv", "k,v\n1,b\n", 3000)
+    loading.load_table(spark, spec, store, book, T1)
+    os.remove(last)
+    put(raw, "1.csv", "k,v\n1,c\n", 2000)
+    failed = loading.load_table(spark, spec, store, book, T1).collect()
+    assert [r.success for r in failed] == [False] and "gone" in failed[0].error_message
+    assert store.read().count() == 3
+    put(raw, "1.csv", "k,v\n2,c\n", 2000)  # of a key that the vanished one does not have
+    assert loading.load_table(spark, spec, store, book, T1).first().success
+    assert rows(store.read(), "k", "v", "is_current") == [(1, "a", False), (1, "b", True), (2, "a", False), (2, "c", True)]
