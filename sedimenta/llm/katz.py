@@ -33,8 +33,8 @@ FOLDS, HELD_OUT = 5, 1
 LARGEST = 5
 TAIL = 1e-4
 #: Tokens (and documents) that a task packs at a time; tokens of a bucket, about.
-CHUNK_TOKENS, CHUNK_DOCS = 2_000_000, 60_000
-BUCKET_TOKENS = 4_000_000
+CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 60_000
+BUCKET_TOKENS = 1_000_000
 #: Pairs of a history that have 1 .. LARGEST occurrences, and the occurrences of the others.
 _KINDS = LARGEST + 1
 
@@ -213,7 +213,10 @@ def _learn_and_score(words: Unigrams, frequent: np.ndarray, counts: np.ndarray,
             )
         word, before, pair_word, taught, pieces = [], [], [], [], []
         first = 0
-        for r in table.select(["chunk", "trained", "docs", "words", "pairs", "before", "times", "doc"]).to_pylist():
+        columns = {c: table.column(c) for c in ("chunk", "trained", "docs", "words", "pairs", "before", "times", "doc")}
+        for i in range(table.num_rows):
+            # a row's bytes are looked at where they lie
+            r = {c: v[i].as_buffer() if v.type == pa.binary() else v[i].as_py() for c, v in columns.items()}
             w, h = np.frombuffer(r["words"], np.uint64), _from_six(r["before"])
             times, doc = np.frombuffer(r["times"], np.uint32).astype(np.int64), np.frombuffer(r["doc"], np.uint16)
             word.append(w)
@@ -274,10 +277,9 @@ def _learn_and_score(words: Unigrams, frequent: np.ndarray, counts: np.ndarray,
 def _targets(h: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     target = (mix(h) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(target, kind="stable")
-    at = np.searchsorted(target[order], np.arange(buckets + 1))
-    for t in range(buckets):
-        if at[t] < at[t + 1]:
-            yield t, order[at[t] : at[t + 1]]
+    at = np.append(np.flatnonzero(np.diff(target[order], prepend=-1)), len(h))
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        yield int(target[order[a]]), order[a:b]
 
 
 def _back_off(d: np.ndarray):
