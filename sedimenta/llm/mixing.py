@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.shared import WORD
@@ -111,31 +111,63 @@ def mix_sources(
     )
 
 
+def _borders(amounts: DataFrame) -> DataFrame:
+    """A row per source: how often it is taken whole, the last row in order that is taken
+    once more, how many rows equal to that are so in full, and the words of one in part."""
+    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    rows = amounts.select("source", times.alias("times"), _place("doc_id", "size").alias("place"), "size", "taken")
+    rows = rows.withColumn("extra", F.col("taken") - F.col("times") * F.col("size"))
+    last = rows.groupBy("source").agg(F.max("times").alias("times"), F.max(F.when(F.col("extra") > 0, F.col("place"))).alias("last"))
+    last = last.withColumnsRenamed({"source": "of", "times": "whole"})
+    at = rows.join(last, F.col("source").eqNullSafe(F.col("of")) & (F.col("place") == F.col("last")))
+    at = at.groupBy("source").agg(
+        F.count_if((F.col("extra") == F.col("size")) & (F.col("extra") > 0)).alias("full"),
+        F.max(F.when(F.col("extra") < F.col("size"), F.col("extra"))).alias("part"),
+    )
+    joined = last.join(at, F.col("of").eqNullSafe(F.col("source")), "left")
+    return joined.select("of", "whole", "last", F.coalesce("full", F.lit(0)).alias("full"), F.coalesce("part", F.lit(0)).alias("part"))
+
+
+def _place(doc_id: str, size: str) -> Column:
+    """Where a row stands in the order of its source."""
+    key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+    return F.struct(key.alias("key"), F.coalesce(F.col(doc_id), F.lit(0)).alias("doc_id"), F.col(size).alias("size"))
+
+
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The mix itself: each document as often as it is taken, in the columns of ``docs``.
 
-    The one document at a source's border is cut after its last word taken. Rows are
-    told apart by doc_id, source and size; equal ones share what these are given. Texts
-    move once, by that key.
-    """
+    The one document at a source's border is cut after its last word taken. Where a source
+    is cut is one short row, so every document knows by itself how often it is taken and
+    no text moves. Only rows equal to the one at the border (in source, doc_id and size)
+    are numbered, by their text.
 
-    def keyed(df, size, order):
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in ("doc_id", "source")]
-        df = df.withColumn("mix_key", F.concat_ws("\x01", *parts, size.cast("string")))
-        return df.withColumn("mix_nth", F.row_number().over(Window.partitionBy("mix_key").orderBy(order)))
-
-    amounts = keyed(mix_sources(docs, **parameters), F.col("size"), F.desc("taken"))
-    amounts = amounts.where("taken > 0").select("mix_key", "mix_nth", "size", "taken").withColumnsRenamed(
-        {"size": "mix_size", "taken": "mix_taken"}
-    )
-    joined = keyed(docs, word_count(F.col("text")), F.col("text")).join(amounts, ["mix_key", "mix_nth"])
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    cut = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("mix_part"), F.lit(1))), "")
-    joined = joined.withColumn("mix_part", (F.col("mix_taken") % F.col("mix_size")).cast("int"))
+    Null texts, and others without words, are not taken; null ids and sources are values of
+    their own; equal rows count each; no rows give no rows. Columns may have any names.
+    """
+    amounts = materialize(mix_sources(docs, **parameters), "amounts")
+    borders = materialize(_borders(amounts), "borders")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+    )
+    rows = rows.join(borders, F.col("source").eqNullSafe(F.col("of")))
+    at_last = F.coalesce(F.col("doc_id"), F.lit(0)) == F.coalesce(F.col("last.doc_id"), F.lit(0))
+    sized = rows.withColumn("size", word_count(F.col("text")))
+    place = _place("doc_id", "size")
+    equal = F.coalesce(place == F.col("last"), F.lit(False))
+    others = sized.where(~equal).withColumn("extra", F.when(place < F.col("last"), F.col("size")).otherwise(F.lit(0)))
+    twins = rows.where(at_last).withColumn("size", word_count(F.col("text"))).where(equal)
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("text"))
+    amount = F.when(nth <= F.col("full"), F.col("size")).when(nth == F.col("full") + 1, F.col("part")).otherwise(F.lit(0))
+    taken = others.unionByName(twins.withColumn("extra", amount))
     copies = F.concat(
-        F.array_repeat(F.lit(False), F.floor(F.col("mix_taken") / F.col("mix_size")).cast("int")),
-        F.array_repeat(F.lit(True), (F.col("mix_part") > 0).cast("int")),
+        F.array_repeat(F.lit(0).cast("long"), (F.col("whole") + (F.col("extra") == F.col("size")).cast("long")).cast("int")),
+        F.array_repeat(F.col("extra"), ((F.col("extra") > 0) & (F.col("extra") < F.col("size"))).cast("int")),
     )
-    joined = joined.withColumn("mix_cut", F.explode(copies))
-    joined = joined.withColumn("text", F.when(F.col("mix_cut"), cut).otherwise(F.col("text")))
-    return joined.select(*docs.columns)
+    taken = taken.where(F.col("size") > 0).select("row", "text", F.explode(copies).alias("cut"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    text = F.when(F.col("cut") > 0, F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("cut"), F.lit(1)).cast("int")), ""))
+    kept = {c: F.col("row").getField(c) for c in docs.columns}
+    kept["text"] = F.coalesce(text, F.col("row").getField("text"))
+    return taken.select(*[value.alias(name) for name, value in kept.items()])

@@ -375,3 +375,20 @@ def test_katz(spark, monkeypatch):
 def test_katz_of_little(spark):
     assert katz.score_documents(documents(spark, [])).count() == 0
     assert katz.score_documents(documents(spark, [(1, None, None)])).first().n_tokens == 1
+
+
+def test_mixing_of_equal_rows_and_clashing_names(spark):
+    """A source of one row many times over, under columns named like the operator's own."""
+    rows = [(None, "one two three", "a", i, 1, 2) for i in range(3000)] + [(i, "x y", None, i, 1, 2) for i in range(50)]
+    rows += [(7, "b c d e", "b", 1, 1, 1), (7, "f g h i", "b", 2, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_nth long, extra int, `last` int")
+    docs = docs.withColumns({"row": F.lit(1), "cut": F.lit(2), "of": F.lit("z"), "a.b": F.lit(3), "place": F.lit(4)})
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    found = mixing.mix_sources(docs).collect()
+    taken = collections.Counter()
+    for r in mixed.collect():
+        taken[r.source] += len(words(r.text))
+    for source in (None, "a", "b"):
+        assert taken[source] == sum(r.taken for r in found if r.source == source)
+    assert not mixing.mixed_documents(docs.limit(0)).collect()
