@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.components import connected_components
 from sedimenta.llm.near_vectors import whole_groups
-from sedimenta.llm.shared import arrow_map, hash_words, mix, release, segments, slices, text_buffers
+from sedimenta.llm.shared import arrow_map, hash_words, mix, release, segments, slices, text_batches, text_buffers
 from sedimenta.scratch import materialize
 
 WIDTH, PERCENT = 4, 85
@@ -33,6 +33,8 @@ WIDTH, PERCENT = 4, 85
 LEAF_NODES = 1000
 LEAF_SHINGLES = 2_000_000
 PIVOTS = 32
+#: Rows, with their pivots' sets, of an Arrow batch.
+PLACED_ROWS = 64
 #: Narrow rows of regions (region, node, label) that are sent to every task at most.
 BROADCAST_ROWS = 500_000
 #: Times a region is cut by pivots; what is still large then is joined block by block.
@@ -177,10 +179,13 @@ def _join_leaves(percent: int):
                     continue
                 sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in body[s:e]]
                 found = local_join(sets, label[s:e], percent)
-                _, heads, which = np.unique(found, return_index=True, return_inverse=True)
-                head = node[s:e][heads][which]
-                a.append(node[s:e])
-                b.append(head)
+                # one edge for each label that another one is joined to
+                _, first = np.unique(label[s:e], return_index=True)
+                _, heads, which = np.unique(found[first], return_index=True, return_inverse=True)
+                head = first[heads[which]]
+                new = first != head
+                a.append(node[s:e][first[new]])
+                b.append(node[s:e][head[new]])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
@@ -247,7 +252,9 @@ def _cut(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         F.sort_array(F.collect_list(F.struct("nth", "node", "shingles"))).alias("pivots")
     )
     placed = arrow_map(rows.join(pivots, "region"), _place(percent), _PLACED)
-    placed = materialize(placed, "placed")
+    # every row comes with its region's pivots
+    with text_batches(rows.sparkSession, PLACED_ROWS):
+        placed = materialize(placed, "placed")
     met = placed.select(F.col("node").alias("a"), F.explode("links").alias("b"))
     # join what was joined before, too, and label every node anew
     before = placed.select(F.col("node").alias("a"), F.col("label").alias("b"))
