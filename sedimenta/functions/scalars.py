@@ -59,15 +59,16 @@ def _tenths(value: Column, bits: int) -> Column:
 def one_decimal(value) -> Column:
     """Text of a number >= 1 with one decimal, exact for doubles."""
     v = _col(value).cast("double")
-    tenths = (
-        F.when(v < 128, _tenths(v, 52)).when(v < 16384, _tenths(v, 45)).when(v < 2**21, _tenths(v, 38))
-    )
+    # The larger a double is, the fewer bits of fraction it has; from 2**56 on it has none.
+    tenths = F.lit(None).cast("long")
+    for power in range(56, 0, -7):
+        tenths = F.when(v < 2**power, _tenths(v, 59 - power)).otherwise(tenths)
     text = F.concat(
-        F.floor(tenths / 10).cast("string"),
+        F.call_function("div", tenths, F.lit(10)).cast("string"),
         F.lit("."),
         (tenths % 10).cast("string"),
     )
-    return F.when(v < 2**21, text).otherwise(F.format_string("%.1f", v))
+    return F.when(v < 2**56, text).otherwise(F.format_string("%.1f", v))
 
 
 def format_duration(seconds) -> Column:

@@ -22,6 +22,7 @@ from sedimenta.functions.columns import (
     missing_columns,
     with_audit_columns,
 )
+from sedimenta.functions.scalars import as_timestamp
 from sedimenta.operators import append, lineage, scd2
 from sedimenta.operators import ledger as led
 from sedimenta.operators.summaries import RESULT_SCHEMA
@@ -580,6 +581,31 @@ def load_table(
     return results if results is not None else spark.createDataFrame([], RESULT_SCHEMA)
 
 
+class TableStates:
+    """What became of each table in the last runs: ``table_name``, ``status``, ``last_updated``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.store = TableStore(spark, f"{root.rstrip('/')}/metadata/table_status")
+
+    def read(self) -> DataFrame:
+        if self.store.exists():
+            return self.store.read()
+        return self.spark.createDataFrame([], "table_name string, status string, last_updated timestamp")
+
+    def set(self, statuses: Mapping[str, str], as_of: str | None = None) -> None:
+        """Give tables a status; a row per table, so the table is small and written anew."""
+        names = {"table_name": list(statuses), "status": list(statuses.values())}
+        new = local_frame(self.spark, names).withColumn("last_updated", as_timestamp(as_of))
+        old = self.read().join(new, "table_name", "left_anti")
+        self.store.create(old.unionByName(new).coalesce(1))
+
+    def repair(self, ledger: DataFrame, as_of: str | None = None) -> None:
+        """Tables that are said to be completed but have failed files are failed."""
+        if self.store.exists():
+            self.store.create(led.fix_table_status(self.read(), ledger, as_of).coalesce(1))
+
+
 def load_all(
     spark: SparkSession,
     specs: Sequence[TableSpec],
@@ -589,19 +615,32 @@ def load_all(
     max_files: int = MAX_FILES,
     max_retries: int = 3,
     days_to_keep: int | None = None,
+    resume: bool = False,
 ) -> DataFrame:
     """Repair the ledger, load every table, and give failed files one more try.
 
     A table that cannot be loaded at all yields one failed result row and leaves
     the others alone. With ``days_to_keep`` older ledger rows are purged at the end.
+    Which tables are in progress, completed or failed is kept in :class:`TableStates`;
+    with ``resume`` tables that an earlier run completed, with no file failed since, are
+    passed over.
     """
     book = EventLedger(spark, f"{root.rstrip('/')}/metadata/file_ledger")
     if book.exists():
         orphans = led.orphaned_files(book.read(), as_of)
         if not orphans.isEmpty():
             book.record(led.orphan_events(book.read(), as_of))
+    states = TableStates(spark, root)
+    if book.exists():
+        states.repair(book.read(), as_of)
     chosen = [s for s in specs if only is None or s.table_name in only]
-    results = None
+    if resume and chosen:
+        names = local_frame(spark, {"table_name": [s.table_name for s in chosen]})
+        left = {r["table_name"] for r in led.tables_to_run(names, states.read()).collect()}
+        chosen = [s for s in chosen if s.table_name in left]
+    if chosen:
+        states.set({s.table_name: "in_progress" for s in chosen}, as_of)
+    results, bad = None, {}
     for attempt in (1, 2):
         if attempt == 2:
             failed = results is not None and results.filter(~F.col("success"))
@@ -619,6 +658,9 @@ def load_all(
                     [(None, spec.table_name, False, 0.0, str(err), 0)], RESULT_SCHEMA
                 )
             results = rows if results is None else results.unionAll(rows)
+            bad[spec.table_name] = not rows.filter(~F.col("success")).isEmpty()
+    if bad:
+        states.set({name: "failed" if failed else "completed" for name, failed in bad.items()}, as_of)
     if days_to_keep is not None and book.exists():
         book.create(led.purge_ledger(book.read(), as_of, days_to_keep))
     return results if results is not None else spark.createDataFrame([], RESULT_SCHEMA)

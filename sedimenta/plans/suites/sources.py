@@ -372,6 +372,35 @@ def q_load_shared(spark, sf_dir):
     return out
 
 
+@query("load_resume", """SELECT 1 AS run, 'nations' AS table_name, 'completed' AS status, TRUE AS consistent,
+  count(*) AS row_count FROM nation
+UNION ALL SELECT 1, 'regions', 'failed', TRUE, 0
+UNION ALL SELECT 2, 'nations', 'completed', TRUE, count(*) FROM nation
+UNION ALL SELECT 2, 'regions', 'completed', TRUE, count(*) FROM region""")
+def q_load_resume(spark, sf_dir):
+    """Of two tables one fails; the run that resumes passes over the other, whose new files
+    wait, and mends it. Statuses agree with the ledger after each run."""
+    root, out = scratch_path(spark, "load"), None
+    names = {"nations": "nation", "regions": "region"}
+    for name, source in names.items():
+        table(spark, sf_dir, source).write.parquet(f"{root}/raw/{name}/a")
+    specs = lambda text: [
+        load_spec(root, table_name=n, source_path_pattern=f"{root}/raw/{n}/*/part-*", transformations=t)
+        for n, t in (("nations", None), ("regions", {"filter": text} if text else None))
+    ]
+    for run, text in ((1, "assert_true(r_regionkey < 0) IS NULL"), (2, None)):
+        loading.load_all(spark, specs(text), f"{root}/lake", scd2.T0, resume=run == 2)
+        table(spark, sf_dir, "nation").write.parquet(f"{root}/raw/nations/{run}")
+        states = loading.TableStates(spark, f"{root}/lake").read()
+        book = EventLedger(spark, f"{root}/lake/metadata/file_ledger").read()
+        report = led.consistency_report(book, states).select("table_name", F.col("table_status").alias("status"), "consistent")
+        counts = {s.table_name: loading.store_for(spark, f"{root}/lake", s).row_count() for s in specs(None)}
+        kept = F.coalesce(*[F.when(F.col("table_name") == n, F.lit(c)) for n, c in counts.items()])
+        rows = report.select(F.lit(run).alias("run"), "*", kept.cast("long").alias("row_count"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("load_scd2_late_file", """
 WITH s AS (SELECT c_custkey, step::INTEGER AS step, c_acctbal + CASE WHEN step = 1 AND c_custkey % 2 = 0 THEN 1
       WHEN step = 2 AND c_custkey % 3 = 0 THEN 2 ELSE 0 END AS c_acctbal

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -163,3 +164,12 @@ def test_spec_validation():
          "batch_size": 10, "partition_columns": None, "file_format": "CSV"}
     )
     assert (spec.full_name, spec.tracking_columns, spec.file_format) == ("d.t", ("v",), "csv")
+
+
+def test_one_decimal_is_exact_at_all_sizes(spark):
+    """Ties on the exact binary value go to the even tenth, as Python's formatting does."""
+    values = [2097152.25, 2097151.75, 2.0**28 + 0.25, 2.0**35 - 0.75, 2.0**42 + 0.125, 2.0**49 - 0.25, 2.0**49 + 0.25, 2.0**52 + 0.5, 2.0**53]
+    rng = random.Random(1)
+    values += [rng.uniform(1, 2.0 ** rng.randrange(1, 56)) for _ in range(500)] + [2.0**k + d for k in range(1, 54) for d in (0, 0.25, 0.5)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", S.one_decimal("v").alias("t"))
+    assert [(r.v, r.t) for r in df.collect() if r.t != f"{r.v:.1f}"] == []

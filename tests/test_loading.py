@@ -476,3 +476,22 @@ def test_a_late_snapshot_needs_the_later_ones(spark, tmp_path):
     put(raw, "1.csv", "k,v\n2,c\n", 2000)  # of a key that the vanished one does not have
     assert loading.load_table(spark, spec, store, book, T1).first().success
     assert rows(store.read(), "k", "v", "is_current") == [(1, "a", False), (1, "b", True), (2, "a", False), (2, "c", True)]
+
+
+def test_runs_keep_table_states_and_resume(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "root")
+    put(raw, "1.csv", "k,v\n1,a\n", 1000)
+    fine = spec_for(raw)
+    broken = spec_for(raw, table_name="u", transformations={"filter": "nowhere > 1"})
+    loading.load_all(spark, [fine, broken], root, T1)
+    states = loading.TableStates(spark, root)
+    assert rows(states.read(), "table_name", "status") == [("t", "completed"), ("u", "failed")]
+    put(raw, "2.csv", "k,v\n2,a\n", 2000)
+    mended = spec_for(raw, table_name="u")
+    result = loading.load_all(spark, [fine, mended], root, T2, resume=True)
+    assert {r.table_name for r in result.collect()} == {"u"}
+    assert rows(loading.TableStates(spark, root).read(), "table_name", "status") == [("t", "completed"), ("u", "completed")]
+    # a file that failed behind the state's back makes its table run again
+    book = EventLedger(spark, f"{root}/metadata/file_ledger")
+    book.create(book.read().withColumn("status", F.when(F.col("table_name") == "t", led.FAILED).otherwise(F.col("status"))))
+    assert {r.table_name for r in loading.load_all(spark, [fine, mended], root, T2, resume=True).collect()} == {"t"}
