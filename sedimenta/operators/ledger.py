@@ -245,7 +245,7 @@ def fold_events(events: DataFrame) -> DataFrame:
         latest("error_message", F.coalesce("event_sets_message", F.lit(True))),
         (F.sum(F.when(~F.col("__row"), F.col("retry_count")).otherwise(0))
          + F.coalesce(F.max(F.when(F.col("__row"), F.col("retry_count"))), F.lit(0))).cast("int").alias("retry_count"),
-        F.min("created_at").alias("created_at"),
+        latest("created_at", F.col("__row")),
         latest("updated_at", F.lit(True)),
     )
     return folded.filter("__row").select(*LEDGER_SCHEMA.names)
