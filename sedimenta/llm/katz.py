@@ -33,8 +33,10 @@ FOLDS, HELD_OUT = 5, 1
 LARGEST = 5
 TAIL = 1e-4
 #: Tokens (and documents) that a task packs at a time; tokens of a bucket, about.
-CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 60_000
+CHUNK_TOKENS, CHUNK_DOCS = 1_500_000, 60_000
 BUCKET_TOKENS = 1_000_000
+#: Buckets of words to one of histories, which holds less per token.
+BUCKETS_PER_TARGET = 4
 #: Pairs of a history that have 1 .. LARGEST occurrences, and the occurrences of the others.
 _KINDS = LARGEST + 1
 
@@ -203,7 +205,7 @@ def _rows(rows: list[list]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_RESULT.types)], schema=_RESULT)
 
 
-def _learn_and_score(words: Unigrams, frequent: np.ndarray, counts: np.ndarray, buckets: int):
+def _learn_and_score(words: Unigrams, frequent: np.ndarray, counts: np.ndarray, targets: int):
     """Of one bucket: sums per document, what histories leave, unseen pairs, counts of counts."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -246,7 +248,7 @@ def _learn_and_score(words: Unigrams, frequent: np.ndarray, counts: np.ndarray,
             kinds[k - 1] = np.bincount(which[r == k], minlength=len(left_h))
         more = r > LARGEST
         over = np.bincount(which[more], r[more], len(left_h))
-        for t, at in _targets(left_h, buckets):
+        for t, at in _targets(left_h, targets):
             out.append([_LEFT, t, 0, left_h[at].tobytes(), mass[at].tobytes(), _packed(kinds[:LARGEST, at]), _packed(over[at])])
         # each document's sums
         of_token_end = np.where(distinct == END, 0.0, np.log10(np.maximum(c, 1)))
@@ -267,15 +269,15 @@ def _learn_and_score(words: Unigrams, frequent: np.ndarray, counts: np.ndarray,
             new = np.flatnonzero(r == 0)
             if len(new):
                 hist, d = np.repeat(h[span], times)[new], doc[new]
-                for t, at in _targets(hist, buckets):
+                for t, at in _targets(hist, targets):
                     out.append([_UNSEEN, t, chunk, hist[at].tobytes(), d[at].tobytes(), docs.to_bytes(4, "little"), b""])
         return _rows(out)
 
     return run
 
 
-def _targets(h: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    target = (mix(h) % np.uint64(buckets)).astype(np.int64)
+def _targets(h: np.ndarray, targets: int) -> Iterator[tuple[int, np.ndarray]]:
+    target = (mix(h) % np.uint64(targets)).astype(np.int64)
     order = np.argsort(target, kind="stable")
     at = np.append(np.flatnonzero(np.diff(target[order], prepend=-1)), len(h))
     for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
@@ -386,7 +388,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     pieces = arrow_map(docs, pack, PIECE)
     with text_batches(spark, 64):
-        learned = materialize(arrow_groups(pieces, ["bucket"], _learn_and_score(words, frequent, counts, buckets), RESULT), "pairs")
+        learned = materialize(arrow_groups(pieces, ["bucket"], _learn_and_score(words, frequent, counts, -(-buckets // BUCKETS_PER_TARGET)), RESULT), "pairs")
     of_counts = [np.frombuffer(r["a"], np.int64) for r in learned.where(F.col("kind") == _COUNTS).select("a").collect()]
     d = discounts(np.sum(of_counts, axis=0)[1 : LARGEST + 2] if of_counts else np.zeros(LARGEST + 1))
     exchanged = learned.where(F.col("kind").isin(_LEFT, _UNSEEN))
