@@ -141,7 +141,10 @@ class TableStore:
             self.partition_columns,
             {**(base.tags if base else {}), **(tags or {})},
         )
-        self._publish(new, base, gone)
+        if gone:
+            self._publish(new, base, gone)
+        else:
+            self._publish(new, base)
         self._latest = new
         return new
 
