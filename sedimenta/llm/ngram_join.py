@@ -33,8 +33,8 @@ WIDTH, PERCENT = 4, 85
 LEAF_NODES = 1000
 LEAF_SHINGLES = 2_000_000
 PIVOTS = 32
-#: Rows, with their pivots' sets, of an Arrow batch.
-PLACED_ROWS = 64
+#: Rows of an Arrow batch, and of one whose rows come with their pivots' sets.
+BATCH_ROWS, PLACED_ROWS = 2000, 64
 #: Narrow rows of regions (region, node, label) that are sent to every task at most.
 BROADCAST_ROWS = 500_000
 #: Times a region is cut by pivots; what is still large then is joined block by block.
@@ -294,6 +294,11 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     linked but names no component unless all are null. No rows give no rows; further
     columns are ignored.
     """
+    with text_batches(docs.sparkSession, BATCH_ROWS):
+        return _similar_components(docs, width, percent)
+
+
+def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
