@@ -27,7 +27,6 @@ BATCH_ROWS = 2048
 #: A component with less of the largest eigenvalue than this, times the dimensions, is none.
 RANK_TOLERANCE = 1e-14
 
-_EXACT = 1 << 53
 _LONG = (1 << 63) - 1
 
 
