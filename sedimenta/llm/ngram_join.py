@@ -5,10 +5,13 @@
    by hash, x and y agree in some part: both lie at projected distance 0 from that part's
    content. Of the nodes that share a part's content the first one is the pivot; its region
    holds all of them, so any two nodes that may link meet in a region.
-3. *Joining regions*. A node first goes to its smallest pivot only, which joins most copies;
-   then regions whose nodes are not all joined by now are joined in full. A small region is
-   joined exactly in one task.
-4. *Voronoi cells*. In a large region Jaccard distance 1 - J is a metric that tells nodes
+3. *Sketches*. A set's sketch holds the parity of its members by hash bucket. Two sketches
+   differ in at most |x ^ y| buckets, so what differs in more cannot link. A region shrinks to
+   the groups of nodes that sketches leave together; equal groups of several regions are one.
+4. *Joining regions*. A node first goes to its smallest pivot only, which joins most copies;
+   then regions whose nodes are not all joined by now are joined in full. Only nodes left
+   by the sketches have their sets fetched. A small region is joined exactly in one task.
+5. *Voronoi cells*. In a large region Jaccard distance 1 - J is a metric that tells nodes
    apart. Nodes of it are chosen as pivots; each node goes to its nearest one, and to every
    other whose cell could hold a partner by the triangle inequality. Cells are regions again.
 """
@@ -33,8 +36,13 @@ WIDTH, PERCENT = 4, 85
 LEAF_NODES = 1000
 LEAF_SHINGLES = 2_000_000
 PIVOTS = 32
-#: Rows of an Arrow batch, and of one whose rows come with their pivots' sets.
+#: Nodes, and shingles, of a region whose sketches one task compares; at least this many bits each.
+SKETCH_NODES = 4000
+SKETCH_SHINGLES = 20_000_000
+SKETCH_BITS = 256
+#: Rows of an Arrow batch, and of one whose rows come with their pivots' sets; bytes of one.
 BATCH_ROWS, PLACED_ROWS = 2000, 64
+BATCH_BYTES = 16 << 20
 #: Narrow rows of regions (region, node, label) that are sent to every task at most.
 BROADCAST_ROWS = 500_000
 #: Times a region is cut by pivots; what is still large then is joined block by block.
@@ -75,6 +83,58 @@ def node_ids(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (mix(total + counts.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
 
 
+def sketches(hashes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """A parity bit per hash bucket of each set, with about as many buckets as members.
+
+    Buckets are the low bits of a hash: halves of a sketch, folded by exclusive or, are the
+    sketch of half as many buckets.
+    """
+    bits = _sketch_bits(counts)
+    at = segments(bits)
+    place = np.repeat(at[:-1], counts) + (hashes & (np.repeat(bits, counts) - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.packbits((np.bincount(place, minlength=at[-1]) & 1).astype(bool), bitorder="little").tobytes()
+    return [odd[a // 8 : b // 8] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _sketch_bits(n: np.ndarray) -> np.ndarray:
+    return 2 ** np.ceil(np.log2(np.maximum(n, SKETCH_BITS))).astype(np.int64)
+
+
+def _folded(sketch: np.ndarray, width: int) -> np.ndarray:
+    while sketch.shape[1] > width:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
+
+
+def look_alikes(packed: list[bytes], n: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
+    """Groups of sets that may link under different labels, by number; -1: no such partner."""
+    bits = _sketch_bits(n)
+    group = np.arange(len(n))
+    some = np.zeros(len(n), bool)
+    levels = {int(b): np.flatnonzero(bits == b) for b in np.unique(bits)}
+    whole = {b: np.frombuffer(b"".join([packed[i] for i in own]), np.uint64).reshape(len(own), -1) for b, own in levels.items()}
+    for low, own in levels.items():
+        for high, other in levels.items():
+            if high < low or n[other].min() * percent > 100 * n[own].max():
+                continue
+            theirs = _folded(whole[high], low // 64)
+            step = max(1, (1 << 20) // theirs.size)
+            for s in range(0, len(own), step):
+                mine = own[s : s + step]
+                apart = np.bitwise_count(whole[low][s : s + step, None] ^ theirs[None]).sum(axis=2, dtype=np.int64)
+                total = n[mine, None] + n[None, other]
+                near = apart * (100 + percent) <= (100 - percent) * total
+                near &= label[mine, None] != label[None, other]
+                for i in np.flatnonzero(near.any(axis=1)).tolist():
+                    met = np.append(other[near[i]], mine[i])
+                    some[met] = True
+                    ids = np.unique(group[met])
+                    if len(ids) > 1:
+                        group[np.isin(group, ids)] = ids[0]
+    return np.where(some, group, -1)
+
+
 def _parts(n: np.ndarray, percent: int) -> np.ndarray:
     """In how many parts the universe is cut for pairs whose smaller set has n members: a
     tenth more than the pigeonhole needs, rounded up to a few sizes; 1: only equal sets link."""
@@ -192,7 +252,29 @@ def _join_leaves(percent: int):
     return run
 
 
-REGION = "region long, node long, n long, label long, shingles binary"
+def _look_alikes(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, ["region"]):
+            node, n, label = (table.column(c).to_numpy() for c in ("node", "n", "label"))
+            region, keep = np.zeros(len(node), np.uint64), np.zeros(len(node), bool)
+            for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
+                group = look_alikes(table.column("sketch")[s:e].to_pylist(), n[s:e], label[s:e], percent)
+                some = np.flatnonzero(group >= 0)
+                keep[s + some] = True
+                # named by its members, so that other regions' equal groups have the same name
+                names = np.zeros(e - s, np.uint64)
+                np.add.at(names, group[some], mix(node[s:e][some].view(np.uint64) ^ _STEP))
+                region[s + some] = mix(names[group[some]])
+            if keep.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(region.view(np.int64)[keep])] + [pa.array(c[keep]) for c in (node, n, label)],
+                    names=["region", "node", "n", "label"],
+                )
+
+    return run
+
+
+_NARROW = "region long, node long, n long, label long"
 _PLACED = "region long, node long, n long, label long, home int, windows array<int>, links array<long>"
 
 
@@ -235,12 +317,13 @@ def _place(percent: int):
     return run
 
 
-def _sized(rows: DataFrame) -> DataFrame:
+def _sized(rows: DataFrame, most_nodes: int | None = None, most_shingles: int | None = None) -> DataFrame:
     """Regions with more than one label, and whether one task can join them."""
+    most_nodes, most_shingles = most_nodes or LEAF_NODES, most_shingles or LEAF_SHINGLES
     sizes = rows.groupBy("region").agg(
         F.count("*").alias("nodes"), F.sum("n").alias("total"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    leaf = (F.col("nodes") <= LEAF_NODES) & (F.col("total") <= LEAF_SHINGLES)
+    leaf = (F.col("nodes") <= most_nodes) & (F.col("total") <= most_shingles)
     return sizes.where("low <> high").select("region", "nodes", "total", leaf.alias("leaf"))
 
 
@@ -271,10 +354,13 @@ def _cut(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return parts.select(F.xxhash64("region", "cell").alias("region"), "node", "n", "label"), met
 
 
-def _blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+def _blocks(
+    rows: DataFrame, sizes: DataFrame, most_nodes: int | None = None, most_shingles: int | None = None
+) -> DataFrame:
     """Every pair of blocks of a large region as a region of its own."""
+    most_nodes, most_shingles = most_nodes or LEAF_NODES, most_shingles or LEAF_SHINGLES
     rows = rows.join(sizes.select("region", "nodes", "total"), "region")
-    size = F.greatest(F.ceil(F.col("nodes") * 2 / LEAF_NODES), F.ceil(F.col("total") * 2 / LEAF_SHINGLES), F.lit(1))
+    size = F.greatest(F.ceil(F.col("nodes") * 2 / most_nodes), F.ceil(F.col("total") * 2 / most_shingles), F.lit(1))
     rows = rows.withColumn("blocks", size).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
@@ -294,8 +380,14 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     linked but names no component unless all are null. No rows give no rows; further
     columns are ignored.
     """
-    with text_batches(docs.sparkSession, BATCH_ROWS):
-        return _similar_components(docs, width, percent)
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(BATCH_BYTES))
+    try:
+        with text_batches(docs.sparkSession, BATCH_ROWS):
+            return _similar_components(docs, width, percent)
+    finally:
+        conf.set(key, before)
 
 
 def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -305,7 +397,10 @@ def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
         for batch in slices(batches):
             hashes, counts = shingle_sets(batch.column(1), width)
             node = pa.array(node_ids(hashes, counts), mask=counts == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.array(counts)], names=["doc_id", "node", "n"])
+            drawn = pa.array(sketches(hashes, counts), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), node, pa.array(counts), drawn], names=["doc_id", "node", "n", "sketch"]
+            )
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -315,7 +410,7 @@ def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
             row, key = _new_keys(hashes, counts, nodes, seen, percent)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(nodes[row])], names=["key", "node"])
 
-    described = materialize(arrow_map(docs, describe, "doc_id long, node long, n long"), "sets")
+    described = materialize(arrow_map(docs, describe, "doc_id long, node long, n long, sketch binary"), "described")
     shared = arrow_map(docs, keys, "key long, node long").repartition("key").sortWithinPartitions("key", "node")
     stars = materialize(arrow_map(shared, _stars, "a long, b long").distinct(), "stars")
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
@@ -323,35 +418,38 @@ def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     release(docs.sparkSession)
     ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     members = materialize(ends.join(nodes, "node"), "members")
+    drawn = described.join(members, (members["node"] == described["node"]) & members["first"].eqNullSafe(described["doc_id"]), "left_semi")
+    drawn = materialize(drawn.select("node", "sketch").dropDuplicates(["node"]), "sketches")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in slices(batches):
-            hashes, counts = shingle_sets(batch.column(1), width)
+            hashes, counts = shingle_sets(batch.column(0), width)
             at, nodes = segments(counts), node_ids(hashes, counts)
-            keep = nodes == batch.column(0).to_numpy()
-            for i in np.flatnonzero(keep).tolist():  # equal rows of one doc_id
-                keep[i] = nodes[i] not in seen
-                seen.add(int(nodes[i]))
-            body = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, pa.binary())], names=["node", "shingles"])
-            yield out.filter(pa.array(keep))
-
-    wanted = members.select("node", F.col("first").alias("doc_id"))
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"])).select("node", "text")
-    sets = materialize(arrow_map(texts, fetch, "node long, shingles binary"), "shingles")
-    del texts
-    release(docs.sparkSession)
+            some = np.flatnonzero(counts).tolist()
+            body = [hashes[at[i] : at[i + 1]].tobytes() for i in some]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(body, pa.binary())], names=["node", "shingles"])
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes of ``rows``, from the texts of their first documents."""
+        few = members.join(rows.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id")).distinct()
+        texts = docs.join(few, docs["doc_id"].eqNullSafe(few["doc_id"]), "left_semi").select("text")
+        sets = materialize(arrow_map(texts, fetch, "node long, shingles binary"), "shingles")
+        # rows of one doc_id may hold one set several times
+        rows_, nodes_ = sets.agg(F.count("*"), F.countDistinct("node")).first()
+        return sets if rows_ == nodes_ else materialize(sets.dropDuplicates(["node"]), "shingles")
+
+    def links_of(regions: DataFrame) -> DataFrame:
+        rows = materialize(_candidates(regions, drawn, percent), "candidates")
+        found = _links(rows, sets_of(rows), percent)
+        release(docs.sparkSession)
+        return found
+
     sizes = members.select("node", "n")
     nearest = _regions(stars.groupBy("b").agg(F.min("a").alias("a"))).join(sizes, "node")
-    nearest = materialize(nearest.withColumn("label", F.col("node")), "nearest")
-    links = materialize(_links(nearest, sets, percent), "links")
-    release(docs.sparkSession)
+    links = links_of(materialize(nearest.withColumn("label", F.col("node")), "nearest"))
     joined = connected_components(links).withColumnRenamed("root", "label")
     rest = _regions(stars).join(sizes, "node").join(joined, "node", "left")
-    rest = materialize(rest.withColumn("label", F.coalesce("label", "node")), "rest")
-    more = materialize(_links(rest, sets, percent), "links")
-    release(docs.sparkSession)
+    more = links_of(materialize(rest.withColumn("label", F.coalesce("label", "node")), "rest"))
     roots = connected_components(links.unionByName(more))
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -392,6 +490,18 @@ def _new_keys(hashes, counts, nodes, seen: set[int], percent: int) -> tuple[np.n
     return np.flatnonzero(fresh)[row], key
 
 
+def _candidates(regions: DataFrame, drawn: DataFrame, percent: int) -> DataFrame:
+    """Regions of the nodes that may link under different labels, as their sketches tell."""
+    sizes = materialize(_sized(regions, SKETCH_NODES, SKETCH_SHINGLES), "sizes")
+    rows = regions.join(sizes.where("leaf").select("region"), "region")
+    large = sizes.where("NOT leaf")
+    rest = regions.join(large.select("region"), "region")
+    rows = rows.unionByName(_blocks(rest, large, SKETCH_NODES, SKETCH_SHINGLES).select(*rows.columns))
+    rows = rows.join(drawn, "node").select("region", "node", "n", "label", "sketch")
+    rows = rows.repartition("region").sortWithinPartitions("region", "node")
+    return arrow_map(rows, _look_alikes(percent), _NARROW).distinct()
+
+
 def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that join what links within the regions, cutting large ones first."""
     found: list[DataFrame] = []

@@ -64,6 +64,34 @@ def test_blocks_of_few_long_documents(spark):
     assert max(sum(nodes.values()) for nodes in blocks.values()) <= 2.5 * ngram_join.LEAF_SHINGLES
 
 
+def test_sketches_leave_no_link_out():
+    rng = np.random.default_rng(9)
+    sets = []
+    for _ in range(120):
+        x = rng.integers(0, 1 << 63, int(rng.integers(1, 900)), dtype=np.uint64)
+        for _ in range(3):
+            more = rng.integers(0, 1 << 63, int(rng.integers(0, max(1, len(x) // 5) + 1)), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([x[int(rng.integers(0, max(1, len(x) // 10))) :], more])))
+    n = np.array([len(s) for s in sets])
+    packed = ngram_join.sketches(np.concatenate(sets), n)
+    group = ngram_join.look_alikes(packed, n, np.arange(len(n)), 80)
+    shared = [set(s.tolist()) for s in sets]
+    links = [(i, j) for i in range(len(n)) for j in range(i)
+             if 100 * len(shared[i] & shared[j]) >= 80 * len(shared[i] | shared[j])]
+    assert len(links) > 50 and all(group[i] == group[j] >= 0 for i, j in links)
+    assert len(np.unique(group[group >= 0])) >= 60 and (group == -1).any()
+    one = np.zeros(len(n), np.int64)
+    assert (ngram_join.look_alikes(packed, n, one, 80) == -1).all()
+
+
+@pytest.mark.parametrize("nodes", [3, 50])
+def test_ngram_join_in_blocks_of_sketches(spark, monkeypatch, nodes):
+    monkeypatch.setattr(ngram_join, "SKETCH_NODES", nodes)
+    rows = [(i, t, "s") for i, t in enumerate(pages(random.Random(nodes), 80))]
+    found = ngram_join.similar_components(documents(spark, rows), 4, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_join(rows, 4, 85)
+
+
 def test_ngram_join_of_repeated_rows_and_null_ids(spark):
     rows = [(5, "a b c d e", "s"), (5, "a b c d e", "s"), (5, "q r s t u", "s"), (None, "a b c d e", "s"), (9, "q r s t u", "s")]
     found = ngram_join.similar_components(documents(spark, rows)).collect()
