@@ -43,7 +43,7 @@ SKETCH_BITS = 256
 #: Rows of an Arrow batch, and of one whose rows come with their pivots' sets; bytes of one.
 BATCH_ROWS, PLACED_ROWS = 2000, 64
 BATCH_BYTES = 16 << 20
-#: Narrow rows of regions (region, node, label) that are sent to every task at most.
+#: Narrow rows, of regions (region, node, label) or ids, that are sent to every task at most.
 BROADCAST_ROWS = 500_000
 #: Times a region is cut by pivots; what is still large then is joined block by block.
 DEPTH = 3
@@ -432,7 +432,10 @@ def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def sets_of(rows: DataFrame) -> DataFrame:
         """(node, shingles) of the nodes of ``rows``, from the texts of their first documents."""
         few = members.join(rows.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id")).distinct()
-        texts = docs.join(few, docs["doc_id"].eqNullSafe(few["doc_id"]), "left_semi").select("text")
+        few = materialize(few, "wanted")
+        # ids go to the texts if they are few enough, or else texts are exchanged
+        ids = F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
+        texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
         sets = materialize(arrow_map(texts, fetch, "node long, shingles binary"), "shingles")
         # rows of one doc_id may hold one set several times
         rows_, nodes_ = sets.agg(F.count("*"), F.countDistinct("node")).first()
