@@ -470,6 +470,49 @@ def q_table_statistics(spark, sf_dir):
     return row.select("table_exists", "row_count")
 
 
+@query("catalog_view", f"""{scd2.TWO_MERGES}
+SELECT * EXCLUDE (_source_file, _load_timestamp) FROM s2""")
+def q_catalog_view(spark, sf_dir):
+    """Three loads into an SCD2 table split by key hash, read by another session through a
+    catalog view that is renewed after each load."""
+    root = scratch_path(spark, "load")
+    spec = TableSpec(
+        **{**scd2.CUSTOMER.__dict__, "source_path_pattern": f"{root}/raw/*/part-*", "key_buckets": 8, "snapshot_by": "folder"}
+    )
+    store, book = loading.store_for(spark, root, spec), EventLedger(spark, f"{root}/ledger")
+    name = "customers_" + root.rpartition("-")[2]
+    batches = [
+        (table(spark, sf_dir, "customer"), scd2.T0),
+        (scd2.first_batch(spark, sf_dir), scd2.T1),
+        (scd2.second_batch(spark, sf_dir), scd2.T2),
+    ]
+    for n, (batch, at) in enumerate(batches):
+        waiting(spark, batch, root, n)
+        loading.load_table(spark, spec, store, book, at)
+        store.publish_catalog(name)
+    other = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        other.conf.set(key, spark.conf.get(key))
+    return other.table(name).drop("_source_file", "_load_timestamp")
+
+
+@query("published_statistics", """SELECT TRUE AS table_exists, count(*) AS row_count, TRUE AS sized, TRUE AS placed FROM orders
+UNION ALL SELECT FALSE, NULL, NULL, NULL""")
+def q_published_statistics(spark, sf_dir):
+    """Statistics of a catalog table, whose size and place are those of a listing of its
+    files, and of a table that does not exist."""
+    name = catalog_table(spark, sf_dir)
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    row = catalog.table_statistics(spark, name)
+    listed = files.list_files(spark, row.first()["location"] + "/*.parquet").agg(F.sum("length")).first()[0]
+    size = F.regexp_extract("size_info", "^([0-9]+) bytes", 1).cast("long")
+    found = row.select(
+        "table_exists", "row_count", (size == listed).alias("sized"), F.endswith("location", F.lit(name.replace("_", "-", 1))).alias("placed")
+    )
+    gone = catalog.table_statistics(spark, f"{name}_gone")
+    return found.unionByName(gone.select("table_exists", "row_count", *[F.lit(None).cast("boolean").alias(c) for c in ("sized", "placed")]))
+
+
 @query("table_properties", """SELECT column_name AS key FROM information_schema.columns
 WHERE table_name = 'orders'""")
 def q_table_properties(spark, sf_dir):

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the database if it is missing, at a location if one is given."""
     where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}{where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -24,7 +24,7 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 def table_properties(spark: SparkSession, name: str) -> DataFrame:
     """Columns and details of a table as ``(key, value)`` rows."""
     return (
-        spark.sql(f"DESCRIBE EXTENDED {_quoted(name)}")
+        spark.sql(f"DESCRIBE EXTENDED {quoted(name)}")
         .filter((F.col("col_name") != "") & (F.col("data_type") != ""))
         .select(F.col("col_name").alias("key"), F.col("data_type").alias("value"))
     )

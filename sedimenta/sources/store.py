@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from sedimenta.functions.columns import merge_schemas, union_evolved
 from sedimenta.scratch import file_system, local_frame
+from sedimenta.sources.catalog import quoted
 from sedimenta.sources.files import list_files
 
 _COMMIT = "_commit"
@@ -401,6 +402,49 @@ class TableStore:
         """Register the current version as a temp view."""
         self.read().createOrReplaceTempView(view)
 
+    def publish_catalog(self, name: str) -> None:
+        """Create or renew the catalog view ``name`` over the current version.
+
+        Unlike :meth:`publish` it is kept by the catalog, so other sessions query it, and those
+        of a shared metastore after this one ended. It names the folders of one version:
+        readers see that version until it is renewed, after a later commit.
+        """
+        version = self.version()
+        if version is None or not version.parts:
+            raise ValueError(f"no such table or version: {self.root}")
+        columns = self.schema(version)
+        filled = {r["commit"] for r in self.part_sizes().collect()}
+        selects = [self._select(p, columns) for p in version.parts if p["commit"] in filled]
+        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns)
+        text = " UNION ALL ".join(selects) or f"SELECT {nothing} WHERE FALSE"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS {text}")
+
+    def _select(self, part: dict, columns: T.StructType) -> str:
+        """SQL for the rows of a part under the table's columns and types."""
+        known = set(self._schema_of(part).names)
+
+        def tick(column: str) -> str:
+            return "`" + column.replace("`", "``") + "`"
+
+        def value(f: T.StructField) -> str:
+            if f.name not in known:
+                return "NULL"
+            if f.name not in self.partition_columns or not isinstance(f.dataType, T.StringType):
+                return tick(f.name)
+            # Readers infer the type of a partition's values, so 01 becomes 1; the path has the text.
+            text = f"regexp_extract(_metadata.file_path, '/{re.sub(r'\W', '.', f.name)}=([^/]*)/', 1)"
+            for _ in range(2):  # escaped in the folder's name, and that in its address
+                text = f"url_decode(replace({text}, '+', '%2B'))"
+            return f"nullif({text}, '__HIVE_DEFAULT_PARTITION__')"
+
+        listed = [f"CAST({value(f)} AS {f.dataType.simpleString()}) AS {tick(f.name)}" for f in columns]
+        wheres = [f"CAST({tick(c)} AS STRING) = '{v}'" for c, v in (part["only"] or {}).items()]
+        if gone := part.get("gone"):
+            lost = f"CAST({tick(gone['column'])} AS STRING) = '{gone['value']}' AND {_BUCKET} IN ({', '.join(map(str, gone['buckets']))})"
+            wheres.append(f"NOT coalesce({lost}, FALSE)")
+        where = f" WHERE {' AND '.join(wheres)}" if wheres else ""
+        return f"SELECT {', '.join(listed)} FROM parquet.{tick(f'{self.root}/data/{_COMMIT}={part["commit"]}')}{where}"
+
     # -- upkeep -----------------------------------------------------------------
 
     def part_sizes(self) -> DataFrame:

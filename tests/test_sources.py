@@ -158,6 +158,23 @@ def test_compaction_leaves_large_parts(spark, tmp_path):
     assert unchanged.number == store.version().number
 
 
+def test_catalog_view_of_parts(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "t"), ["code"], bucket_keys=("k",), buckets=4)
+    a = spark.createDataFrame([(1, "01", True), (2, None, True), (3, "x'y +%/", False)], "k int, code string, on boolean")
+    store.create(a)
+    store.append(spark.createDataFrame([(2**40, "01", "more")], "k long, code string, extra string"))
+    store.append(a.limit(0))
+    store.publish_catalog("view_of_parts")
+    seen = spark.newSession().table("view_of_parts")
+    assert seen.columns == store.read().columns
+    assert rows(seen, "k", "code", "on", "extra") == rows(store.read(), "k", "code", "on", "extra")
+    store.create(a.limit(0))
+    store.publish_catalog("view_of_parts")
+    assert spark.newSession().table("view_of_parts").count() == 0
+    with pytest.raises(ValueError):
+        TableStore(spark, str(tmp_path / "none")).publish_catalog("view_of_none")
+
+
 def test_catalog(spark, tmp_path):
     catalog.ensure_database(spark, "cat", str(tmp_path / "it's"))
     catalog.ensure_database(spark, "cat")
