@@ -12,8 +12,10 @@
    then regions whose nodes are not all joined by now are joined in full. Only nodes left
    by the sketches have their sets fetched. A small region is joined exactly in one task.
 5. *Voronoi cells*. In a large region Jaccard distance 1 - J is a metric that tells nodes
-   apart. Nodes of it are chosen as pivots; each node goes to its nearest one, and to every
-   other whose cell could hold a partner by the triangle inequality. Cells are regions again.
+   apart. Nodes of it are chosen as pivots; each node goes to its nearest one. What is under
+   another label than most of the region goes as well to every other cell that could hold a
+   partner by the triangle inequality. Cells are regions again. Near copies lie in the windows
+   of all cells: where blocks take fewer rows than cells, a region is joined block by block.
 """
 
 from __future__ import annotations
@@ -33,13 +35,15 @@ from sedimenta.scratch import materialize
 
 WIDTH, PERCENT = 4, 85
 #: Nodes, and shingles, that one task joins at a time; pivots of a larger region.
-LEAF_NODES = 1000
+LEAF_NODES = 4000
 LEAF_SHINGLES = 2_000_000
 PIVOTS = 32
 #: Nodes, and shingles, of a region whose sketches one task compares; at least this many bits each.
 SKETCH_NODES = 4000
 SKETCH_SHINGLES = 20_000_000
 SKETCH_BITS = 256
+#: Bits, at most, of the sketches that one task draws of the sets it joins.
+LEAF_BITS = 4096
 #: Rows of an Arrow batch, and of one whose rows come with their pivots' sets; bytes of one.
 BATCH_ROWS, PLACED_ROWS = 2000, 64
 BATCH_BYTES = 16 << 20
@@ -96,7 +100,7 @@ def sketches(hashes: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [odd[a // 8 : b // 8] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
-def _sketch_bits(n: np.ndarray) -> np.ndarray:
+def _sketch_bits(n: np.ndarray | float) -> np.ndarray:
     return 2 ** np.ceil(np.log2(np.maximum(n, SKETCH_BITS))).astype(np.int64)
 
 
@@ -206,13 +210,14 @@ def _linked(shared: np.ndarray, n: np.ndarray, m: int, percent: int) -> np.ndarr
 def local_join(sets: list[np.ndarray], label: np.ndarray, percent: int) -> np.ndarray:
     """Components of the sets, exactly, beyond those that ``label`` gives.
 
-    Each set outside the largest component is compared with all others. Of two sets that
-    neither were compared both are in the largest one.
+    Each set outside the largest component is compared with all under other labels that their
+    sketches do not rule out. Of two sets that neither were compared both are in the largest one.
     """
     n = np.array([len(s) for s in sets])
-    at = segments(n)[:-1]
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(ids, np.cumsum(n)[:-1])
     label = np.unique(label, return_inverse=True)[1]
+    drawn = _drawn(ids, n)
     mark = np.zeros(ids.max(initial=0) + 1, bool)
     todo = np.ones(len(sets), bool)
     while True:
@@ -221,13 +226,25 @@ def local_join(sets: list[np.ndarray], label: np.ndarray, percent: int) -> np.nd
             return label
         i = int(outside.argmax())
         todo[i] = False
-        own = ids[at[i] : at[i] + n[i]]
-        mark[own] = True
-        near = _linked(np.add.reduceat(mark[ids].astype(np.int64), at), n, n[i], percent)
-        mark[own] = False
+        apart = np.bitwise_count(drawn ^ drawn[i]).sum(axis=1, dtype=np.int64)
+        other = np.flatnonzero((apart * (100 + percent) <= (100 - percent) * (n + n[i])) & (label != label[i]))
+        if not len(other):
+            continue
+        mark[own[i]] = True
+        shared = np.array([np.count_nonzero(mark[own[j]]) for j in other.tolist()])
+        mark[own[i]] = False
+        near = other[_linked(shared, n[other], n[i], percent)]
         label[np.isin(label, label[near])] = label[i]
 
 
+def _drawn(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sketches of sets of numbers from 0, all of one width."""
+    bits = int(min(_sketch_bits(np.mean(n)), LEAF_BITS))
+    place = np.repeat(np.arange(len(n)) * bits, n) + ids % bits
+    odd = (np.bincount(place, minlength=len(n) * bits) & 1).astype(bool)
+    return np.packbits(odd).view(np.uint64).reshape(len(n), -1)
+
+
 def _join_leaves(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, ["region"]):
@@ -279,7 +296,10 @@ _PLACED = "region long, node long, n long, label long, home int, windows array<i
 
 
 def _place(percent: int):
-    """Distances of each node to its region's pivots: home, windows, and pivots it links with."""
+    """Distances of each node to its region's pivots: home, windows, and pivots it links with.
+
+    Cell -1 is for what is far from all pivots. Nodes may go to it, not from it to others.
+    """
     near = 1 - percent / 100
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,10 +318,10 @@ def _place(percent: int):
                     if _linked(np.array(both), np.array(len(own)), len(members), percent):
                         link.append(pivot)
                 least = min(far)
-                home = far.index(least) if least <= 1 - near else len(far)
-                window = [j for j in range(home) if home < len(far) and far[j] <= least + 2 * near + 1e-9]
-                if home < len(far) and least > 1 - 2 * near - 1e-9:
-                    window.append(len(far))
+                home = far.index(least) if least <= 1 - near else -1
+                window = [j for j in range(len(far)) if home not in (-1, j) and far[j] <= least + 2 * near + 1e-9]
+                if home >= 0 and least > 1 - 2 * near - 1e-9:
+                    window.append(-1)
                 homes.append(home)
                 windows.append(window)
                 # one edge to the first pivot, and what first tells that two pivots are joined
@@ -327,8 +347,9 @@ def _sized(rows: DataFrame, most_nodes: int | None = None, most_shingles: int |
     return sizes.where("low <> high").select("region", "nodes", "total", leaf.alias("leaf"))
 
 
-def _cut(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """One Voronoi cut of large regions: their parts, without sets, and the links met."""
+def _cut(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One Voronoi cut of large regions: cells, blocks of regions where these take fewer rows,
+    both without sets, and the links met."""
     order = Window.partitionBy("region").orderBy(F.xxhash64("node", "region"), "node")
     chosen = rows.select("region", "node").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS)
     pivots = rows.join(chosen, ["region", "node"]).groupBy("region").agg(
@@ -344,27 +365,73 @@ def _cut(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     roots = connected_components(met.unionByName(before))
     placed = placed.drop("label").join(roots.withColumnRenamed("root", "label"), "node", "left")
     placed = placed.withColumn("label", F.coalesce("label", "node"))
+    placed = placed.select("region", "node", "n", "label", "home", "windows")
+    placed = materialize(placed.join(_cores(placed).select("region", "core"), "region"), "labelled")
     cells = placed.groupBy("region", "home").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     own = placed.select("region", "node", "n", "label", F.col("home").alias("cell"))
-    guests = placed.select("region", "node", "n", "label", F.explode("windows").alias("cell"))
+    # pairs within the commonest label are joined already: the others go both ways
+    window = F.when(F.col("label") != F.col("core"), F.col("windows")).otherwise(F.filter("windows", lambda w: w < 0))
+    guests = placed.select("region", "node", "n", "label", F.explode(window).alias("cell"))
     # a guest is needed only where nodes of another component are at home
     guests = guests.join(cells.withColumnRenamed("home", "cell"), ["region", "cell"])
     guests = guests.where("low <> label OR high <> label").drop("low", "high")
-    parts = own.unionByName(guests.select(*own.columns))
-    return parts.select(F.xxhash64("region", "cell").alias("region"), "node", "n", "label"), met
+    parts = materialize(own.unionByName(guests.select(*own.columns)), "cells")
+    in_cells = parts.groupBy("region").agg(F.count("*").alias("in_cells"))
+    narrow = placed.select("region", "node", "n", "label")
+    sizes = _block_sizes(narrow).join(in_cells, "region")
+    by_cell = sizes.where("in_cells <= in_blocks").select("region")
+    blocks = _blocks(narrow, sizes.where("in_cells > in_blocks"))
+    parts = parts.join(by_cell, "region")
+    return parts.select(F.xxhash64("region", "cell").alias("region"), "node", "n", "label"), blocks, met
+
+
+def _cores(rows: DataFrame) -> DataFrame:
+    """(region, core): the commonest label of each region, and what is not under it."""
+    counted = rows.groupBy("region", "label").agg(F.count("*").alias("nodes"), F.sum("n").alias("total"))
+    core = counted.groupBy("region").agg(
+        F.max(F.struct("nodes", "label", "total")).alias("core"), F.sum("nodes").alias("nodes"), F.sum("total").alias("total")
+    )
+    return core.select(
+        "region", F.col("core.label").alias("core"), "nodes", "total",
+        (F.col("nodes") - F.col("core.nodes")).alias("others"), (F.col("total") - F.col("core.total")).alias("others_total"),
+    )
+
+
+def _block_sizes(rows: DataFrame, most_nodes: int | None = None, most_shingles: int | None = None) -> DataFrame:
+    """How many blocks the regions are cut in, and ``in_blocks``: rows that this makes.
+
+    Blocks of all nodes meet blocks of those not under the commonest label (``turns``), or each
+    other (0 turns) if that takes no more rows.
+    """
+    most_nodes, most_shingles = most_nodes or LEAF_NODES, most_shingles or LEAF_SHINGLES
+
+    def halves(nodes: str, total: str):
+        return F.greatest(F.ceil(F.col(nodes) * 2 / most_nodes), F.ceil(F.col(total) * 2 / most_shingles), F.lit(1))
+
+    sizes = _cores(rows).withColumn("blocks", halves("nodes", "total")).withColumn("turns", halves("others", "others_total"))
+    every, some = F.col("nodes") * F.col("blocks"), F.col("others") * F.col("blocks") + F.col("nodes") * F.col("turns")
+    return sizes.select(
+        "region", "core", "blocks", F.when(some < every, F.col("turns")).otherwise(0).alias("turns"), F.least(every, some).alias("in_blocks")
+    )
 
 
 def _blocks(
     rows: DataFrame, sizes: DataFrame, most_nodes: int | None = None, most_shingles: int | None = None
 ) -> DataFrame:
-    """Every pair of blocks of a large region as a region of its own."""
-    most_nodes, most_shingles = most_nodes or LEAF_NODES, most_shingles or LEAF_SHINGLES
-    rows = rows.join(sizes.select("region", "nodes", "total"), "region")
-    size = F.greatest(F.ceil(F.col("nodes") * 2 / most_nodes), F.ceil(F.col("total") * 2 / most_shingles), F.lit(1))
-    rows = rows.withColumn("blocks", size).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pair = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(pair.alias("region"), "node", "n", "label")
+    """Every pair of blocks of a large region, but for pairs within its commonest label, as a
+    region of its own."""
+    rows = rows.join(sizes.select("region"), "region", "left_semi")
+    rows = rows.join(_block_sizes(rows, most_nodes, most_shingles), "region")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("turn", F.pmod(F.xxhash64("node", F.lit(1)), F.greatest("turns", F.lit(1))))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.greatest(F.col(n), F.lit(1)) - 1)
+    every = F.transform(upto("blocks"), lambda k: F.struct(F.least("own", k).alias("x"), F.greatest("own", k).alias("y")))
+    met = F.transform(upto("turns"), lambda k: F.struct(k.alias("x"), F.col("own").alias("y")))
+    meets = F.transform(upto("blocks"), lambda k: F.struct(F.col("turn").alias("x"), k.alias("y")))
+    meets = F.when(F.col("label") != F.col("core"), F.array_union(met, meets)).otherwise(met)
+    pairs = F.explode(F.when(F.col("turns") > 0, meets).otherwise(every)).alias("pair")
+    rows = rows.select("region", "node", "n", "label", pairs)
+    return rows.select(F.xxhash64("region", "pair.x", "pair.y").alias("region"), "node", "n", "label")
 
 
 def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -453,7 +520,9 @@ def _similar_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     joined = connected_components(links).withColumnRenamed("root", "label")
     rest = _regions(stars).join(sizes, "node").join(joined, "node", "left")
     more = links_of(materialize(rest.withColumn("label", F.coalesce("label", "node")), "rest"))
-    roots = connected_components(links.unionByName(more))
+    # what was joined before stands for its links
+    before = joined.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    roots = connected_components(before.unionByName(more))
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     placed = placed.join(least, "root").select("node", "component_id")
@@ -519,9 +588,9 @@ def _links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if depth == DEPTH:
             found.append(_leaf_edges(_blocks(rest, large), sets, percent))
             break
-        regions, met = _cut(_with_sets(rest, sets).select("region", "node", "n", "label", "shingles"), percent)
+        regions, blocks, met = _cut(_with_sets(rest, sets).select("region", "node", "n", "label", "shingles"), percent)
         regions = materialize(regions, "regions")
-        found.append(met)
+        found += [met, _leaf_edges(blocks, sets, percent)]
         release(regions.sparkSession)
     out = found[0]
     for df in found[1:]:

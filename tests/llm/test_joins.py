@@ -92,6 +92,56 @@ def test_ngram_join_in_blocks_of_sketches(spark, monkeypatch, nodes):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_join(rows, 4, 85)
 
 
+def test_cut_of_near_copies_makes_few_rows(spark, monkeypatch):
+    """Cells cannot tell near copies apart: rows would grow with the cells and with every cut."""
+    monkeypatch.setattr(ngram_join, "LEAF_NODES", 100)
+    rng = random.Random(11)
+    # each is a heart but for words of its own: chains of links, and outsiders just beyond one
+    heart = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        copy = list(heart)
+        for k in rng.sample(range(120), rng.choice([1, 2, 2, 3, 6])):
+            copy[k] = f"v{i}-{k}"
+        rows.append((i, " ".join(copy), "s"))
+    made, leaf_edges = [], ngram_join._leaf_edges
+
+    def counted(regions, *rest):
+        made.append(regions.count())
+        return leaf_edges(regions, *rest)
+
+    monkeypatch.setattr(ngram_join, "_leaf_edges", counted)
+    found = ngram_join.similar_components(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_join(rows, 4, 85)
+    assert max(made) > 0 and sum(made) <= 15 * len(rows)
+
+
+def test_blocks_leave_out_pairs_of_the_commonest_label(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAF_NODES", 40)
+    label = {i: 0 if i % 10 else i for i in range(400)}
+    rows = spark.createDataFrame([(7, i, 5, v) for i, v in label.items()], "region long, node long, n long, label long")
+    blocks, made = {}, 0
+    for r in ngram_join._blocks(rows, ngram_join._sized(rows)).collect():
+        blocks.setdefault(r.region, set()).add(r.node)
+        made += 1
+    met = {(a, b) for nodes in blocks.values() for a in nodes for b in nodes if a < b}
+    assert {(a, b) for a in label for b in label if a < b and label[a] != label[b]} <= met
+    assert made <= 5 * len(label) and max(map(len, blocks.values())) <= 80
+
+
+def test_local_join_is_exact():
+    rng = np.random.default_rng(12)
+    for percent in (50, 85):
+        heart = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([heart[: int(rng.integers(1, 300))], rng.integers(0, 1 << 63, int(rng.integers(0, 40)), dtype=np.uint64)])) for _ in range(90)]
+        label = rng.integers(0, 80, 90)
+        shared = [set(s.tolist()) for s in sets]
+        links = [(i, j) for i in range(90) for j in range(i) if label[i] == label[j]
+                 or 100 * len(shared[i] & shared[j]) >= percent * len(shared[i] | shared[j])]
+        want, got = components(range(90), links), ngram_join.local_join(sets, label, percent)
+        assert len({(want[i], got[i]) for i in range(90)}) == len(set(want.values())) == len(set(got.tolist()))
+
+
 def test_ngram_join_of_repeated_rows_and_null_ids(spark):
     rows = [(5, "a b c d e", "s"), (5, "a b c d e", "s"), (5, "q r s t u", "s"), (None, "a b c d e", "s"), (9, "q r s t u", "s")]
     found = ngram_join.similar_components(documents(spark, rows)).collect()
