@@ -1,7 +1,7 @@
 """Quality rules: how far a document's histograms lie from those of its language.
 
 DataFrame functions only. A text is read once, where it lies; what is measured of it, its
-short words among that, goes to a narrow table, and only counts per language are exchanged.
+words among that, goes to a table, and only counts per language are exchanged.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from sedimenta.llm.shared import WORD
 from sedimenta.scratch import materialize
 
-#: Most frequent words of a language whose shares make its word histogram, and how long they
-#: may be: the words that any text of a language is held together by are short.
+#: Most frequent words of a language whose shares make its word histogram; all other words
+#: share its last place. Words up to this length are always looked up, as those that any text
+#: is held together by are short; longer ones where one of them is among the most frequent.
 COMMON_WORDS = 16
 COMMON_LENGTH = 4
 #: Language of documents without one.
@@ -120,7 +121,7 @@ def _class_shares() -> Column:
 
 def measures(docs: DataFrame) -> DataFrame:
     """doc_id, lang, characters per class, n_symbols, n_dup_lines, n_words, n_repeat_words and
-    the short words of each document, by way of one pass over its text."""
+    the short and the long words of each document, by way of one pass over its text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rest = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), text.alias("text"))
     left = "text"
@@ -138,13 +139,14 @@ def measures(docs: DataFrame) -> DataFrame:
         "doc_id", "lang", *CLASSES, "other", "n_symbols", "n_dup_lines", F.size("words").cast("long").alias("n_words"),
         _repeat_words(F.col("words"), F.col("hashes")).alias("n_repeat_words"),
         F.filter("words", lambda w: F.length(w) <= COMMON_LENGTH).alias("short_words"),
+        F.filter("words", lambda w: F.length(w) > COMMON_LENGTH).alias("long_words"),
     )
 
 
 def language_references(measured: DataFrame, common_words: int = COMMON_WORDS) -> DataFrame:
-    """A row per language of ``measures``: its words in all, its most frequent short words
+    """A row per language of ``measures``: its words in all, its most frequent words
     (ties to the smaller), their shares with that of all others last, and those of the classes."""
-    counted = measured.select("lang", F.explode("short_words").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counted = measured.select("lang", F.explode(F.concat("short_words", "long_words")).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= common_words)
     top = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
@@ -179,7 +181,9 @@ def rule_verdicts(docs: DataFrame, common_words: int = COMMON_WORDS) -> DataFram
         return F.concat(each, F.array(1.0 - share(F.size(hits))))
 
     enough = (F.col("n_words") >= MIN_WORDS) & (F.col("language_words") >= MIN_LANGUAGE_WORDS)
-    hits = F.filter(F.transform("short_words", lambda w: F.array_position("common", w)), lambda k: k > 0)
+    long = F.exists("common", lambda w: F.length(w) > COMMON_LENGTH)
+    words = F.when(long, F.concat("short_words", "long_words")).otherwise(F.col("short_words"))
+    hits = F.filter(F.transform(words, lambda w: F.array_position("common", w)), lambda k: k > 0)
     own_words = F.when(enough, _let(hits, common_counts))
     own_classes = F.when(enough & (characters >= MIN_CHARACTERS), _class_shares())
     counted = joined.select(

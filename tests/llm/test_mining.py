@@ -128,6 +128,20 @@ def plain_distances(rows, common_words):
     return out
 
 
+def test_common_words_may_be_long(spark, monkeypatch):
+    monkeypatch.setattr(rules, "MIN_LANGUAGE_WORDS", 100)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["together", "together", "the", f"rare{i}-{k}"]) for k in range(100 + i)), "en") for i in range(9)]
+    rows.append((9, "the quick one " * 30 + "x y z", "en"))
+    measured = rules.measures(docs(spark, rows))
+    assert rules.language_references(measured, 2).first().common == ["together", "the"]
+    got = {r.doc_id: r.word_distance for r in rules.rule_verdicts(docs(spark, rows), 2).collect()}
+    with monkeypatch.context() as any_length:
+        any_length.setattr(rules, "COMMON_LENGTH", 100)
+        want = {i: w for (i, _, _), (_, w) in zip(rows, plain_distances(rows, 2))}
+    assert got == pytest.approx(want, abs=1e-5) and got[9] > max(got[i] for i in range(9))
+
+
 def test_rules(spark, monkeypatch):
     monkeypatch.setattr(rules, "MIN_LANGUAGE_WORDS", 1000)
     rng = random.Random(5)
