@@ -20,6 +20,8 @@ from sedimenta.scratch import materialize
 #: is held together by are short; longer ones where one of them is among the most frequent.
 COMMON_WORDS = 16
 COMMON_LENGTH = 4
+#: Longer words are counted by hash first, in so many buckets a language.
+LONG_BUCKETS = 4096
 #: Language of documents without one.
 UNKNOWN = "und"
 #: Documents with fewer words, or more of them in repeated windows, fail in any language.
@@ -146,9 +148,22 @@ def measures(docs: DataFrame) -> DataFrame:
 def language_references(measured: DataFrame, common_words: int = COMMON_WORDS) -> DataFrame:
     """A row per language of ``measures``: its words in all, its most frequent words
     (ties to the smaller), their shares with that of all others last, and those of the classes."""
-    counted = measured.select("lang", F.explode(F.concat("short_words", "long_words")).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= common_words)
+
+    def first(counted: DataFrame) -> DataFrame:
+        return counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= common_words)
+
+    count = F.count("*").alias("n")
+    short = first(measured.select("lang", F.explode("short_words").alias("word")).groupBy("lang", "word").agg(count))
+    short = materialize(short, "short")
+    # a long word is no more frequent than its bucket, and must reach the last of the short ones
+    least = short.where(F.col("place") == common_words).select("lang", F.col("n").alias("least"))
+    long = measured.select("lang", F.explode("long_words").alias("word"))
+    long = long.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(LONG_BUCKETS)))
+    likely = long.groupBy("lang", "bucket").agg(count).join(least, "lang", "left").where("n >= coalesce(least, 0)")
+    likely = materialize(likely.select("lang", "bucket"), "buckets")
+    long = long.join(likely, ["lang", "bucket"], "left_semi").groupBy("lang", "word").agg(count)
+    top = first(short.drop("place").unionByName(long))
     top = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
     totals = measured.groupBy("lang").agg(F.sum("n_words").alias("language_words"), *[F.sum(k).alias(k) for k in (*CLASSES, "other")])
     shares = F.transform("top", lambda t: t["n"] / F.col("language_words"))

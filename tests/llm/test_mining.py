@@ -128,8 +128,10 @@ def plain_distances(rows, common_words):
     return out
 
 
-def test_common_words_may_be_long(spark, monkeypatch):
+@pytest.mark.parametrize("buckets", [4096, 1])
+def test_common_words_may_be_long(spark, monkeypatch, buckets):
     monkeypatch.setattr(rules, "MIN_LANGUAGE_WORDS", 100)
+    monkeypatch.setattr(rules, "LONG_BUCKETS", buckets, raising=False)
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(["together", "together", "the", f"rare{i}-{k}"]) for k in range(100 + i)), "en") for i in range(9)]
     rows.append((9, "the quick one " * 30 + "x y z", "en"))
