@@ -6,23 +6,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.shared import arrow_groups, arrow_map
-from sedimenta.scratch import materialize
+from sedimenta.llm.shared import arrow_map, segments, text_batches
+from sedimenta.scratch import materialize, remove
 
 #: Scale of the integers, number of results, and which rows are queries.
 SCALE = 256
 TOP = 5
 QUERY_STEP = 50
-#: Rows of a block of queries and of a block of candidates, about.
-QUERY_BLOCK = 1024
+#: Most rows of a block of queries and of a block of candidates; vectors of over 64 components, fewer.
+QUERY_BLOCK = 8192
 CANDIDATE_BLOCK = 4096
-#: Shares of the lists read before the bounds are looked at.
-DEPTHS = (1 / 8, 1 / 3)
+#: Blocks that are cut at once from rows sorted by length.
+BLOCKS_AT_ONCE = 8
+#: Queries whose lists are read at a time, and pairs that are scored at a time.
+QUERY_TILE = 512
+PAIRS = 1 << 16
+#: Queries of a task about, (query, row) pairs of a task about, and most parts of the candidates for that.
+TASK_QUERIES = 1 << 18
+TASK_PAIRS = 1 << 36
+PARTS = 64
 
 _LIMIT = (-(1 << 63), (1 << 63) - 1)
+_rooms: dict[type, np.ndarray] = {}
+_BLOCK = "dim int, width int, n long, asked long, ids binary, vectors binary"
 
 
 def usable(vector: Column) -> Column:
@@ -32,96 +42,201 @@ def usable(vector: Column) -> Column:
 
 
 def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Integer inner products; beyond 53 bits with Python's integers, held at 64."""
-    bound = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(x.astype(float)).max(initial=0)) * q.shape[1]
-    if bound < 1 << 53:
-        return (q.astype(float) @ x.T.astype(float)).astype(np.int64)
-    return np.clip(q.astype(object) @ x.T.astype(object), *_LIMIT).astype(np.int64)
+    """Integer inner products of ``x`` with the one row, or with each its own row, of ``q[0]``.
+
+    Beyond 53 bits with Python's integers, held at 64.
+    """
+    q = np.broadcast_to(q[0], x.shape)
+    out = np.einsum("ij,ij->i", q.astype(float), x.astype(float))
+    wide = np.flatnonzero(_norms(q) * _norms(x) >= 1 << 52)
+    if len(wide):
+        s = (q[wide].astype(object) * x[wide].astype(object)).sum(axis=1)
+        exact = out.astype(object)
+        exact[wide] = np.clip(s, *_LIMIT)
+        return exact.astype(np.int64)
+    return out.astype(np.int64)
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    x = x.astype(float)
+    return np.sqrt(np.einsum("ij,ij->i", x, x))
+
+
+def _room(kind: type, m: int, n: int) -> np.ndarray:
+    """Memory for m x n products, the same each time: fresh pages cost as much as what fills them."""
+    if len(_rooms.get(kind, ())) < m * n:
+        _rooms[kind] = np.empty(m * n, kind)
+    return _rooms[kind][: m * n].reshape(m, n)
+
+
+class _Lists:
+    """The rows of a block as one list for each dimension: where the lists end, and what they hold."""
+
+    def __init__(self, x: np.ndarray):
+        self.rows = x
+        self.norms = _norms(x)
+        self.least, self.most = x.min(axis=0).astype(float), x.max(axis=0).astype(float)
+        self._read: dict = {}
+
+    def read(self, kind: type) -> np.ndarray:
+        if kind not in self._read:
+            self._read[kind] = np.ascontiguousarray(self.rows.T.astype(kind))
+        return self._read[kind]
+
+
+def _reach(q: np.ndarray, lists: _Lists, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The (query, row) pairs that may be among the ``k`` best: their queries and rows."""
+    norms, wide = _norms(q), q.astype(float)
+    # what no row of the block can exceed: the ends of all lists, and the length of the longest row
+    best = np.maximum(wide, 0) @ lists.most + np.minimum(wide, 0) @ lists.least
+    best = np.clip(np.minimum(best, norms * lists.norms.max()), *_LIMIT)
+    queries = np.flatnonzero(best + 1e-9 * np.abs(best) >= floor)
+    if not len(queries):
+        return queries, queries
+    bound = float(norms[queries].max()) * float(lists.norms.max()) * (1 + 1e-9)
+    # sums of integers under 24 or 53 bits in any order are exact
+    kind = np.float32 if bound < 1 << 24 else np.float64
+    upper = lower = np.matmul(q[queries].astype(kind), lists.read(kind), out=_room(kind, len(queries), len(lists.rows)))
+    bar = floor[queries]
+    if bound >= 1 << 52:
+        slack = np.outer(norms[queries], lists.norms) * (len(q[0]) + 8) * 2.0**-52
+        bar = bar - np.where(np.isfinite(bar), np.abs(bar), 0) * 2.0**-50
+        upper, lower = np.clip(upper + slack, *_LIMIT), np.clip(lower - slack, *_LIMIT) * (1 - 2.0**-50)
+    hit = np.flatnonzero(upper.max(axis=1) >= bar)
+    queries, bar, n = queries[hit], bar[hit], len(lists.rows)
+    if len(hit) < len(upper):
+        upper, lower = upper[hit], lower[hit]
+    over = upper >= bar.astype(kind)[:, None]
+    many = np.flatnonzero(np.count_nonzero(over, axis=1) > 4 * k)
+    if len(many):
+        bar = np.maximum(bar[many], np.partition(lower[many], n - k, axis=1)[:, n - k])
+        over[many] = upper[many] >= bar[:, None]
+    at, rows = np.divmod(np.flatnonzero(over), n)
+    return queries[at], rows
 
 
 def survivors(q: np.ndarray, x: np.ndarray, k: int, floor: np.ndarray) -> np.ndarray:
     """Which (query, row) pairs may be among the ``k`` best, by sorted access.
 
-    Each dimension is a list of rows sorted by value, read from the end that the query's
-    sign prefers. After a share of all lists is read, a pair's score lies between what was
-    read of it plus the least, and plus the best, that the unread rest of each list can
-    give. Pairs whose upper bound is under the query's k-th best lower bound, or under
-    ``floor`` (a k-th score known already), are out.
+    Each dimension is a list of the block's rows. First only its ends are looked at: what the
+    best ends together give, or the longest row does, bounds every pair of a query, and
+    queries for which that is under ``floor`` (a k-th score known already) are done with the
+    block. For those still open the lists are read to their ends, where lower and upper
+    bounds meet (but for the rounding of scores beyond 52 bits). Pairs under ``floor`` are
+    out, and of a query with many over it those under its k-th best lower bound.
     """
-    n, d = x.shape
-    alive = np.ones((len(q), n), bool)
-    if n <= k or np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * d >= 1 << 50:
-        return alive
-    x = x.astype(float)
-    up, down = np.maximum(q, 0).astype(float), np.minimum(q, 0).astype(float)
-    order = np.argsort(x, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
-    least, most = x[order[0], range(d)], x[order[-1], range(d)]
-    for depth in DEPTHS:
-        read = max(1, int(n * depth))
-        top, bottom = rank >= n - read, rank < read
-        edge_up, edge_down = x[order[n - read], range(d)], x[order[read - 1], range(d)]
-        seen = np.hstack([x * top, x * bottom, ~top, ~bottom]).T
-        lower = np.hstack([up, down, up * least, down * most]) @ seen
-        bar = np.maximum(floor, np.partition(lower, n - k, axis=1)[:, n - k])
-        upper = np.hstack([up, down, up * edge_up, down * edge_down]) @ seen
-        alive &= upper >= bar[:, None]
-        if alive.sum() <= 4 * k * len(q):
-            break
+    alive = np.zeros((len(q), len(x)), bool)
+    alive[_reach(q, _Lists(x), k, floor)] = True
     return alive
 
 
+def _without_copies(ids: np.ndarray, x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal rows those with the ``most`` smallest ids: with ties to the smaller id, no query takes others."""
+    odd = np.random.default_rng(1).integers(1 << 62, size=x.shape[1]) | 1
+    hashes = (x.astype(np.int64) * odd).sum(axis=1)
+    order = np.lexsort((ids, hashes))
+    _, first, sizes = np.unique(hashes[order], return_index=True, return_counts=True)
+    keep = np.ones(len(ids), bool)
+    for at, n in zip(first[sizes > most], sizes[sizes > most], strict=True):
+        run = order[at : at + n]
+        if (x[run] == x[run[0]]).all():
+            keep[run[most:]] = False
+    return (ids, x) if keep.all() else (ids[keep], x[keep])
+
+
 class _Best:
     """The k best of each query of one block, over the candidate blocks seen so far."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
-        self.scores = [np.zeros(0, np.int64)] * len(ids)
-        self.found = [np.zeros(0, np.int64)] * len(ids)
+        self.sizes = np.zeros(len(ids), np.int64)
+        self.scores = np.zeros((len(ids), k), np.int64)
+        self.found = np.zeros((len(ids), k), np.int64)
 
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
-        floor = np.array([s[-1] if len(s) == self.k else -np.inf for s in self.scores])
-        # a query is no candidate of its own, so one more may be needed of each block
-        alive = survivors(self.vectors, x, self.k + 1, floor)
-        for i, own in enumerate(self.ids.tolist()):
-            at = np.flatnonzero(alive[i])
-            at = at[ids[at] != own]
-            if not len(at):
-                continue
-            s = np.concatenate([self.scores[i], _exact(self.vectors[i : i + 1], x[at])[0]])
-            f = np.concatenate([self.found[i], ids[at]])
-            best = np.lexsort((f, -s))[: self.k]
-            self.scores[i], self.found[i] = s[best], f[best]
+        self.add_lists(ids, _Lists(x))
+
+    def add_lists(self, ids: np.ndarray, lists: _Lists) -> None:
+        for at in range(0, len(self.ids), QUERY_TILE):
+            tile = slice(at, at + QUERY_TILE)
+            floor = np.where(self.sizes[tile] == self.k, self.scores[tile, -1].astype(float), -np.inf)
+            # a query is no candidate of its own, so one more may be needed of each block
+            queries, rows = _reach(self.vectors[tile], lists, self.k + 1, floor)
+            queries = queries + at
+            other = ids[rows] != self.ids[queries]
+            queries, rows = queries[other], rows[other]
+            for i in range(0, len(rows), PAIRS):
+                q, r = queries[i : i + PAIRS], rows[i : i + PAIRS]
+                self._merge(q, _exact(self.vectors[q][None], lists.rows[r]), ids[r])
+
+    def _merge(self, queries: np.ndarray, scores: np.ndarray, found: np.ndarray) -> None:
+        now = np.unique(queries)
+        held = np.arange(self.k) < self.sizes[now][:, None]
+        q = np.concatenate([np.repeat(now, self.sizes[now]), queries])
+        s = np.concatenate([self.scores[now][held], scores])
+        f = np.concatenate([self.found[now][held], found])
+        order = np.lexsort((f, ~s, q))
+        q = q[order]
+        starts = np.searchsorted(q, now)
+        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
+        best = place < self.k
+        q, place, order = q[best], place[best], order[best]
+        self.scores[q, place], self.found[q, place] = s[order], f[order]
+        self.sizes[now] = np.bincount(np.searchsorted(now, q), minlength=len(now))
 
     def batch(self) -> pa.RecordBatch:
-        sizes = [len(s) for s in self.scores]
+        held = np.arange(self.k) < self.sizes[:, None]
         return pa.RecordBatch.from_pydict(
-            {
-                "query_id": np.repeat(self.ids, sizes),
-                "vec_id": np.concatenate([*self.found, np.zeros(0, np.int64)]),
-                "score": np.concatenate([*self.scores, np.zeros(0, np.int64)]),
-            }
+            {"query_id": np.repeat(self.ids, self.sizes), "vec_id": self.found[held], "score": self.scores[held]}
         )
 
 
-def _blocks(rows: DataFrame, parts: Column, names: tuple[str, str, str]) -> DataFrame:
-    """Rows (vec_id, q) dealt by hash to blocks, each one row with packed ids and vectors."""
-    slot, ids, vectors = names
+def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and matrix of the rows (vec_id, q) of each length."""
+    n = pc.list_value_length(batch.column("q")).to_numpy(zero_copy_only=False)
+    values, at = batch.column("q").flatten().to_numpy(zero_copy_only=False), segments(n)
+    ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+    for dim in np.unique(n).tolist():
+        rows = np.flatnonzero(n == dim)
+        yield ids[rows], values[at[rows][:, None] + np.arange(dim)]
 
-    def pack(table: pa.Table) -> pa.Table:
-        matrix = np.stack(table.column("q").to_numpy())
-        return pa.table(
-            {
-                "dim": pa.array([matrix.shape[1]], pa.int32()),
-                slot: table.column(slot)[:1],
-                ids: [table.column("vec_id").to_numpy().astype(np.int64).tobytes()],
-                vectors: [np.ascontiguousarray(matrix, np.int64).tobytes()],
-            }
-        )
 
-    rows = rows.withColumn("dim", F.size("q")).withColumn(slot, F.pmod(F.xxhash64("vec_id"), parts))
-    return arrow_groups(rows, ["dim", slot], pack, f"dim int, {slot} long, {ids} binary, {vectors} binary")
+def _unpacked(batch: pa.RecordBatch, row: int, dim: str, width: str, ids: str, vectors: str) -> tuple[np.ndarray, np.ndarray]:
+    get = lambda c: batch.column(c)[row].as_py()
+    return np.frombuffer(get(ids), np.int64), np.frombuffer(get(vectors), f"i{get(width)}").reshape(-1, get(dim))
+
+
+def _pack(parts: Iterator[tuple[np.ndarray, np.ndarray]], most: int, step: int) -> Iterator[pa.RecordBatch]:
+    """Rows, of one length in each part, as blocks of at most ``most``, the longest vectors first."""
+    held: dict[int, list] = {}
+
+    def cut(dim: int) -> Iterator[pa.RecordBatch]:
+        ids, x = (np.concatenate(c) for c in zip(*held.pop(dim), strict=True))
+        order = np.argsort(-_norms(x), kind="stable")
+        n = rows(dim)
+        for i in range(0, len(order), n):
+            block, own = x[order[i : i + n]], ids[order[i : i + n]]
+            low, high = int(block.min()), int(block.max())
+            width = next(w for w in (2, 4, 8) if -(1 << 8 * w - 1) <= low and high < 1 << 8 * w - 1)
+            yield pa.RecordBatch.from_pydict({
+                "dim": pa.array([dim], pa.int32()), "width": pa.array([width], pa.int32()),
+                "n": [len(own)], "asked": [int((own % step == 0).sum())],
+                "ids": [own.astype(np.int64).tobytes()], "vectors": [block.astype(f"i{width}").tobytes()],
+            })
+
+    def rows(dim: int) -> int:
+        return max(1, min(most, most * 64 // dim))
+
+    for ids, x in parts:
+        dim = x.shape[1]
+        held.setdefault(dim, []).append((ids, x))
+        if sum(len(i) for i, _ in held[dim]) >= BLOCKS_AT_ONCE * rows(dim):
+            yield from cut(dim)
+        if sum(x.size for c in held.values() for _, x in c) > 2 * BLOCKS_AT_ONCE * 64 * most:
+            for d in list(held):
+                yield from cut(d)
+    for d in list(held):
+        yield from cut(d)
 
 
 def top_inner_products(
@@ -132,49 +247,73 @@ def top_inner_products(
 
     ``rows`` has vec_id and embedding; components become floor(scale * x). Queries are the
     rows whose vec_id is divisible by ``query_step``, candidates all rows but the query's
-    own. Both are packed in blocks, and each pair of blocks is one joined row, so tasks
-    hold two blocks and nothing is broadcast. A task keeps each query's best so far, which
-    raises the bar for the next block; per query and task at most k rows are merged.
+    own. Both are packed in blocks where they lie. A task gets a part of the candidates and a
+    share of the queries, as pairs of blocks, one to an Arrow batch; both are read from the
+    packed tables, and candidates that lie in fewer files than there are parts are dealt out
+    once. A task keeps each query's best so far, which raises the bar for the next block; per
+    query and part of the candidates, of which there are 64 at most, k rows are merged.
 
     Null ids and unusable vectors take no part. Vectors are compared with those of equal
     length. Of rows with one vec_id the one with the smallest vector counts. A query with
     fewer than k candidates gets all; without candidates, no row. Other columns are ignored.
     """
+    spark = rows.sparkSession
     q = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
-    rows = materialize(rows.groupBy("vec_id").agg(F.min("q").alias("q")), "vectors")
-    total, asked = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % query_step == 0)).first()
-    if not asked:
-        return rows.limit(0).select(
-            F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.col("vec_id").alias("score")
-        )
-    slots, parts = -(-asked // query_block), -(-total // candidate_block)
-    queries = _blocks(rows.where(F.col("vec_id") % query_step == 0), F.lit(slots), ("slot", "query_ids", "queries"))
-    candidates = _blocks(rows, F.lit(parts), ("part", "ids", "vectors"))
-    pairs = queries.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))).join(
-        candidates.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long")))),
-        ["dim", "slot", "part"],
-    )
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _pack((part for batch in batches for part in _vectors(batch)), candidate_block, query_step)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def queries() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    ids, x = _unpacked(batch, i, "dim", "width", "ids", "vectors")
+                    at = np.flatnonzero(ids % query_step == 0)
+                    if len(at):
+                        yield ids[at], x[at]
+
+        return _pack(queries(), query_block, query_step)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, best = None, None
+        bests, now, ids, lists = {}, None, None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
-                dim = get("dim")
-                if (dim, get("slot")) != now:
-                    if best is not None:
-                        yield best.batch()
-                    now = (dim, get("slot"))
-                    best = _Best(
-                        np.frombuffer(get("query_ids"), np.int64),
-                        np.frombuffer(get("queries"), np.int64).reshape(-1, dim), k,
-                    )
-                best.add(np.frombuffer(get("ids"), np.int64), np.frombuffer(get("vectors"), np.int64).reshape(-1, dim))
-        if best is not None:
+                if (dim := get("dim")) != get("query_dim"):
+                    continue
+                if (key := (dim, get("ids")[:8])) != now:  # ids are unique, so the first one tells blocks apart
+                    now = key
+                    ids, x = _without_copies(*_unpacked(batch, i, "dim", "width", "ids", "vectors"), k + 1)
+                    lists = _Lists(x)
+                slot = dim, get("query_ids")[:8]
+                if slot not in bests:
+                    bests[slot] = _Best(*_unpacked(batch, i, "query_dim", "query_width", "query_ids", "queries"), k)
+                bests[slot].add_lists(ids, lists)
+        for best in bests.values():
             yield best.batch()
 
-    found = arrow_map(pairs, search, "query_id long, vec_id long, score long")
+    with text_batches(spark, 2000):
+        blocks = materialize(arrow_map(rows, pack, _BLOCK), "blocks")
+    total, asked, count = blocks.agg(F.sum("n"), F.sum("asked"), F.count("*")).first()
+    if not asked:
+        remove(blocks)
+        empty = "query_id long, rank int, vec_id long, score long"
+        return spark.createDataFrame([], empty)
+    shares = -(-asked // TASK_QUERIES)
+    with text_batches(spark, 4):
+        queries = materialize(arrow_map(blocks.where("asked > 0").coalesce(shares), ask, _BLOCK), "queries")
+    tasks = max(total * asked // TASK_PAIRS, 2 * spark.sparkContext.defaultParallelism)
+    parts = min(-(-tasks // shares), PARTS, count)
+    candidates = blocks.select("dim", "width", "ids", "vectors")
+    there = candidates.rdd.getNumPartitions()
+    candidates = candidates.coalesce(parts) if there >= parts else candidates.repartition(parts)
+    names = {"dim": "query_dim", "width": "query_width", "ids": "query_ids", "vectors": "queries"}
+    pairs = candidates.crossJoin(queries.select([F.col(c).alias(n) for c, n in names.items()]))
+    with text_batches(spark, 1):
+        found = materialize(arrow_map(pairs, search, "query_id long, vec_id long, score long"), "found")
+    remove(blocks)
+    remove(queries)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
